@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from subledger import fixed_values as fixed
 from subledger.functions import round_half_up
 from subledger.operators.dedupe import dedupe_fact, with_batch
+from subledger.operators.gaps import date_set
 from subledger.schemas import COUNTERS_SCHEMA, Fact
 
 
@@ -20,7 +21,7 @@ def append_rows(existing: DataFrame, incoming: DataFrame, fact: Fact) -> DataFra
     Rows of other days go straight to the output; only the touched days are shuffled for the dedupe.
     """
     day = F.to_date(F.col(fact.event_date))
-    touched = incoming.select(day.alias("_day")).distinct()
+    touched = date_set(incoming.select(day.alias("date"))).withColumnRenamed("date", "_day")
     same_day = day.eqNullSafe(F.col("_day"))
     aside = existing.join(touched, same_day, "left_anti").select(*fact.stored_columns)
     rivals = existing.join(touched, same_day, "left_semi").select(*fact.stored_columns)
@@ -50,7 +51,7 @@ def merge_counters(existing: DataFrame, new: DataFrame, dates: DataFrame, stamp:
     the same table. ``dates`` has one ``date`` column; ``stamp`` goes into ``last_updated``.
     """
     stamp = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
-    kept = fill_counters(existing).join(dates.select("date").distinct(), "date", "left_anti")
+    kept = fill_counters(existing).join(date_set(dates), "date", "left_anti")
     kept = kept.withColumn("last_updated", F.coalesce("last_updated", stamp))
     fresh = fill_counters(new.drop("last_updated")).withColumn("last_updated", stamp)
     return kept.select(*COUNTERS_SCHEMA.fieldNames()).unionByName(fresh)

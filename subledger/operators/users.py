@@ -44,35 +44,42 @@ def exclude_users(
     return tx
 
 
+def few(keys: DataFrame, inline: int = INLINE_KEYS) -> list | None:
+    """The distinct keys where there are at most ``inline`` of them, else None; fetches one row beyond the bound."""
+    head = [row[0] for row in keys.limit(inline + 1).collect()]
+    return head if len(head) <= inline else None
+
+
 def semi_keys(rows: DataFrame, column: str, keys: DataFrame, inline: int = INLINE_KEYS) -> DataFrame:
     """Rows whose column is among the keys.
 
-    A small key set is inlined, so the filter is pushed into the scan and row groups are skipped; one
-    row beyond the bound shows that it is not small, and then it is a semi-join.
+    A small key set is inlined, so the filter is pushed into the scan and row groups are skipped; a
+    larger one is a semi-join.
     """
     keys = keys.select(F.col(keys.columns[0]).alias("_key")).where("_key is not null").distinct()
-    head = [row[0] for row in keys.limit(inline + 1).collect()]
-    if len(head) <= inline:
-        return rows.where(F.col(column).isin(head)) if head else rows.where(F.lit(False))
+    small = few(keys, inline)
+    if small is not None:
+        return rows.where(F.col(column).isin(small)) if small else rows.where(F.lit(False))
     return rows.join(keys, F.col(column) == F.col("_key"), "left_semi")
 
 
-def map_phones(phones: DataFrame, tx: DataFrame, order: Sequence[str] = fixed.PHONE_LOOKUP_ORDER) -> DataFrame:
+def map_phones(
+    phones: DataFrame, tx: DataFrame, order: Sequence[str] = fixed.PHONE_LOOKUP_ORDER, inline: int = INLINE_KEYS
+) -> DataFrame:
     """Each listed phone with the first user seen for it, by type priority and then by time.
 
-    A phone never seen, or seen only without a user, maps to an empty text.
+    A phone never seen, or seen only without a user, maps to an empty text. The transactions are reduced
+    to one row per phone before the join, with a partial minimum per task, so a phone shared by many rows
+    is no hot partition; a short list is filtered for in the scan.
     """
     wanted = phones.select(F.col(phones.columns[0]).cast("string").alias("msisdn")).where("msisdn <> ''").distinct()
+    seen = tx.where(F.col("tx_type").isin(list(order)) & F.col("msisdn").isNotNull() & (F.col("tmuserid") != ""))
+    small = few(wanted, inline)
+    if small is not None:
+        seen = seen.where(F.col("msisdn").isin(small)) if small else seen.where(F.lit(False))
     priority = F.array_position(F.lit(list(order)), F.col("tx_type"))
-    first = F.min(F.struct(priority, earliest(F.col("trans_date"), F.col("tie")), F.col("tmuserid"))).alias("first")
-    found = (
-        tx.where(F.col("tx_type").isin(list(order)) & F.col("msisdn").isNotNull())
-        .where("tmuserid is not null and tmuserid <> ''")
-        .join(wanted, "msisdn", "left_semi")
-        .groupBy("msisdn")
-        .agg(first)
-        .select("msisdn", F.col("first.tmuserid").alias("tmuserid"))
-    )
+    rank = F.struct(priority, earliest(F.col("trans_date"), F.col("tie")), F.col("tmuserid"))
+    found = seen.groupBy("msisdn").agg(F.min(rank)["tmuserid"].alias("tmuserid"))
     return wanted.join(found, "msisdn", "left").select(
         "msisdn", F.coalesce("tmuserid", F.lit("")).alias("tmuserid")
     )

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger import fixed_values as fixed
-from subledger.functions import count_where, keyword_hit, round_half_up
-from subledger.operators.gaps import distinct_dates
+from subledger.functions import count_where, keyword_hit, month_of, round_half_up
+from subledger.operators.gaps import date_set, distinct_dates
 from subledger.operators.merge import fill_counters, merge_counters
 from subledger.operators.normalise import of_types
 
@@ -31,9 +31,7 @@ def non_upgrade(tx: DataFrame) -> DataFrame:
 
 def on_dates(tx: DataFrame, dates: DataFrame) -> DataFrame:
     """Transactions of the given dates; the month rides along so that partitions can be pruned."""
-    wanted = dates.select(
-        F.col("date").alias("_date"), F.substring(F.col("date").cast("string"), 1, 7).alias("_month")
-    ).distinct()
+    wanted = date_set(dates).select(F.col("date").alias("_date"), month_of(F.col("date")).alias("_month"))
     match = (F.col("year_month") == F.col("_month")) & (F.to_date("trans_date") == F.col("_date"))
     return tx.join(wanted, match, "left_semi")
 
@@ -75,7 +73,7 @@ def daily_counters(tx: DataFrame, keep_all_codes: bool = False) -> DataFrame:
 
 def missing_counter_dates(tx: DataFrame, counters: DataFrame) -> DataFrame:
     """Transaction dates that have no counters yet."""
-    return distinct_dates(tx, "trans_date").join(counters.select("date").distinct(), "date", "left_anti")
+    return distinct_dates(tx, "trans_date").join(date_set(counters), "date", "left_anti")
 
 
 def counters_incremental(
@@ -93,7 +91,7 @@ def counters_incremental(
     """
     if dates is None:
         dates = distinct_dates(discover_in if discover_in is not None else tx, "trans_date")
-    todo = dates if force else dates.join(existing.select("date").distinct(), "date", "left_anti")
+    todo = dates if force else dates.join(date_set(existing), "date", "left_anti")
     return merge_counters(existing, daily_counters(on_dates(tx, todo)), todo, stamp)
 
 

@@ -6,7 +6,9 @@ two date formats. Files stay splittable; the reading position is carried for the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +71,7 @@ def _scan(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFr
 def with_position(raw: DataFrame) -> DataFrame:
     return raw.select(
         *raw.columns,
-        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
@@ -114,17 +116,28 @@ def _unfit(fact: Fact) -> Column:
 def rejected_files(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:
     """Files the strict load leaves out, with the number of rows at fault."""
     raw = _scan(spark, fact, paths)
-    return raw.where(_unfit(fact)).groupBy(F.col("_file").alias("file_name")).agg(
+    return raw.where(_unfit(fact)).groupBy(F.col("_file").alias("file_path")).agg(
         F.count(F.lit(1)).alias("bad_rows")
     )
 
 
+def _plain(uri: str) -> str:
+    """A file URI as a plain path: Spark reports local files with one slash or three, and percent-encoded."""
+    return unquote(re.sub(r"^file:/+", "file:/", uri))
+
+
 def read_strict(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:
-    """Only files without a faulty row; the others are listed by ``rejected_files``."""
-    rejected = rejected_files(spark, fact, paths)
-    raw = _scan(spark, fact, paths)
-    kept = raw.join(rejected, raw["_file"] == rejected["file_name"], "left_anti")
-    return typed(kept, fact, "_file", "_block", "_row")
+    """Only files without a faulty row; the others are listed by ``rejected_files``.
+
+    A first pass finds the rejected files. Their names, no more than the scan's own file listing, come
+    to the driver, so that the second pass does not open them at all.
+    """
+    bad = {_plain(row.file_path) for row in rejected_files(spark, fact, paths).collect()}
+    if bad:
+        paths = [f for f in map(_plain, _scan(spark, fact, paths).inputFiles()) if f not in bad]
+    if not paths:
+        return spark.createDataFrame([], fact.stored_schema)
+    return typed(_scan(spark, fact, paths), fact, "_file", "_block", "_row")
 
 
 def load_historical(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:

@@ -110,7 +110,7 @@ def write_partitioned(rows: DataFrame, path: str, partition: str = "year_month",
     expected = written.get["n"]
     if expected:
         verify_count(spark.read.parquet(staged), expected)
-    if replace_all:
+    if replace_all or not exists(spark, path):
         _swap(spark, staged, path, f"{staged}-old")
         remove(spark, f"{staged}-old")
     else:

@@ -35,8 +35,8 @@ TX = {
     "tmuserid": "CASE WHEN event_id % 79 <> 0 THEN 'U' || CAST(user_id AS STRING) END",
     "msisdn": f"CASE WHEN event_id % 89 <> 0 AND {_PHONED} THEN 'M' || CAST(user_id % 100 AS STRING) END",
     "cpc": f"CASE WHEN event_id % 83 <> 0 THEN {_CODE} END",
-    "trans_type_id": "CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 3 "
-                     "WHEN 'click' THEN CASE WHEN event_id % 2 = 1 THEN 4 END END",
+    "trans_type_id": "CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 3 "
+                     "WHEN 'click' THEN CASE WHEN event_id % 2 = 1 THEN 4 END END AS BIGINT)",
     "channel_id": "event_id % 6",
     "channel": "CASE WHEN event_type = 'error' OR (event_type = 'click' AND event_id % 2 = 1) THEN NULL "
                "WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 'UPGRADE' "
@@ -60,7 +60,7 @@ TX_LONG_ORDERS = {
     "tmuserid": "'U' || CAST(o_custkey % 700 AS STRING)",
     "msisdn": "'M' || CAST(o_custkey % 500 AS STRING)",
     "cpc": "o_orderkey % 100",
-    "trans_type_id": "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END",
+    "trans_type_id": "CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS BIGINT)",
     "channel_id": "CAST(NULL AS BIGINT)",
     "channel": "o_orderpriority",
     "trans_date": "o_orderdate",
@@ -80,7 +80,7 @@ TX_LONG_LINES = {
     "tmuserid": "'U' || CAST(l_partkey % 700 AS STRING)",
     "msisdn": "CASE WHEN l_returnflag = 'N' THEN 'M' || CAST(l_partkey % 500 AS STRING) END",
     "cpc": "l_orderkey % 100",
-    "trans_type_id": "CASE WHEN l_returnflag = 'N' THEN 4 END",
+    "trans_type_id": "CAST(CASE WHEN l_returnflag = 'N' THEN 4 END AS BIGINT)",
     "channel_id": "CAST(NULL AS BIGINT)",
     "channel": "CASE WHEN l_returnflag = 'A' THEN l_linestatus END",
     "trans_date": "l_shipdate",
@@ -226,7 +226,8 @@ class Data:
         return view(joined, SNAPSHOT)
 
     def source_fact(self) -> DataFrame:
-        return view(self.table("events"), SOURCE_FACT)
+        rows = view(self.table("events"), SOURCE_FACT)
+        return rows.withColumn("request_ts", F.col("request_ts").cast("timestamp_ntz"))
 
     def channels(self) -> DataFrame:
         return view(self.table("region"), SOURCE_CHANNELS)
