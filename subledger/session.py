@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Call-site capture costs a round trip per column expression while a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subledger.functions import month_of
 from subledger.operators.merge import append_rows
 from subledger.schemas import COUNTERS_SCHEMA, FACTS, Fact
 
@@ -90,10 +91,13 @@ def _swap(spark: SparkSession, fresh: str, target: str, aside: str) -> None:
         raise
 
 
-def write_partitioned(rows: DataFrame, path: str, partition: str = "year_month", replace_all: bool = False) -> int:
+def write_partitioned(
+    rows: DataFrame, path: str, partition: str = "year_month", replace_all: bool = False, owned: Sequence[str] = ()
+) -> int:
     """Snappy Parquet by partition; returns the number of rows written.
 
     By default only the partitions present in ``rows`` are replaced; ``replace_all`` replaces the table.
+    A partition in ``owned`` that gets no rows is removed.
     The rows may be computed from the table itself: they are written next to it, the copy's row count is
     checked, and only then are finished directories moved into place. The rebalance keeps files near the
     advisory size, splitting a partition that is too large for one task.
@@ -115,10 +119,14 @@ def write_partitioned(rows: DataFrame, path: str, partition: str = "year_month",
         remove(spark, f"{staged}-old")
     else:
         files, folder = _filesystem(spark, staged)
+        replaced = set()
         for status in files.listStatus(folder):
             name = status.getPath().getName()
             if status.isDirectory() and "=" in name:
                 _swap(spark, f"{staged}/{name}", f"{path}/{name}", f"{staged}/_old/{name}")
+                replaced.add(name)
+        for name in {f"{partition}={value}" for value in owned} - replaced:
+            remove(spark, f"{path}/{name}")
         remove(spark, staged)
     return expected
 
@@ -147,17 +155,18 @@ def append_batch(spark: SparkSession, root: str, fact: Fact, incoming: DataFrame
     write_partitioned(append_rows(existing, incoming, fact), fact_path(root, fact))
 
 
-def load_counters(spark: SparkSession, path: str) -> DataFrame:
-    """The counter table, empty with its schema where there is none yet."""
+def load_counters(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """The counter table, empty with its schema where there is none yet; ``months`` prunes partitions."""
     if not exists(spark, path):
         return spark.createDataFrame([], COUNTERS_SCHEMA)
-    return spark.read.parquet(path).drop("year_month")
+    rows = spark.read.parquet(path)
+    return (rows if months is None else rows.where(F.col("year_month").isin(list(months)))).drop("year_month")
 
 
-def save_counters(counters: DataFrame, path: str) -> None:
-    """Counters by month of their date."""
-    month = F.substring(F.col("date").cast("string"), 1, 7)
-    write_partitioned(counters.withColumn("year_month", month), path, replace_all=True)
+def save_counters(counters: DataFrame, path: str, months: Sequence[str] | None = None) -> int:
+    """Counters by month of their date; only ``months`` are replaced where they are given."""
+    rows = counters.withColumn("year_month", month_of(F.col("date")))
+    return write_partitioned(rows, path, replace_all=months is None, owned=months or ())
 
 
 def write_csv(rows: DataFrame, path: str, separator: str = ",", sort_by: Sequence[str] = ()) -> None:
