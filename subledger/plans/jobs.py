@@ -158,7 +158,7 @@ def build_counters(
     if not todo:
         return 0
     months = sorted({day.strftime("%Y-%m") for day in todo})
-    dates = spark.range(1).select(F.explode(F.array(*[F.lit(day) for day in todo])).alias("date"))
+    dates = spark.createDataFrame([(day,) for day in todo], "date date")
     tx = exclude_users(tx_of(spark, root, months), phones, users)
     existing = tables.load_counters(spark, counters_path(root), months)
     merged = merge_counters(existing, daily_counters(on_dates(tx, dates)), dates, stamp)
