@@ -68,15 +68,18 @@ def _scan(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFr
     return with_position(raw)
 
 
-def with_position(raw: DataFrame) -> DataFrame:
+def with_place(raw: DataFrame) -> DataFrame:
+    """File and block of each row of a file scan."""
     return raw.select(
-        *raw.columns,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+        *raw.columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
     )
 
 
+def with_position(raw: DataFrame) -> DataFrame:
+    """File, block and row number, which together order the rows as they stand in the files."""
+    return with_place(raw).withColumn("_row", F.monotonically_increasing_id())
+
+
 def typed_cell(name: str, kind: T.DataType) -> Column:
     text = blank_to_null(F.col(name))
     if isinstance(kind, T.TimestampNTZType):

@@ -6,10 +6,11 @@ It runs the same functions as the batch job, which are idempotent, so a replayed
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from subledger.schemas import Fact
-from subledger.sources.csv import text_schema, typed, with_position
+from subledger.sources.csv import text_schema, typed, with_place
 from subledger.sources.tables import append_batch
 
 
@@ -26,9 +27,10 @@ def follow_landing(
     )
 
     def append(batch: DataFrame, _: int) -> None:
-        append_batch(batch.sparkSession, root, fact, typed(batch, fact, "_file", "_block", "_row"))
+        numbered = batch.withColumn("_row", F.monotonically_increasing_id())
+        append_batch(batch.sparkSession, root, fact, typed(numbered, fact, "_file", "_block", "_row"))
 
     return (
-        with_position(raw).writeStream.foreachBatch(append)
+        with_place(raw).writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
