@@ -52,11 +52,11 @@ def _parser() -> argparse.ArgumentParser:
 def _results(spark, args) -> dict[str, DataFrame]:
     """Tables to show, by title; building jobs report what they did and show nothing else."""
     root = args.root
-    if args.job == "load-historical":
-        for name, done in jobs.load_historical(spark, args.source, root).items():
-            print(f"{name}: {done.rows_stored} rows, {done.duplicates} duplicates removed")
-    elif args.job == "append-daily":
-        print("appended:", ", ".join(jobs.append_daily(spark, args.source, root, args.day)) or "nothing")
+    if args.job in ("load-historical", "append-daily"):
+        daily = args.job == "append-daily"
+        load = jobs.append_daily(spark, args.source, root, args.day) if daily else jobs.load_historical(spark, args.source, root)
+        for name, done in load.items():
+            print(f"{name}: {done.rows_stored} rows, {done.duplicates} duplicates removed, unparsed dates {done.null_dates}")
     elif args.job == "backfill":
         runs = jobs.backfill(spark, args.source, root, dry_run=args.dry_run)
         return {"missing dates": runs} if runs is not None else {}

@@ -14,11 +14,11 @@ from subledger.operators.gaps import date_set
 from subledger.schemas import COUNTERS_SCHEMA, Fact
 
 
-def append_rows(existing: DataFrame, incoming: DataFrame, fact: Fact) -> DataFrame:
-    """``existing`` plus ``incoming``, one row per key, incoming rows winning.
+def split_append(existing: DataFrame, incoming: DataFrame, fact: Fact) -> tuple[DataFrame, DataFrame]:
+    """Stored rows the batch cannot touch, and the deduplicated rows of the days it touches.
 
     The key holds the event time, so a stored row can only collide with an incoming row of its own day.
-    Rows of other days go straight to the output; only the touched days are shuffled for the dedupe.
+    Rows of other days need no shuffle; only the touched days are shuffled for the dedupe.
     """
     day = F.to_date(F.col(fact.event_date))
     touched = date_set(incoming.select(day.alias("date"))).withColumnRenamed("date", "_day")
@@ -26,7 +26,12 @@ def append_rows(existing: DataFrame, incoming: DataFrame, fact: Fact) -> DataFra
     aside = existing.join(touched, same_day, "left_anti").select(*fact.stored_columns)
     rivals = existing.join(touched, same_day, "left_semi").select(*fact.stored_columns)
     contested = with_batch(rivals, 0).unionByName(with_batch(incoming, 1), allowMissingColumns=True)
-    settled = dedupe_fact(contested, fact).select(*fact.stored_columns)
+    return aside, dedupe_fact(contested, fact).select(*fact.stored_columns)
+
+
+def append_rows(existing: DataFrame, incoming: DataFrame, fact: Fact) -> DataFrame:
+    """``existing`` plus ``incoming``, one row per key, incoming rows winning."""
+    aside, settled = split_append(existing, incoming, fact)
     return aside.unionByName(settled)
 
 

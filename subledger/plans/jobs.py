@@ -12,7 +12,6 @@ Folder layout under ``root``::
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,18 +28,7 @@ from subledger.plans.userbase import LEVELS, user_base_all_levels
 from subledger.schemas import FACTS
 from subledger.sources import csv, tables
 from subledger.sources.snapshots import read_snapshots
-
-
-@dataclass(frozen=True)
-class Loaded:
-    """What one load of a type did."""
-
-    rows_read: int
-    rows_stored: int
-
-    @property
-    def duplicates(self) -> int:
-        return self.rows_read - self.rows_stored
+from subledger.sources.tables import Loaded
 
 
 def transactions(root: str) -> str:
@@ -72,21 +60,20 @@ def load_historical(spark: SparkSession, folder: str, root: str, types: Sequence
         rows = csv.read_strict(spark, fact, paths).observe(seen, F.count(F.lit(1)).alias("n"))
         kept = dedupe_fact(rows, fact).select(*fact.stored_columns)
         stored = tables.write_partitioned(kept, tables.fact_path(transactions(root), fact), replace_all=True)
-        done[name] = Loaded(seen.get["n"] if stored else 0, stored)
+        done[name] = Loaded(0, tables.observed_count(seen), stored, {})
     return done
 
 
-def append_daily(spark: SparkSession, folder: str, root: str, day: str, types: Sequence[str] = fixed.TX_TYPES) -> list[str]:
-    """Append the day's file of every type; returns the types that had one."""
-    done = []
+def append_daily(spark: SparkSession, folder: str, root: str, day: str, types: Sequence[str] = fixed.TX_TYPES) -> dict[str, Loaded]:
+    """Append the day's file of every type that has one."""
+    done = {}
     for name in types:
         fact = FACTS[name]
         path = csv.daily_file(spark, folder, fact, day)
         if path is None:
             continue
         csv.check_arity(spark, fact, path)
-        tables.append_batch(spark, transactions(root), fact, csv.read_lenient(spark, fact, path))
-        done.append(name)
+        done[name] = tables.append_batch(spark, transactions(root), fact, csv.read_lenient(spark, fact, path))
     return done
 
 

@@ -31,13 +31,21 @@ def build_session(app: str = "subledger", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: the one the cluster names, or a local one where none is set."""
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local session may do without: it gets a temporary folder of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    return _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="spark-"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

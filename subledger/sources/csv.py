@@ -135,12 +135,12 @@ def read_strict(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) ->
     A first pass finds the rejected files. Their names, no more than the scan's own file listing, come
     to the driver, so that the second pass does not open them at all.
     """
+    raw = _scan(spark, fact, paths)
     bad = {_plain(row.file_path) for row in rejected_files(spark, fact, paths).collect()}
     if bad:
-        paths = [f for f in map(_plain, _scan(spark, fact, paths).inputFiles()) if f not in bad]
-    if not paths:
-        return spark.createDataFrame([], fact.stored_schema)
-    return typed(_scan(spark, fact, paths), fact, "_file", "_block", "_row")
+        good = [f for f in map(_plain, raw.inputFiles()) if f not in bad]
+        raw = _scan(spark, fact, good) if good else raw.where(F.lit(False))
+    return typed(raw, fact, "_file", "_block", "_row")
 
 
 def load_historical(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:

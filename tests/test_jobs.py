@@ -37,8 +37,10 @@ def test_pipeline(spark, folders, tmp_path):
     assert (done["act"].rows_stored, done["act"].duplicates, done["cnr"].rows_stored) == (2, 1, 1)
     daily = str(tmp_path / "daily")
     put(daily, "act_atlas_day.csv", ACT_HEADER, act("2025-01-05", 3, 10, "0"), act("2025-01-02", 2, 12))
-    for _ in range(2):
-        assert jobs.append_daily(spark, daily, root, "2025-01-05") == ["act"]
+    for duplicates in (1, 2):
+        done = jobs.append_daily(spark, daily, root, "2025-01-05")
+        assert set(done) == {"act"} and done["act"].duplicates == duplicates
+        assert done["act"].null_dates == {"trans_date": 0, "act_date": 0, "reno_date": 2}
         assert tuples(jobs.tx_of(spark, root).select("subscription_id", "cpc", "tx_type")) == [
             (1, 10, "ACT"), (1, 10, "CNR"), (2, 12, "ACT"), (3, 10, "ACT")]
 
@@ -118,3 +120,13 @@ def test_command_line(spark, folders, tmp_path, capsys):
     assert "act: 2 rows, 1 duplicates removed" in shown and "chess" in shown
     cli.main(["--root", root, "--out", str(tmp_path / "csv"), "lifetime", "--dim", str(dim)])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).first().service == "chess"
+
+
+def test_loads_without_a_usable_row(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    put(source, "act_atlas_1.csv", ACT_HEADER, act("2025-01-01", 1, "abc"))
+    put(source, "cnr_atlas_1.csv", "cancel_date,sbn_id,tmuserid,cpc,mode")
+    done = jobs.load_historical(spark, source, root)
+    assert {name: (d.rows_read, d.rows_stored) for name, d in done.items()} == {"act": (0, 0), "cnr": (0, 0)}
+    assert jobs.append_daily(spark, source, root, "2025-01-05")["cnr"].rows_stored == 0
+    assert jobs.tx_of(spark, root).count() == 1  # the lenient daily load keeps the row, without its code
