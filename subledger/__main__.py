@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 
 from subledger.operators.normalise import of_types
 from subledger.operators.users import map_phones
-from subledger.plans import jobs, lookup, quality, reports
+from subledger.plans import jobs, lookup, quality, reports, userbase
 from subledger.session import build_session
 from subledger.sources.dims import load_codes, load_dim, load_excluded
+from subledger.sources.snapshots import read_rollup
 from subledger.sources.tables import write_csv
 
 
@@ -37,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     job("build-counters", ("date", {"nargs": "?"}), ("--start-date", {}), ("--end-date", {}), ("--backfill", {"action": "store_true"}),
         ("--force", {"action": "store_true"}), ("--excluded", {"help": "exclusion list"}), ("--dim", {}))
     job("user-base", source, ("--encoding", {"default": "UTF-8"}))
+    job("reconcile", dim, ("service", {"nargs": "?"}), ("--date", {}))
     job("refunds", dim, ("--months", {"nargs": "+"}))
     job("revenue", dim, ("--services", {"nargs": "+", "required": True}), ("--months", {"nargs": "+", "required": True}))
     job("lifetime", dim, ("service", {"nargs": "?"}), ("month", {"nargs": "?"}))
@@ -70,6 +72,9 @@ def _results(spark, args) -> dict[str, DataFrame]:
             print(jobs.publish_services(spark, root, load_dim(spark, args.dim)))
     elif args.job == "user-base":
         print(jobs.build_user_base(spark, args.source, root, encoding=args.encoding))
+    elif args.job == "reconcile":
+        by_service, by_cpc = (read_rollup(spark, f"{root}/user_base/by_{level}") for level in ("service", "cpc"))
+        return {"differences": userbase.reconcile_user_base(by_service, by_cpc, load_dim(spark, args.dim), args.service, args.date)}
     elif args.job == "refunds":
         rfnd = of_types(jobs.tx_of(spark, root, args.months), "RFND")
         return {"refunds": reports.refund_analysis(rfnd, load_dim(spark, args.dim))}

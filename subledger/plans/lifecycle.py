@@ -119,10 +119,10 @@ def cpc_list(tx: DataFrame) -> DataFrame:
 def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") -> DataFrame:
     """One row per subscription that has an activation or a renewal; 34 columns.
 
-    One scan and two aggregations instead of eight joins. The first groups by subscription and product
-    code, the second by subscription; every measure is a minimum, maximum, sum or count, so both combine
-    before their shuffle, and a subscription holding a large share of the rows is reduced to one row per
-    code and task. ``as_of`` ends the lifetime of open subscriptions.
+    One aggregation by subscription for all measures, and one for the list of codes; both are keyed and
+    partitioned by subscription, so their join adds no shuffle. Every measure is a minimum, maximum, sum
+    or count and combines before the shuffle: a subscription holding a large share of the rows sends one
+    row per task. ``as_of`` ends the lifetime of open subscriptions.
 
     Status and end date look at the existence of a cancellation or deactivation, not at its order
     relative to renewals, so a lifetime can be negative.
@@ -133,17 +133,14 @@ def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") ->
     paid = act | reno
     # Only activations and renewals open a subscription; facts without an id attach to none.
     rows = tx.where(paid | ((dct | cnr | rfnd) & F.col("subscription_id").isNotNull()))
-
     opening = earliest(at, tie, "tmuserid", "msisdn", "cpc", "act_date", "camp_name", "channel", "year_month")
-    per_code = rows.groupBy("subscription_id", "cpc").agg(
+    measures = rows.groupBy("subscription_id").agg(
         F.min(F.when(paid, opening)).alias("opening"),
         F.min(F.when(act, earliest(at, tie, "rev"))).alias("first_act"),
         F.max(F.when(act & upgrade_condition(upgrade_rule), latest(at, tie, "cpc", "rev"))).alias("upgrade"),
         F.max(F.when(paid, latest(at, tie, "cpc"))).alias("newest"),
         F.max(F.when(dct & (F.col("channel") != fixed.UPGRADE_CHANNEL), latest(at, tie, "channel"))).alias("dct"),
         F.max(F.when(cnr, latest(at, tie, "channel"))).alias("cnr"),
-        F.min(F.when(paid, at)).alias("seen"),
-        count_where(paid).alias("paid_rows"),
         count_where(reno).alias("renewals"),
         F.sum(F.when(reno, F.col("rev"))).alias("renewal_rev"),
         F.max(F.when(reno, at)).alias("last_reno"),
@@ -151,17 +148,8 @@ def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") ->
         count_where(rfnd).alias("refunds"),
         F.sum(F.when(rfnd, F.col("rfnd_amount"))).alias("refunded"),
         F.max(F.when(rfnd, at)).alias("last_rfnd"),
-    )
-    listed = F.col("paid_rows") > 0
-    per_sub = per_code.groupBy("subscription_id").agg(
-        F.min("opening").alias("opening"), F.min("first_act").alias("first_act"), F.max("upgrade").alias("upgrade"),
-        F.max("newest").alias("newest"), F.max("dct").alias("dct"), F.max("cnr").alias("cnr"),
-        F.collect_list(F.when(listed, _seen_entry(F.col("seen"), F.col("cpc")))).alias("codes"),
-        F.count(F.when(listed, F.col("cpc"))).alias("cpc_count"),
-        F.sum("renewals").alias("renewals"), F.sum("renewal_rev").alias("renewal_rev"),
-        F.max("last_reno").alias("last_reno"), F.min("first_reno").alias("first_reno"),
-        F.sum("refunds").alias("refunds"), F.sum("refunded").alias("refunded"), F.max("last_rfnd").alias("last_rfnd"),
     ).where("opening is not null")
+    per_sub = measures.join(cpc_list(tx), "subscription_id", "left")
 
     # Rows without a subscription id share one output row that nothing is attached to.
     known = F.col("subscription_id").isNotNull()
@@ -179,11 +167,11 @@ def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") ->
         "subscription_id": F.col("subscription_id"),
         "tmuserid": o["tmuserid"],
         "msisdn": o["msisdn"],
-        "cpc_list": attached(_codes(F.col("codes"))),
-        "cpc_count": attached(F.col("cpc_count")),
+        "cpc_list": F.col("cpc_list"),
+        "cpc_count": F.col("cpc_count"),
         "first_cpc": o["cpc"],
         "current_cpc": attached(F.col("newest.cpc")),
-        "has_upgraded": known & (F.col("cpc_count") > 1),
+        "has_upgraded": F.coalesce(F.col("cpc_count") > 1, F.lit(False)),
         "upgrade_date": attached(F.col("upgrade.at")),
         "upgraded_to_cpc": attached(F.col("upgrade.cpc")),
         "activation_date": o["act_date"],

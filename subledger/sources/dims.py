@@ -80,8 +80,8 @@ def expand_code_sets(raw: DataFrame) -> DataFrame:
 def load_excluded(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Phones and users of an exclusion list, with or without a header line; empties are left out."""
     cells = F.split(F.col("value"), ",")
-    lines = with_position(spark.read.text(path)).select(
-        F.trim(F.element_at(cells, 1)).alias("a"), F.trim(F.try_element_at(cells, F.lit(2))).alias("b")
+    lines = spark.read.text(path).select(
+        *[F.btrim(F.try_element_at(cells, F.lit(i)), F.lit(' "')).alias(c) for i, c in ((1, "a"), (2, "b"))]
     )
     body = lines.where("lower(a) <> 'msisdn'")
     phones = body.where("a <> ''").select(F.col("a").alias("msisdn")).distinct()

@@ -38,3 +38,10 @@ def _numeric(raw: DataFrame) -> DataFrame:
         F.trim(F.col("cpc").cast("string")).try_cast("bigint").alias("cpc"),
         whole_number(F.trim(F.col("count").cast("string"))).alias("count"),
     )
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """A rollup written by ``build_user_base``: pipe-separated, with typed date, code and count."""
+    raw = spark.read.option("header", True).option("sep", "|").option("escape", '"').csv(path)
+    kinds = {"date": "date", "cpc": "bigint", "User_Base": "bigint"}
+    return raw.select(*[F.col(c).try_cast(kinds.get(c, "string")).alias(c) for c in raw.columns])

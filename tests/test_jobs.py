@@ -5,8 +5,10 @@ import pytest
 
 from subledger import __main__ as cli
 from subledger.plans import jobs
-from subledger.schemas import FACTS
-from subledger.sources import tables
+from subledger.plans.userbase import reconcile_user_base
+from subledger.schemas import DIM_SCHEMA, FACTS
+from subledger.sources import dims, tables
+from subledger.sources.snapshots import read_rollup
 from subledger.streaming.landing import follow_landing
 from tests.conftest import tuples
 
@@ -83,6 +85,9 @@ def test_user_base_files(spark, tmp_path):
     back = spark.read.option("header", True).option("sep", "|").csv(out["service"])
     assert back.columns == ["date", "service_name", "tme_category", "User_Base"]
     assert tuples(back) == [("2025-01-02", "Chess", "Edu_Ima", "7")]
+    dim = dims.complete_dim(spark.createDataFrame([(1, "Chess", "", 0, 0.0)], DIM_SCHEMA))
+    differences = reconcile_user_base(read_rollup(spark, out["service"]), read_rollup(spark, out["cpc"]), dim)
+    assert tuples(differences) == [("Chess", date(2025, 1, 2), 7, 4, 3)]
     assert tuples(spark.read.option("header", True).option("sep", "|").csv(out["cpc"])) == [("2025-01-02", "1", "4"), ("2025-01-02", "2", "3")]
 
 
