@@ -45,14 +45,19 @@ def missing_dates(
 ) -> DataFrame:
     """Dates between the first present date (or ``start``) and the last one (or ``end``) that are absent.
 
-    ``start`` and ``end`` may refer to the columns ``min_date`` and ``max_date`` of each group.
+    ``start`` and ``end`` may refer to the columns ``min_date`` and ``max_date`` of each group. A group's
+    present dates, at most one per calendar day, are kept as a set, so one scan gives bounds and gaps.
     """
-    bounds = dates.groupBy(*by).agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+    present = dates.groupBy(*by).agg(F.collect_set("date").alias("have")).withColumns(
+        {"min_date": F.array_min("have"), "max_date": F.array_max("have")}
+    )
     low = start if start is not None else F.col("min_date")
     high = end if end is not None else F.col("max_date")
-    bounds = bounds.select(*by, low.alias("lo"), high.alias("hi")).where("lo <= hi")
-    days = bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date"))
-    return days.join(dates.select(*by, "date"), [*by, "date"], "left_anti")
+    span = F.sequence("lo", "hi", F.expr("interval 1 day"))
+    return (
+        present.select(*by, "have", low.alias("lo"), high.alias("hi")).where("lo <= hi")
+        .select(*by, F.explode(F.array_except(span, F.col("have"))).alias("date"))
+    )
 
 
 def gap_ranges(missing: DataFrame, by: Sequence[str] = ()) -> DataFrame:

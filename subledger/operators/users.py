@@ -16,12 +16,13 @@ INLINE_KEYS = 1000
 
 def _without(rows: DataFrame, listed: DataFrame, column: str, applies: Column | None, keep_null_ids: bool) -> DataFrame:
     ids = listed.select(F.col(listed.columns[0]).cast("string").alias("_id")).where("_id <> ''").distinct()
+    if ids.isEmpty():
+        return rows
     if not keep_null_ids:
         # A row without an id is dropped as soon as anything is listed; types that have no such
         # column are not subject to the rule.
-        none_listed = ids.select(F.count(F.lit(1))).scalar() == 0
-        exempt = none_listed | F.col(column).isNotNull()
-        rows = rows.where(exempt if applies is None else exempt | ~applies)
+        has_id = F.col(column).isNotNull()
+        rows = rows.where(has_id if applies is None else has_id | ~applies)
     return rows.join(ids, F.col(column) == F.col("_id"), "left_anti")
 
 
@@ -33,8 +34,9 @@ def exclude_users(
 ) -> DataFrame:
     """Drop the transactions of listed phones, then of listed users.
 
-    Cancellations and refunds carry no phone, so only the user list applies to them. The lists are
-    joined, and broadcast only when their size is under the session's threshold.
+    Cancellations and refunds carry no phone, so only the user list applies to them. An empty list
+    excludes nothing. The lists are joined, and broadcast only when their size is under the session's
+    threshold.
     """
     if phones is not None:
         has_phone = ~F.col("tx_type").isin("CNR", "RFND")

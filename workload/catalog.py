@@ -43,7 +43,7 @@ COUNT_SUMS = ", ".join(f"{n(f'SUM({c})')} AS {c}" for c in fixed.COUNT_COLUMNS)
 
 
 def flat(rows: DataFrame) -> DataFrame:
-    """Lists as text and doubles to cents, for comparison across engines."""
+    """Lists as text, for comparison across engines."""
     out = []
     for f in rows.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -364,7 +364,7 @@ add("reconcile_user_base",
 
 def _dated_files(d: Data) -> DataFrame:
     """Snapshots written under dated names and read back with the date taken from the name."""
-    path = d._written("snapshots", lambda p: _write_snapshots(d, p))
+    path = d.written("snapshots", lambda p: _write_snapshots(d, p))
     return sn.clean_snapshot(
         d.spark.read.option("header", True).schema("service_name string, tme_category string, cpc string, count string")
         .csv(path).withColumn("folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
@@ -521,7 +521,7 @@ _LIST_LINES = "CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'M' || CAST(s_suppkey AS
 def _excluded_file(d: Data) -> DataFrame:
     from subledger.sources.dims import load_excluded
 
-    path = d._written("excluded", lambda p: d.table("supplier").selectExpr(f"{_LIST_LINES} AS value").write.text(p))
+    path = d.written("excluded", lambda p: d.table("supplier").selectExpr(f"{_LIST_LINES} AS value").write.text(p))
     phones, users = load_excluded(d.spark, path)
     return phones.selectExpr("'msisdn' AS kind", "msisdn AS id").unionByName(users.selectExpr("'tmuserid' AS kind", "tmuserid AS id"))
 
@@ -589,7 +589,7 @@ def _write_strict(d: Data, path: str) -> None:
 
 
 add("scan_csv_strict",
-    lambda d: sc.load_historical(d.spark, _ACT, d._written("strict", lambda p: _write_strict(d, p)))
+    lambda d: sc.load_historical(d.spark, _ACT, d.written("strict", lambda p: _write_strict(d, p)))
     .groupBy("tef_prov", "cpc").agg(F.count(F.lit(1)).alias("loaded"), round_half_up(F.sum("rev"), 2).alias("rev")),
     sql("", f"SELECT event_id % 4 AS tef_prov, {fx._CODE} AS cpc, COUNT(*) AS loaded, {r('SUM(value)')} AS rev FROM events "
         "WHERE event_type = 'signup' AND event_id % 4 <> 1 GROUP BY 1, 2"))

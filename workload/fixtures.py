@@ -257,12 +257,12 @@ class Data:
         return read_facts(self.spark, self.store_root())
 
     def store_root(self) -> str:
-        return self._written("facts", self._write_store)
+        return self.written("facts", self._write_store)
 
     def csv_folder(self) -> str:
-        return self._written("extract", self._write_csv)
+        return self.written("extract", self._write_csv)
 
-    def _written(self, label: str, write) -> str:
+    def written(self, label: str, write) -> str:
         """Path of something written once per application and folder."""
         key = (self.spark.sparkContext.applicationId, self.folder, label)
         if key not in _WRITTEN:
