@@ -4,7 +4,10 @@ from datetime import date
 import pytest
 
 from subledger import __main__ as cli
+from subledger.operators.normalise import of_types
 from subledger.plans import jobs
+from subledger.plans.counters import daily_counters
+from subledger.plans.lookup import user_timeline
 from subledger.plans.userbase import reconcile_user_base
 from subledger.schemas import DIM_SCHEMA, FACTS
 from subledger.sources import dims, tables
@@ -60,6 +63,8 @@ def test_pipeline(spark, folders, tmp_path):
     phones = spark.createDataFrame([("m1",)], "p string")
     assert jobs.build_counters(spark, root, "2025-01-05", force=True, phones=phones) == 1
     assert tables.load_counters(spark, jobs.counters_path(root)).count() == 3
+    # A day whose rows are all excluded has no counters, so it stays among the days to process.
+    assert tuples(jobs.dates_to_process(spark, root)) == [(date(2025, 1, 5),)]
     # A forced month that has no rows left disappears with its folder.
     assert jobs.build_counters(spark, root, "2024-12-30", force=True, phones=phones) == 1
     assert not os.path.exists(f"{jobs.counters_path(root)}/year_month=2024-12")
@@ -135,3 +140,35 @@ def test_loads_without_a_usable_row(spark, tmp_path):
     assert {name: (d.rows_read, d.rows_stored) for name, d in done.items()} == {"act": (0, 0), "cnr": (0, 0)}
     assert jobs.append_daily(spark, source, root, "2025-01-05")["cnr"].rows_stored == 0
     assert jobs.tx_of(spark, root).count() == 1  # the lenient daily load keeps the row, without its code
+
+
+def test_scans_read_only_what_is_needed(spark, folders):
+    source, root = folders
+    jobs.load_historical(spark, source, root)
+
+    def scans(rows):
+        return [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+
+    tx = jobs.tx_of(spark, root, ["2025-01"])
+    for line in scans(daily_counters(tx)):
+        assert "campana_id" not in line and "tmuserid" not in line and "PartitionFilters: [isnotnull(year_month" in line
+    # Asking for one type leaves one table to scan; one user's subscriptions are filtered for in the scan.
+    assert len(scans(of_types(tx, "CNR"))) == 1
+    lines = scans(user_timeline(tx, "msisdn", "m1"))
+    assert lines and all("EqualTo(subscription_id,2)" in line or "EqualTo(sbn_id,2)" in line for line in lines)
+
+
+def test_failed_check_leaves_the_old_table(spark, folders, monkeypatch):
+    source, root = folders
+    jobs.load_historical(spark, source, root)
+    before = tuples(jobs.tx_of(spark, root))
+
+    def fail(*_):
+        raise tables.RowCountMismatch("short")
+
+    monkeypatch.setattr(tables, "verify_count", fail)
+    with pytest.raises(tables.RowCountMismatch):
+        jobs.append_daily(spark, source, root, "2025-01-05", ["act"])
+    with pytest.raises(tables.RowCountMismatch):
+        jobs.load_historical(spark, source, root, ["act"])
+    assert tuples(jobs.tx_of(spark, root)) == before

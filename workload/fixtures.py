@@ -174,10 +174,10 @@ def select_text(columns: dict[str, str]) -> str:
 
 def view(rows: DataFrame, columns: dict[str, str], schema=None) -> DataFrame:
     """The view's columns over Spark rows, cast to a schema where one is given."""
-    out = rows.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
-    if schema is None:
-        return out
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    kinds = {} if schema is None else {f.name: f.dataType.simpleString() for f in schema.fields}
+    return rows.selectExpr(*[
+        f"CAST({expr} AS {kinds[name]}) AS {name}" if name in kinds else f"{expr} AS {name}" for name, expr in columns.items()
+    ])
 
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
