@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from subledger import fixed_values as fixed
 from subledger.functions import grouped_category, list_text, month_of, round_half_up, with_country_code
-from subledger.operators.dedupe import dedupe_fact, duplicate_counts, with_batch
+from subledger.operators.dedupe import dedupe_fact, duplicate_counts
 from subledger.operators.gaps import backfill_rows, date_range, distinct_dates, gap_ranges, missing_dates
-from subledger.operators.merge import append_rows, merge_counters, union_all
+from subledger.operators.merge import append_rows, merge_counters
 from subledger.operators.normalise import normalise, of_types
 from subledger.operators.users import exclude_users, map_phones, mapping_coverage
 from subledger.plans import counters as pc
@@ -31,7 +31,7 @@ from subledger.sources import csv as sc
 from subledger.sources import extract as se
 from subledger.sources import snapshots as sn
 from subledger.sources import tables as st
-from subledger.sources.dims import build_dim, complete_dim, expand_code_sets
+from subledger.sources.dims import build_dim, expand_code_sets, load_excluded
 from workload import fixtures as fx
 from workload.fixtures import AS_OF, LONG_AS_OF, Data
 from workload.sql import COUNTERS, n, r, sql
@@ -519,8 +519,6 @@ _LIST_LINES = "CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'M' || CAST(s_suppkey AS
 
 
 def _excluded_file(d: Data) -> DataFrame:
-    from subledger.sources.dims import load_excluded
-
     path = d.written("excluded", lambda p: d.table("supplier").selectExpr(f"{_LIST_LINES} AS value").write.text(p))
     phones, users = load_excluded(d.spark, path)
     return phones.selectExpr("'msisdn' AS kind", "msisdn AS id").unionByName(users.selectExpr("'tmuserid' AS kind", "tmuserid AS id"))
