@@ -59,6 +59,8 @@ def _results(spark, args) -> dict[str, DataFrame]:
         load = jobs.append_daily(spark, args.source, root, args.day) if daily else jobs.load_historical(spark, args.source, root)
         for name, done in load.items():
             print(f"{name}: {done.rows_stored} rows, {done.duplicates} duplicates removed, unparsed dates {done.null_dates}")
+            for path, rows in done.rejected.items():
+                print(f"  rejected {path}: {rows} faulty rows")
     elif args.job == "backfill":
         runs = jobs.backfill(spark, args.source, root, dry_run=args.dry_run)
         return {"missing dates": runs} if runs is not None else {}

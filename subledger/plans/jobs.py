@@ -56,11 +56,11 @@ def load_historical(spark: SparkSession, folder: str, root: str, types: Sequence
         paths = csv.list_files(spark, folder, fact)
         if not paths:
             continue
-        seen = Observation()
-        rows = csv.read_strict(spark, fact, paths).observe(seen, F.count(F.lit(1)).alias("n"))
+        seen, rejected = Observation(), csv.rejections(spark, fact, paths)
+        rows = csv.read_strict(spark, fact, paths, rejected).observe(seen, F.count(F.lit(1)).alias("n"))
         kept = dedupe_fact(rows, fact).select(*fact.stored_columns)
         stored = tables.write_partitioned(kept, tables.fact_path(transactions(root), fact), replace_all=True)
-        done[name] = Loaded(0, tables.observed_count(seen), stored, {})
+        done[name] = Loaded(0, tables.observed_count(seen), stored, rejected=rejected)
     return done
 
 

@@ -129,16 +129,22 @@ def _plain(uri: str) -> str:
     return unquote(re.sub(r"^file:/+", "file:/", uri))
 
 
-def read_strict(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:
-    """Only files without a faulty row; the others are listed by ``rejected_files``.
+def rejections(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> dict[str, int]:
+    """Rejected files and their faulty rows on the driver; no more entries than the scan's own file listing."""
+    return {_plain(row.file_path): row.bad_rows for row in rejected_files(spark, fact, paths).collect()}
 
-    A first pass finds the rejected files. Their names, no more than the scan's own file listing, come
-    to the driver, so that the second pass does not open them at all.
+
+def read_strict(
+    spark: SparkSession, fact: Fact, paths: str | Sequence[str], rejected: dict[str, int] | None = None
+) -> DataFrame:
+    """Only files without a faulty row, so that rejected ones are not opened again.
+
+    ``rejected`` is the result of ``rejections``, found here where it is not given.
     """
+    rejected = rejections(spark, fact, paths) if rejected is None else rejected
     raw = _scan(spark, fact, paths)
-    bad = {_plain(row.file_path) for row in rejected_files(spark, fact, paths).collect()}
-    if bad:
-        good = [f for f in map(_plain, raw.inputFiles()) if f not in bad]
+    if rejected:
+        good = [f for f in map(_plain, raw.inputFiles()) if f not in rejected]
         raw = _scan(spark, fact, good) if good else raw.where(F.lit(False))
     return typed(raw, fact, "_file", "_block", "_row")
 

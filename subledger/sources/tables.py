@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -153,12 +153,13 @@ def verify_count(table: DataFrame, expected: int) -> None:
 
 @dataclass(frozen=True)
 class Loaded:
-    """What one load of a type did; ``null_dates`` counts the unparsed dates per column."""
+    """What one load of a type did: row counts, unparsed dates per column, faulty rows per rejected file."""
 
     rows_before: int
     rows_read: int
     rows_stored: int
-    null_dates: dict[str, int]
+    null_dates: dict[str, int] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
 
     @property
     def duplicates(self) -> int:

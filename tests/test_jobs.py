@@ -138,6 +138,7 @@ def test_loads_without_a_usable_row(spark, tmp_path):
     put(source, "cnr_atlas_1.csv", "cancel_date,sbn_id,tmuserid,cpc,mode")
     done = jobs.load_historical(spark, source, root)
     assert {name: (d.rows_read, d.rows_stored) for name, d in done.items()} == {"act": (0, 0), "cnr": (0, 0)}
+    assert [os.path.basename(f) for f in done["act"].rejected] == ["act_atlas_1.csv"] and not done["cnr"].rejected
     assert jobs.append_daily(spark, source, root, "2025-01-05")["cnr"].rows_stored == 0
     assert jobs.tx_of(spark, root).count() == 1  # the lenient daily load keeps the row, without its code
 
