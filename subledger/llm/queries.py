@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from subledger.llm.decontamination import op10_positional_index
 from subledger.llm.mixing import op6_water_filling
 from subledger.llm.sharding import op5_hypergeometric_shards
 
 QUERIES = {
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_water_filling": op6_water_filling,
+    "op10_positional_index": op10_positional_index,
 }
 # SQL counterparts, where SQL can express the query.
 ORACLES: dict[str, str] = {}
