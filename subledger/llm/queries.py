@@ -5,11 +5,13 @@ from __future__ import annotations
 from subledger.llm.decontamination import op10_positional_index
 from subledger.llm.mixing import op6_water_filling
 from subledger.llm.ngram_join import op1_ngram_join
+from subledger.llm.quality import op2_robust_outliers
 from subledger.llm.sharding import op5_hypergeometric_shards
 from subledger.llm.token_counts import op4_heap_bpe_counts
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_robust_outliers": op2_robust_outliers,
     "op4_heap_bpe_counts": op4_heap_bpe_counts,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_water_filling": op6_water_filling,
