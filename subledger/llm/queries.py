@@ -8,10 +8,12 @@ from subledger.llm.ngram_join import op1_ngram_join
 from subledger.llm.quality import op2_robust_outliers
 from subledger.llm.sharding import op5_hypergeometric_shards
 from subledger.llm.token_counts import op4_heap_bpe_counts
+from subledger.llm.warc import op3_warc_round_trip
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_robust_outliers": op2_robust_outliers,
+    "op3_warc_round_trip": op3_warc_round_trip,
     "op4_heap_bpe_counts": op4_heap_bpe_counts,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_water_filling": op6_water_filling,
