@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from subledger.llm.decontamination import op10_positional_index
+from subledger.llm.html_text import op7_boosted_dom_text
 from subledger.llm.language_model import op9_backoff_automaton
 from subledger.llm.mixing import op6_water_filling
 from subledger.llm.ngram_join import op1_ngram_join
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_heap_bpe_counts": op4_heap_bpe_counts,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_water_filling": op6_water_filling,
+    "op7_boosted_dom_text": op7_boosted_dom_text,
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_positional_index": op10_positional_index,
 }
