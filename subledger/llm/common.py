@@ -9,8 +9,9 @@ from subledger.session import scratch_path
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
-# Largest value of a 63-bit key.
 KEY_BITS = 63
+# Files of a stored table that holds one row per group.
+FEW = 8
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,13 +19,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, files: int | None = None, numeric: bool = False) -> DataFrame:
     """The rows, written to the shared folder and read again: their lineage ends there.
 
-    What a lost executor held is read again from these files, never drawn or numbered anew.
+    What a lost executor held is read again from these files, never drawn or numbered anew. ``files`` bounds the
+    number of files of a table that has been aggregated to little; ``numeric`` leaves out the compression, which
+    gains nothing on hashes and floating point numbers and holds memory outside the heap for every column read.
     """
     path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
+    if files:
+        rows = rows.coalesce(files)
+    rows.write.parquet(path, compression="uncompressed" if numeric or files else None)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subledger.llm.common import KEY_BITS, count_words, keeping, key63, stored, table
+from subledger.llm.common import FEW, KEY_BITS, count_words, keeping, key63, stored, table
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -69,7 +69,7 @@ def recipe(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     sources = stored(
-        ranked(totals, F.col("source").asc_nulls_last()).withColumn("weight", weight.cast("double")), "sources")
+        ranked(totals, F.col("source").asc_nulls_last()).withColumn("weight", weight.cast("double")), "sources", FEW)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     state = stored(
         water_filled(sources, max_epochs)
@@ -79,7 +79,7 @@ def recipe(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
             F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)).alias("part"),
             F.lit(0).cast("long").alias("bin"), F.lit(0.0).alias("before"),
         ),
-        "recipe",
+        "recipe", FEW,
     )
     shift = KEY_BITS
     for round_ in range(ROUNDS):
@@ -106,7 +106,7 @@ def recipe(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
                 F.coalesce(F.col("f.after") - F.col("f.words"), F.lit(0.0)).alias("before"),
                 F.coalesce("f.words", F.lit(0)).alias("words"),
             ),
-            "recipe",
+            "recipe", FEW,
         )
     # The document at the cut is taken if that brings the source nearer to its target.
     taken = F.col("part") - F.col("before") >= F.col("words") / 2

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subledger.llm.common import SPACES, keeping, stored, table
+from subledger.llm.common import FEW, SPACES, keeping, stored, table
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent
@@ -229,7 +229,7 @@ def group_key(rows: DataFrame) -> DataFrame:
         F.col("lang").alias("_lang"), F.col("source").alias("_source"), "members",
         F.when(F.col("members") >= MIN_GROUP, F.struct(F.col("lang"), F.col("source"), F.lit(False).alias("small")))
         .otherwise(F.struct(F.col("lang"), F.lit(None).cast("string").alias("source"), F.lit(True).alias("small"))).alias("key"),
-    ).select("_lang", "_source", "members", F.to_json("key").alias("g")), "groups")
+    ).select("_lang", "_source", "members", F.to_json("key").alias("g")), "groups", FEW)
 
 
 def fitted(rows: DataFrame) -> DataFrame:
@@ -238,18 +238,18 @@ def fitted(rows: DataFrame) -> DataFrame:
     own = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     points = rows.where(~F.col("base_failed")).select("lang", "source", F.array(*vector()).alias("x")).join(groups, own).select("g", "x")
     enough = points.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_GROUP).select("g")
-    points = stored(points.join(enough, "g", "left_semi"), "points")
-    fit = stored(_starts(points), "fit")
+    points = stored(points.join(enough, "g", "left_semi"), "points", numeric=True)
+    fit = stored(_starts(points), "fit", FEW)
     tried = points.join(fit.select("g", "start", "origin"), "g")
     keys = ["g", "start"]
     for _ in range(STEPS):
-        fit = stored(moments(nearest_share(tried, fit, keys), keys, consistency(SHARE)), "fit")
+        fit = stored(moments(nearest_share(tried, fit, keys), keys, consistency(SHARE)), "fit", FEW)
     best = Window.partitionBy("g").orderBy("logdet", "start")
     fit = fit.withColumn("place", F.row_number().over(best)).where("place = 1").select("g", "origin", "center", "inverse")
     # Reweighting: all points that the raw estimate finds ordinary.
     inside = points.join(fit, "g").where(squared_distance() <= chi_square_quantile(1 - REWEIGHT_TAIL, DIMENSIONS))
     final = moments(inside.select("g", "origin", "x"), ["g"], consistency(1 - REWEIGHT_TAIL))
-    return stored(groups.join(final, "g", "left").select("_lang", "_source", "center", "inverse"), "final")
+    return stored(groups.join(final, "g", "left").select("_lang", "_source", "center", "inverse"), "final", FEW)
 
 
 def judged(rows: DataFrame) -> DataFrame:
@@ -274,5 +274,5 @@ def good_documents(docs: DataFrame) -> DataFrame:
 def op2_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics and verdict of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    rows = stored(text_statistics(docs).drop("text"), "statistics")
+    rows = stored(text_statistics(docs).drop("text"), "statistics", numeric=True)
     return judged(rows).select("doc_id", *STATISTICS, "base_failed", "kept", "distance", "lang", "source")
