@@ -9,6 +9,7 @@ from subledger.llm.mixing import op6_water_filling
 from subledger.llm.ngram_join import op1_ngram_join
 from subledger.llm.quality import op2_robust_outliers
 from subledger.llm.sharding import op5_hypergeometric_shards
+from subledger.llm.suffix_dedup import op8_suffix_array_dedup
 from subledger.llm.token_counts import op4_heap_bpe_counts
 from subledger.llm.warc import op3_warc_round_trip
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_water_filling": op6_water_filling,
     "op7_boosted_dom_text": op7_boosted_dom_text,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_positional_index": op10_positional_index,
 }
