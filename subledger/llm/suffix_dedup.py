@@ -266,16 +266,17 @@ def _shard_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield rows(c[of[starts]], place[starts], place[stops], own[starts], high[of[starts]])
         if split.any():
             # Windows of one class have one anchor, so a class lies in one cut anchor or in none.
-            shard = mixed((h ^ (salt.astype(np.int64) << 20)).view(np.uint64)).view(np.int64)
+            # The shard is named by its first context, which is in no other one.
+            shard = mixed(mixed(h[:1].view(np.uint64)) + c[:1].view(np.uint64)).view(np.int64)
             cls, some = np.unique(classes[split], return_index=True)
             w = np.flatnonzero(split)[some]
             sums = prefix_sums(data)
             d1 = span_hash(sums, at[w], at[w] + WINDOW)
             half = WINDOW // 2
             d2 = mixed(span_hash(sums, at[w], at[w] + half) + np.uint64(3) * span_hash(sums, at[w] + half, at[w] + WINDOW))
-            yield rows(None, None, None, owner[cls], None, shard[of[w]], cls, d1.view(np.int64), d2.view(np.int64), n=len(w))
+            yield rows(None, None, None, owner[cls], None, np.repeat(shard, len(w)), cls, d1.view(np.int64), d2.view(np.int64), n=len(w))
             w = np.flatnonzero(split)
-            yield rows(c[of[w]], place[w], place[w], None, high[of[w]], shard[of[w]], classes[w])
+            yield rows(c[of[w]], place[w], place[w], None, high[of[w]], np.repeat(shard, len(w)), classes[w])
 
     def rows(*columns, n=None):
         n = len(columns[0]) if n is None else n
