@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subledger.llm.common import stored, table
+from subledger.llm.common import release, stored, table
 from subledger.llm.decontamination import decontaminated
 from subledger.llm.mixing import mix
 from subledger.llm.ngram_join import one_of_each
@@ -57,6 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again for the next."""
     docs = table(spark, sf_dir, "documents")
     for place, (_, stage) in enumerate(STAGES):
+        release(spark)
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES) - 1:
             docs = stored(docs, "stage")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def stored(rows: DataFrame, label: str, files: int | None = None, numeric: bool
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver forget finished work: shuffle files and memory of the plans stay until it collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def key63(*parts: Column | int) -> Column:
     """A seeded hash of the parts, as a non-negative long."""
     return F.shiftrightunsigned(F.xxhash64(*[p if isinstance(p, Column) else F.lit(p) for p in parts]), 1)

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from subledger.llm.common import stored, table
 
 SAMPLE_PAGES = 200
-# Training pages made of one sample page's pieces.
-LAYOUTS = 4
+# Training pages made of the sample's pieces: of fewer pages, more are made of each.
+TRAINING_PAGES = 800
 TREES, DEPTH, STEP = 20, 5, 0.3
 SEED = 7
 PAGES_AT_ONCE = 64
@@ -363,14 +363,14 @@ def layout(article: list[str], other: list[str], rng: random.Random) -> str:
     return f"<html><body>{''.join(first)}{main}{''.join(last)}</body></html>"
 
 
-def examples(source: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def examples(source: str, seed: int, layouts: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the nodes of some training pages made of one page's pieces."""
     article, other = _pieces(read_page(source))
     if not article:
         return np.zeros((0, 1)), np.zeros(0)
     xs, ys = [], []
-    for k in range(LAYOUTS):
-        rng = random.Random(seed * LAYOUTS + k)
+    for k in range(layouts):
+        rng = random.Random(seed * layouts + k)
         made = layout(article, other, rng)
         page = read_page(made)
         nodes = page.nodes
@@ -388,7 +388,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees | None:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for source, seed in zip(batch.column("html").to_pylist(), batch.column("seed").to_pylist()):
-                x, y = examples(source, seed)
+                x, y = examples(source, seed, layouts)
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(x.tolist()), pa.array(y)], names=["x", "label"])
 
@@ -397,6 +397,8 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees | None:
         pages.select("html", seed.alias("seed")).where("html LIKE '%<article%' OR html LIKE '%<main%'")
         .orderBy("seed", "html").limit(sample)
     )
+    some = stored(some, "sample")
+    layouts = -(-TRAINING_PAGES // max(some.count(), 1))
     rows = stored(some.mapInArrow(make, "x array<double>, label double"), "examples")
     if not rows.where("label = 1").take(1) or not rows.where("label = 0").take(1):
         return None

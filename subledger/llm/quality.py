@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subledger.llm.common import FEW, SPACES, keeping, stored, table
+from subledger.llm.common import FEW, SPACES, keeping, release, stored, table
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent
@@ -42,7 +42,7 @@ MIN_GROUP = 40
 TAIL = 1e-7
 REWEIGHT_TAIL = 0.025
 # Histogram bins per factor e of the squared distance.
-FINENESS = 64
+FINENESS = 20
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
@@ -147,27 +147,35 @@ def inverted(scatter: Column) -> Column:
 PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
 
 
-def moments(points: DataFrame, keys: list[str], factor: float) -> DataFrame:
-    """Location and inverse scatter per key, from sums of ``x`` and of products around ``origin``.
+SUMS = [f"s{i}" for i in range(DIMENSIONS)] + [f"q{i}{j}" for i, j in PAIRS]
+
+
+def summed(points: DataFrame, *keys: str) -> DataFrame:
+    """Count and sums of ``x`` and of its products around ``origin``, per key.
 
     Sums are decimals of fixed scale: they do not depend on the order of rows.
     """
-    exact = "decimal(38,12)"
-    y = [(F.col("x")[i] - F.col("origin")[i]) for i in range(DIMENSIONS)]
-    sums = [F.sum(y[i].cast("decimal(24,12)")).cast("double").alias(f"s{i}") for i in range(DIMENSIONS)]
-    products = [F.sum((y[i] * y[j]).cast("decimal(24,12)")).cast(exact).cast("double").alias(f"q{i}{j}") for i, j in PAIRS]
+    y = [F.col("x")[i] - F.col("origin")[i] for i in range(DIMENSIONS)]
+    terms = y + [y[i] * y[j] for i, j in PAIRS]
+    return points.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.first("origin").alias("origin"),
+        *[F.sum(term.cast("decimal(24,12)")).alias(name) for term, name in zip(terms, SUMS)])
+
+
+def estimate(sums: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    """(keys, ``origin``, ``center``, ``inverse``, ``logdet``) from sums."""
     n = F.col("n").cast("double")
-    mean = [F.col(f"s{i}") / n for i in range(DIMENSIONS)]
+    mean = [F.col(f"s{i}").cast("double") / n for i in range(DIMENSIONS)]
 
     def cell(i, j):
         i, j = min(i, j), max(i, j)
-        spread = F.greatest(F.col(f"q{i}{j}") / n - mean[i] * mean[j], F.lit(0.0)) if i == j else F.col(f"q{i}{j}") / n - mean[i] * mean[j]
-        return spread * factor + (FLOORS[i] if i == j else 0.0)
+        spread = F.col(f"q{i}{j}").cast("double") / n - mean[i] * mean[j]
+        return (F.greatest(spread, F.lit(0.0)) if i == j else spread) * factor + (FLOORS[i] if i == j else 0.0)
 
-    grouped = points.groupBy(*keys, "origin").agg(F.count("*").alias("n"), *sums, *products)
     rows = F.array(*[F.array(*[cell(i, j) for j in range(DIMENSIONS)]) for i in range(DIMENSIONS)])
+    center = F.array(*[F.col("origin")[i] + mean[i] for i in range(DIMENSIONS)])
     return (
-        grouped.select(*keys, "origin", F.array(*[F.col("origin")[i] + mean[i] for i in range(DIMENSIONS)]).alias("center"), rows.alias("scatter"))
+        sums.select(*keys, "origin", center.alias("center"), rows.alias("scatter"))
         .withColumn("i", inverted(F.col("scatter")))
         .select(*keys, "origin", "center", "i.inverse", "i.logdet")
     )
@@ -181,23 +189,22 @@ def squared_distance() -> Column:
         d[i] * d[j] * inverse[i * DIMENSIONS + j] * (1.0 if i == j else 2.0) for i, j in PAIRS])
 
 
-def _bin(d: Column) -> Column:
-    return F.floor(F.log(d + 1e-6) * FINENESS).cast("long")
-
+def concentrated(points: DataFrame, fit: DataFrame) -> DataFrame:
+    """One concentration step: the estimate from the nearest ``SHARE`` of each group under ``fit``.
 
-def nearest_share(points: DataFrame, fit: DataFrame, keys: list[str]) -> DataFrame:
-    """The points in the nearest ``SHARE`` of their group under ``fit``; the bin at the edge is kept whole."""
-    near = points.join(fit.drop("origin"), keys).withColumn("bin", _bin(squared_distance()))
-    by_group = Window.partitionBy(*keys).orderBy("bin")
-    # Bins per group are bounded by the range of a double's logarithm.
-    edge = (
-        near.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-        .withColumn("until", F.sum("n").over(by_group))
-        .withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
-        .where(F.col("until") >= F.ceil(F.col("all") * SHARE))
-        .groupBy(*keys).agg(F.min("bin").alias("edge"))
+    Points are summed by bins of their distance, in one pass; the nearest bins are those before the one in which the
+    share is reached, and this one as a whole. Bins per group are bounded by the range of a double's logarithm.
+    """
+    near = points.join(fit.drop("logdet"), "g").withColumn("bin", F.floor(F.log(squared_distance() + 1e-6) * FINENESS).cast("int"))
+    group = Window.partitionBy("g", "start")
+    bins = (
+        summed(near, "g", "start", "bin")
+        .withColumn("until", F.sum("n").over(group.orderBy("bin")))
+        .withColumn("all", F.sum("n").over(group))
+        .where(F.col("until") - F.col("n") < F.ceil(F.col("all") * SHARE))
+        .groupBy("g", "start").agg(F.first("origin").alias("origin"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
     )
-    return near.join(edge, keys).where("bin <= edge").select(*points.columns)
+    return estimate(bins, ["g", "start"], consistency(SHARE))
 
 
 def _starts(points: DataFrame) -> DataFrame:
@@ -240,15 +247,14 @@ def fitted(rows: DataFrame) -> DataFrame:
     enough = points.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_GROUP).select("g")
     points = stored(points.join(enough, "g", "left_semi"), "points", numeric=True)
     fit = stored(_starts(points), "fit", FEW)
-    tried = points.join(fit.select("g", "start", "origin"), "g")
-    keys = ["g", "start"]
     for _ in range(STEPS):
-        fit = stored(moments(nearest_share(tried, fit, keys), keys, consistency(SHARE)), "fit", FEW)
+        fit = stored(concentrated(points, fit), "fit", FEW)
+        release(rows.sparkSession)
     best = Window.partitionBy("g").orderBy("logdet", "start")
     fit = fit.withColumn("place", F.row_number().over(best)).where("place = 1").select("g", "origin", "center", "inverse")
     # Reweighting: all points that the raw estimate finds ordinary.
     inside = points.join(fit, "g").where(squared_distance() <= chi_square_quantile(1 - REWEIGHT_TAIL, DIMENSIONS))
-    final = moments(inside.select("g", "origin", "x"), ["g"], consistency(1 - REWEIGHT_TAIL))
+    final = estimate(summed(inside, "g"), ["g"], consistency(1 - REWEIGHT_TAIL))
     return stored(groups.join(final, "g", "left").select("_lang", "_source", "center", "inverse"), "final", FEW)
 
 
@@ -268,6 +274,7 @@ def good_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns."""
     packed = docs.select(F.struct(*keeping(docs)).alias("row"), "text", "lang", "source")
     rows = stored(text_statistics(packed).drop("text"), "statistics")
+    release(docs.sparkSession)
     return judged(rows).where("kept").select("row.*")
 
 

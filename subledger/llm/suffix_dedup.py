@@ -20,7 +20,6 @@ no rows. Other columns are not looked at. Hashes of contexts and windows have 64
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import stored, table
+from subledger.llm.common import release, stored, table
 from subledger.llm.text import Block, blocks, mixed, prefix_sums, span_hash, utf8
 
 WINDOW = 50
@@ -81,7 +80,7 @@ def suffix_array(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     key = np.zeros(n, np.uint64)
     for k in range(FIRST):
         part = np.zeros(n, np.uint64)
-        part[:n - k] = data[k:].astype(np.uint64) + np.uint64(1)
+        part[:max(n - k, 0)] = data[k:].astype(np.uint64) + np.uint64(1)
         part[at + k >= ends] = 0
         key = (key << np.uint64(9)) | part
     order = np.argsort(key)
@@ -352,12 +351,6 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solved(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
-def release(spark: SparkSession) -> None:
-    """Lets the driver forget finished shuffles, whose files stay until it collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(``key``, ``spans``) of the documents (``id``, ``text``, ``key``) that lose bytes."""
     spark = docs.sparkSession
