@@ -285,6 +285,8 @@ def _shard_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     size = 0
     for batch in batches:
+        # One schema for rows that come in and rows that were combined.
+        batch = pa.RecordBatch.from_arrays([batch.column(n) for n in (*names, "bytes")], names=[*names, "bytes"])
         while batch.num_rows:
             weight = batch.column("bytes").nbytes
             if size + weight < SHARD_BYTES:
