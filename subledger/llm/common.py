@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,10 @@ def stored(rows: DataFrame, label: str, files: int | None = None, numeric: bool
 
 def release(spark: SparkSession) -> None:
     """Lets the driver forget finished work: shuffle files and memory of the plans stay until it collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python's objects first hold those of the JVM
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def key63(*parts: Column | int) -> Column:

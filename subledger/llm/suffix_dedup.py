@@ -155,22 +155,83 @@ def window_classes(data: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -
     return at, of, classes - classes.min(initial=0)
 
 
+SEEN_ALONE, SEEN_TWICE, SETTLED = 0, 1, 2
+
+
 def _marks(docs: DataFrame) -> DataFrame:
-    """(``h``, ``key``, ``id``): the anchors of each document."""
+    """(``h``, ``key``, ``id``, ``state``): the anchors of each document, combined over a batch of documents.
+
+    An anchor that two ids of the batch have is known to be shared: its documents are SETTLED, and one row tells the
+    other batches that it was SEEN_TWICE. So a very common anchor sends one row per batch, however many have it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
+            hashes, rows = [], []
             for block in blocks(batch.column("text")):
                 value, row, *_ = anchor_runs(block)
-                order = np.lexsort((value, row))
-                value, row = value[order], row[order]
-                new = np.ones(len(value), bool)
-                new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-                value, row = value[new], row[new] + block.first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), pa.array(keys[row]), pa.array(ids[row])], names=["h", "key", "id"])
+                hashes.append(value)
+                rows.append(row + block.first)
+            if not hashes:
+                continue
+            value, row = np.concatenate(hashes), np.concatenate(rows)
+            order = np.lexsort((row, value))
+            value, row = value[order], row[order]
+            new = np.ones(len(value), bool)
+            new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+            value, row = value[new], row[new]
+            if not len(value):
+                continue
+            starts = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+            id_ = ids[row]
+            twice = np.minimum.reduceat(id_, starts) < np.maximum.reduceat(id_, starts)
+            state = np.where(np.repeat(twice, np.diff(np.append(starts, len(value)))), SETTLED, SEEN_ALONE)
+            told = starts[twice]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([value, value[told]]).view(np.int64)),
+                pa.array(np.concatenate([keys[row], np.zeros(len(told), np.int64)])),
+                pa.array(np.concatenate([id_, np.zeros(len(told), np.int64)])),
+                pa.array(np.concatenate([state, np.full(len(told), SEEN_TWICE)]).astype(np.int8)),
+            ], names=["h", "key", "id", "state"])
+
+    return docs.select("text", "id", "key").mapInArrow(run, "h long, key long, id long, state byte")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of :func:`_marks`, sorted by ``h`` and ``id`` -> (``key``, ``h``) of shared anchors.
+
+    Only the rows of an anchor that one id has so far are held over to the next batch.
+    """
+    def out(h, key):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(h)], names=["key", "h"])
 
-    return docs.select("text", "id", "key").mapInArrow(run, "h long, key long, id long")
+    none = np.zeros(0, np.int64)
+    held = (none, none, none)
+    known: int | None = None
+    for batch in batches:
+        h, key, id_, state = (batch.column(n).to_numpy() for n in ("h", "key", "id", "state"))
+        settled = state == SETTLED
+        if settled.any():
+            yield out(h[settled], key[settled])
+            h, key, id_, state = (x[~settled] for x in (h, key, id_, state))
+        h, key, id_ = (np.concatenate(p) for p in zip(held, (h, key, id_)))
+        twice = np.concatenate([np.zeros(len(held[0]), bool), state == SEEN_TWICE])
+        held = (none, none, none)
+        if not len(h):
+            continue
+        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        sizes = np.diff(np.append(starts, len(h)))
+        alone = ~twice
+        low = np.minimum.reduceat(np.where(alone, id_, np.iinfo(np.int64).max), starts)
+        high = np.maximum.reduceat(np.where(alone, id_, np.iinfo(np.int64).min), starts)
+        yes = np.logical_or.reduceat(twice, starts) | (low < high)
+        if known is not None and h[0] == known:
+            yes[0] = True
+        use = np.repeat(yes, sizes) & alone
+        yield out(h[use], key[use])
+        known = int(h[-1]) if yes[-1] else None
+        if not yes[-1]:
+            held = (h[starts[-1]:], key[starts[-1]:], id_[starts[-1]:])
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
@@ -357,10 +418,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(``key``, ``spans``) of the documents (``id``, ``text``, ``key``) that lose bytes."""
     spark = docs.sparkSession
     docs = docs.where(F.col("id").isNotNull() & (F.octet_length("text") >= WINDOW))
-    marks = stored(_marks(docs), "marks", numeric=True)
-    shared = marks.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h")
-    lists = stored(
-        marks.select("h", "key").join(shared, "h").groupBy("key").agg(F.collect_list("h").alias("hs")), "lists", numeric=True)
+    # Settled rows wait for nobody: they go by document, the others by anchor.
+    place = F.when(F.col("state") == SETTLED, F.col("key")).otherwise(F.col("h"))
+    shared = (
+        _marks(docs).withColumn("place", place).repartition("place").sortWithinPartitions("h", "id")
+        .select("h", "key", "id", "state").mapInArrow(_shared, "key long, h long")
+    )
+    lists = stored(shared.groupBy("key").agg(F.collect_list("h").alias("hs")), "lists", numeric=True)
     release(spark)
     places = stored(_contexts(docs.join(lists, "key")), "contexts")
     release(spark)
