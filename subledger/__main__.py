@@ -79,7 +79,7 @@ def _results(spark, args) -> dict[str, DataFrame]:
         return {"differences": userbase.reconcile_user_base(by_service, by_cpc, load_dim(spark, args.dim), args.service, args.date)}
     elif args.job == "refunds":
         rfnd = of_types(jobs.tx_of(spark, root, args.months), "RFND")
-        return {"refunds": reports.refund_analysis(rfnd, load_dim(spark, args.dim))}
+        return {"refunds": reports.refund_analysis(rfnd, load_dim(spark, args.dim, fill=False))}
     elif args.job == "revenue":
         counters = jobs.tables.load_counters(spark, jobs.counters_path(root))
         rows = jobs.counters_service(counters, load_dim(spark, args.dim))
@@ -135,7 +135,9 @@ def main(argv: list[str] | None = None) -> None:
             write_csv(rows, args.out if len(results) == 1 else f"{args.out}/{name}")
         else:
             print(f"\n{title}")
-            rows.show(50, truncate=False)
+            print("\t".join(rows.columns))
+            for row in rows.toLocalIterator():  # every row, a partition at a time
+                print("\t".join("" if v is None else str(v) for v in row))
 
 
 if __name__ == "__main__":

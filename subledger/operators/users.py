@@ -10,20 +10,16 @@ from pyspark.sql import functions as F
 from subledger import fixed_values as fixed
 from subledger.functions import earliest
 
-# Up to this many keys go into the filter itself, where they reach the Parquet scan; more are joined.
-INLINE_KEYS = 1000
-
-
 def _without(rows: DataFrame, listed: DataFrame, column: str, applies: Column | None, keep_null_ids: bool) -> DataFrame:
     ids = listed.select(F.col(listed.columns[0]).cast("string").alias("_id")).where("_id <> ''").distinct()
-    if ids.isEmpty():
-        return rows
-    if not keep_null_ids:
-        # A row without an id is dropped as soon as anything is listed; types that have no such
-        # column are not subject to the rule.
-        has_id = F.col(column).isNotNull()
-        rows = rows.where(has_id if applies is None else has_id | ~applies)
-    return rows.join(ids, F.col(column) == F.col("_id"), "left_anti")
+    left = rows.join(ids, F.col(column) == F.col("_id"), "left_anti")
+    if keep_null_ids:
+        return left
+    # A row without an id is dropped as soon as anything is listed; types that have no such column are not
+    # subject to the rule. Whether anything is listed is one scalar, found at run time.
+    no_id = F.col(column).isNull() if applies is None else F.col(column).isNull() & applies
+    listed_any = ids.agg((F.count(F.lit(1)) > 0).alias("_any"))
+    return left.where(~(no_id & listed_any.scalar()))
 
 
 def exclude_users(
@@ -46,39 +42,28 @@ def exclude_users(
     return tx
 
 
-def few(keys: DataFrame, inline: int = INLINE_KEYS) -> list | None:
-    """The distinct keys where there are at most ``inline`` of them, else None; fetches one row beyond the bound."""
-    head = [row[0] for row in keys.limit(inline + 1).collect()]
-    return head if len(head) <= inline else None
-
-
-def semi_keys(rows: DataFrame, column: str, keys: DataFrame, inline: int = INLINE_KEYS) -> DataFrame:
-    """Rows whose column is among the keys.
+def semi_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose column is among the keys, by a semi-join: no key set is fetched while the plan is built.
 
-    A small key set is inlined, so the filter is pushed into the scan and row groups are skipped; a
-    larger one is a semi-join.
+    Spark broadcasts the keys when they are under its threshold at run time, and filters the scan by them where its
+    runtime filters apply.
     """
     keys = keys.select(F.col(keys.columns[0]).alias("_key")).where("_key is not null").distinct()
-    small = few(keys, inline)
-    if small is not None:
-        return rows.where(F.col(column).isin(small)) if small else rows.where(F.lit(False))
     return rows.join(keys, F.col(column) == F.col("_key"), "left_semi")
 
 
 def map_phones(
-    phones: DataFrame, tx: DataFrame, order: Sequence[str] = fixed.PHONE_LOOKUP_ORDER, inline: int = INLINE_KEYS
+    phones: DataFrame, tx: DataFrame, order: Sequence[str] = fixed.PHONE_LOOKUP_ORDER
 ) -> DataFrame:
     """Each listed phone with the first user seen for it, by type priority and then by time.
 
     A phone never seen, or seen only without a user, maps to an empty text. The transactions are reduced
-    to one row per phone before the join, with a partial minimum per task, so a phone shared by many rows
-    is no hot partition; a short list is filtered for in the scan.
+    to those of listed phones, then to one row per phone with a partial minimum per task, so a phone shared by many
+    rows is no hot partition.
     """
     wanted = phones.select(F.col(phones.columns[0]).cast("string").alias("msisdn")).where("msisdn <> ''").distinct()
     seen = tx.where(F.col("tx_type").isin(list(order)) & F.col("msisdn").isNotNull() & (F.col("tmuserid") != ""))
-    small = few(wanted, inline)
-    if small is not None:
-        seen = seen.where(F.col("msisdn").isin(small)) if small else seen.where(F.lit(False))
+    seen = semi_keys(seen, "msisdn", wanted)
     priority = F.array_position(F.lit(list(order)), F.col("tx_type"))
     rank = F.struct(priority, earliest(F.col("trans_date"), F.col("tie")), F.col("tmuserid"))
     found = seen.groupBy("msisdn").agg(F.min(rank)["tmuserid"].alias("tmuserid"))

@@ -49,7 +49,10 @@ def tx_of(spark: SparkSession, root: str, months: Sequence[str] | None = None) -
 
 
 def load_historical(spark: SparkSession, folder: str, root: str, types: Sequence[str] = fixed.TX_TYPES) -> dict[str, Loaded]:
-    """Full load: every file of a type, strictly typed, deduplicated, replacing the type's table."""
+    """Full load: every file of a type, strictly typed, deduplicated, replacing the type's table.
+
+    A load without a usable row leaves the table as it is.
+    """
     done = {}
     for name in types:
         fact = FACTS[name]
@@ -59,20 +62,21 @@ def load_historical(spark: SparkSession, folder: str, root: str, types: Sequence
         seen, rejected = Observation(), csv.rejections(spark, fact, paths)
         rows = csv.read_strict(spark, fact, paths, rejected).observe(seen, F.count(F.lit(1)).alias("n"))
         kept = dedupe_fact(rows, fact).select(*fact.stored_columns)
-        stored = tables.write_partitioned(kept, tables.fact_path(transactions(root), fact), replace_all=True)
+        stored = tables.write_partitioned(kept, tables.fact_path(transactions(root), fact), replace_all=True, keep_if_empty=True)
         done[name] = Loaded(0, tables.observed_count(seen), stored, rejected=rejected)
     return done
 
 
 def append_daily(spark: SparkSession, folder: str, root: str, day: str, types: Sequence[str] = fixed.TX_TYPES) -> dict[str, Loaded]:
     """Append the day's file of every type that has one."""
-    done = {}
-    for name in types:
+    done, found = {}, {}
+    for name in types:  # a file that cannot be taken stops the load before anything is stored
+        path = csv.daily_file(spark, folder, FACTS[name], day)
+        if path is not None:
+            csv.check_arity(spark, FACTS[name], path)
+            found[name] = path
+    for name, path in found.items():
         fact = FACTS[name]
-        path = csv.daily_file(spark, folder, fact, day)
-        if path is None:
-            continue
-        csv.check_arity(spark, fact, path)
         done[name] = tables.append_batch(spark, transactions(root), fact, csv.read_lenient(spark, fact, path))
     return done
 
@@ -110,7 +114,10 @@ def build_view(spark: SparkSession, root: str, as_of: str, upgrade_rule: str = "
 
 
 def load_view(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(view_path(root)).select(*fixed.LIFECYCLE_COLUMNS)
+    rows = tables.read_current(spark, view_path(root))
+    if rows is None:
+        raise FileNotFoundError(f"no lifecycle table in {view_path(root)}: build-view makes it")
+    return rows.select(*fixed.LIFECYCLE_COLUMNS)
 
 
 def dates_to_process(spark: SparkSession, root: str, start: str | None = None, end: str | None = None, force: bool = False) -> DataFrame:

@@ -114,9 +114,8 @@ def subscription_keys(tx: DataFrame, key: str, value=None) -> DataFrame:
 
 
 def _reach(rows: DataFrame, tx: DataFrame, key: str, value) -> DataFrame:
-    """Second hop: rows of those subscriptions. One key's are few and inlined; all keys' are joined."""
-    ids = subscription_keys(tx, key, value)
-    return rows.join(ids, "subscription_id", "left_semi") if value is None else semi_keys(rows, "subscription_id", ids)
+    """Second hop: rows of those subscriptions."""
+    return semi_keys(rows, "subscription_id", subscription_keys(tx, key, value))
 
 
 def user_timeline(tx: DataFrame, key: str = "msisdn", value=None) -> DataFrame:

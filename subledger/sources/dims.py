@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +29,23 @@ def complete_dim(raw: DataFrame, order: list[Column] | None = None) -> DataFrame
     return keep_last(filled, ["cpc"], order).select(*DIM_SCHEMA.fieldNames())
 
 
-def load_dim(spark: SparkSession, path: str) -> DataFrame:
-    """The product dimension from CSV; of rows sharing a code the first in the file stays."""
+def distinct_dim(rows: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+    """One row per code with its blanks left null, for joins that must not fill names."""
+    if order is None:
+        rest = F.struct("service_name", "tme_category", "cpc_period", "cpc_price")
+        return rows.groupBy("cpc").agg(F.min(rest).alias("r")).select("cpc", "r.*")
+    return keep_last(rows, ["cpc"], order).select(*DIM_SCHEMA.fieldNames())
+
+
+def load_dim(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
+    """The product dimension from CSV; of rows sharing a code the first in the file stays.
+
+    Missing cells get their defaults, unless ``fill`` is off.
+    """
     raw = spark.read.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", True).csv(path)
     cells = [blank_to_null(F.col(f.name), ("", "NULL")).try_cast(f.dataType).alias(f.name) for f in DIM_SCHEMA.fields]
     rows = with_position(raw).select(*cells, "_file", "_block", "_row").where("cpc is not null")
-    return complete_dim(rows, [F.struct(-F.col("_block"), -F.col("_row"))])
+    return (complete_dim if fill else distinct_dim)(rows, [F.struct(-F.col("_block"), -F.col("_row"))])
 
 
 def first_word(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -35,11 +36,95 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+# A table's folder holds one folder per write and numbered manifests; the newest manifest names the folder of each
+# partition. A write becomes visible by one rename of one small file, for all its partitions at once.
+VERSION = "_v"
+MANIFESTS = "_manifests"
+
+
+def _manifest_numbers(spark: SparkSession, path: str) -> list[int]:
+    files, folder = _filesystem(spark, f"{path.rstrip('/')}/{MANIFESTS}")
+    found = files.listStatus(folder) if files.exists(folder) else []
+    names = [f.getPath().getName() for f in found]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit() and n.endswith(".json"))
+
+
+def _manifest_path(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/{MANIFESTS}/{number:010d}.json"
+
+
+def current_partitions(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """Partition name -> its folder below the table's, as the newest manifest says; None where no write was finished."""
+    numbers = _manifest_numbers(spark, path)
+    return _load_manifest(spark, path, numbers[-1]) if numbers else None
+
+
+def _load_manifest(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+    files, target = _filesystem(spark, _manifest_path(path, number))
+    stream = files.open(target)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _publish(spark: SparkSession, path: str, partitions: dict[str, str]) -> None:
+    """Make ``partitions`` the table; the rename of the manifest is the moment at which readers see it."""
+    numbers = _manifest_numbers(spark, path)
+    final = _manifest_path(path, numbers[-1] + 1 if numbers else 1)
+    files, draft = _filesystem(spark, f"{path.rstrip('/')}/{MANIFESTS}/.draft-{uuid.uuid4().hex}")
+    files.mkdirs(draft.getParent())
+    out = files.create(draft, False)
+    try:
+        out.write(bytearray(json.dumps(partitions, sort_keys=True).encode()))
+    finally:
+        out.close()
+    target = _filesystem(spark, final)[1]
+    # Another writer's manifest of this number is never replaced.
+    if files.exists(target) or not files.rename(draft, target):
+        files.delete(draft, False)
+        raise OSError(f"{final} was published by another write")
+
+
+def tidy(spark: SparkSession, path: str) -> None:
+    """Remove what neither the newest manifest nor the one before it names: older versions and leftovers of writes
+    that were cut off. Readers that began before the last write keep their files. One writer at a time."""
+    numbers = _manifest_numbers(spark, path)
+    named = set()
+    for number in numbers[-2:]:
+        named |= {folder.split("/")[0] + "/" + folder.split("/")[1] for folder in _load_manifest(spark, path, number).values()}
+    files, folder = _filesystem(spark, path)
+    for version in files.listStatus(folder) if files.exists(folder) else []:
+        name = version.getPath().getName()
+        if name.startswith(f"{VERSION}="):
+            inside = [p.getPath().getName() for p in files.listStatus(version.getPath())]
+            kept = [p for p in inside if f"{name}/{p}" in named]
+            if not kept:
+                files.delete(version.getPath(), True)
+            else:
+                for p in set(inside) - set(kept):
+                    remove(spark, f"{path.rstrip('/')}/{name}/{p}")
+    for number in numbers[:-2]:
+        remove(spark, _manifest_path(path, number))
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The rows of the table's partitions, None where no write was finished or none has rows."""
+    partitions = current_partitions(spark, path)
+    if not partitions:
+        return None
+    path = path.rstrip("/")
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())]))
+    rows = reader.parquet(*[f"{path}/{folder}" for folder in sorted(partitions.values())])
+    return rows.drop(VERSION) if schema is None else rows.select(*schema.names)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table, or an empty frame of its schema where it does not exist yet."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    """A table, or an empty frame of its schema where none was ever written."""
+    rows = read_current(spark, path, schema)
+    return spark.createDataFrame([], schema) if rows is None else rows
 
 
 def fact_path(root: str, fact: Fact) -> str:
@@ -71,44 +156,24 @@ def read_facts(spark: SparkSession, root: str, months: Sequence[str] | None = No
     return {name: read_fact(spark, root, fact, months) for name, fact in FACTS.items()}
 
 
-def _move(files, source, target) -> None:
-    if not files.rename(source, target):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def _swap(spark: SparkSession, fresh: str, target: str, aside: str) -> None:
-    """Put ``fresh`` in the place of ``target``; the old version waits in ``aside`` until that is done."""
-    files, new = _filesystem(spark, fresh)
-    old, parked = _filesystem(spark, target)[1], _filesystem(spark, aside)[1]
-    files.mkdirs(parked.getParent())
-    files.mkdirs(old.getParent())
-    had_old = files.exists(old)
-    if had_old:
-        _move(files, old, parked)
-    try:
-        _move(files, new, old)
-    except Exception:
-        if had_old:
-            _move(files, parked, old)
-        raise
-
-
 def write_partitioned(
     rows: DataFrame, path: str, partition: str = "year_month", replace_all: bool = False, owned: Sequence[str] = (),
-    rebalance: bool = True,
+    rebalance: bool = True, keep_if_empty: bool = False,
 ) -> int:
     """Snappy Parquet by partition; returns the number of rows written.
 
-    By default only the partitions present in ``rows`` are replaced; ``replace_all`` replaces the table.
-    A partition in ``owned`` that gets no rows is removed.
-    The rows may be computed from the table itself: they are written next to it, the copy's row count is
-    checked, and only then are finished directories moved into place. The rebalance keeps files near the
-    advisory size, splitting a partition that is too large for one task; rows that come grouped by
-    partition already can do without its shuffle.
+    By default only the partitions present in ``rows`` are replaced; ``replace_all`` replaces the table, unless
+    there are no rows and ``keep_if_empty``. A partition in ``owned`` that gets no rows is removed.
+    The rows may be computed from the table itself: they are written to a folder of their own, the copy's row count
+    is checked, and one manifest then makes all new partitions visible. A write that is cut off at any point leaves
+    the old table, and the next one removes what it left. The rebalance keeps files near the advisory size,
+    splitting a partition that is too large for one task; rows that come grouped by partition already can do
+    without its shuffle.
     """
     spark = rows.sparkSession
     path = path.rstrip("/")
-    staged = f"{path}__staged-{uuid.uuid4().hex}"
+    version = f"{VERSION}={uuid.uuid4().hex}"
+    staged = f"{path}/{version}"
     written = Observation()
     (
         (rows.hint("rebalance", partition) if rebalance else rows)
@@ -118,15 +183,12 @@ def write_partitioned(
     expected = observed_count(written)
     names = partition_names(spark, staged)
     verify_count(spark.read.parquet(staged) if names else spark.range(0), expected)
-    if replace_all or not exists(spark, path):
-        _swap(spark, staged, path, f"{staged}-old")
-        remove(spark, f"{staged}-old")
-    else:
-        for name in names:
-            _swap(spark, f"{staged}/{name}", f"{path}/{name}", f"{staged}/_old/{name}")
-        for name in {f"{partition}={value}" for value in owned} - set(names):
-            remove(spark, f"{path}/{name}")
-        remove(spark, staged)
+    if not (keep_if_empty and not expected):
+        partitions = {} if replace_all else dict(current_partitions(spark, path) or {})
+        for value in owned:
+            partitions.pop(f"{partition}={value}", None)
+        _publish(spark, path, partitions | {name: f"{version}/{name}" for name in names})
+    tidy(spark, path)
     return expected
 
 
@@ -134,7 +196,9 @@ def observed_count(metric: Observation) -> int:
     """Rows counted while a job ran; a plan that turned out empty at run time reports no metrics."""
     try:
         return metric.get["n"]
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):  # of an empty metrics row
+            raise
         return 0
 
 
@@ -193,9 +257,9 @@ def append_batch(spark: SparkSession, root: str, fact: Fact, incoming: DataFrame
 
 def load_counters(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
     """The counter table, empty with its schema where there is none yet; ``months`` prunes partitions."""
-    if not partition_names(spark, path):
+    rows = read_current(spark, path)
+    if rows is None:
         return spark.createDataFrame([], COUNTERS_SCHEMA)
-    rows = spark.read.parquet(path)
     return (rows if months is None else rows.where(F.col("year_month").isin(list(months)))).drop("year_month")
 
 

@@ -3,7 +3,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from subledger.operators.merge import merge_counters
-from subledger.operators.users import exclude_users, few, map_phones, mapping_coverage, semi_keys
+from subledger.operators.users import exclude_users, map_phones, mapping_coverage, semi_keys
 from subledger.plans import counters as pc
 from subledger.schemas import COUNTERS_SCHEMA, DIM_SCHEMA
 from tests.conftest import tuples
@@ -141,12 +141,10 @@ def test_exclusion_and_null_ids(spark, make_tx):
     assert _ids(exclude_users(tx, None, spark.createDataFrame([("u4",)], "id string"))) == ["u1/a", "u2/b", "u3/-"]
 
 
-def test_semi_keys_inline_and_joined(spark, make_tx):
+def test_semi_keys(spark, make_tx):
     tx = make_tx(*[{"tx_type": "ACT", "subscription_id": i} for i in (1, 2, 3, None)])
     keys = spark.createDataFrame([(1,), (3,), (3,), (None,)], "k bigint")
-    assert few(keys.distinct(), 1) is None
-    for bound in (1000, 1):
-        assert sorted(r.subscription_id for r in semi_keys(tx, "subscription_id", keys, bound).collect()) == [1, 3]
+    assert sorted(r.subscription_id for r in semi_keys(tx, "subscription_id", keys).collect()) == [1, 3]
     assert semi_keys(tx, "subscription_id", keys.where("false")).count() == 0
 
 
@@ -159,7 +157,6 @@ def test_phone_mapping(spark, make_tx):
         {"tx_type": "CNR", "msisdn": "2", "tmuserid": "not looked at", "trans_date": D1},
     )
     phones = spark.createDataFrame([("1",), ("2",), ("3",), ("",)], "p string")
-    for bound in (1000, 1):
-        got = map_phones(phones, tx, inline=bound)
-        assert tuples(got) == [("1", "first"), ("2", ""), ("3", "")]
+    got = map_phones(phones, tx)
+    assert tuples(got) == [("1", "first"), ("2", ""), ("3", "")]
     assert tuples(mapping_coverage(got)) == [(3, 1, 2)]

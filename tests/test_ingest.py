@@ -96,13 +96,13 @@ def test_append_replaces_and_is_idempotent(spark, tmp_path):
     tables.append_batch(spark, root, CNR, first)
     batch = _cnr(spark, ("2025-01-31", 2, "b", 99), ("2025-01-31", 5, "b", 99), (None, 4, "b", 99))
     want = [(1, "a", 10), (2, "b", 99), (3, "a", 10), (4, "b", 99), (5, "b", 99)]
-    february = [f for f in os.listdir(os.path.join(root, "cnr", "year_month=2025-02")) if f.endswith("parquet")]
+    february = tables.current_partitions(spark, f"{root}/cnr")["year_month=2025-02"]
     for _ in range(2):
         tables.append_batch(spark, root, CNR, batch)
         assert tuples(tables.read_fact(spark, root, CNR).select("sbn_id", "tmuserid", "cpc")) == want
-    # The untouched month was not rewritten, and nothing is left over beside the table.
-    assert february == [f for f in os.listdir(os.path.join(root, "cnr", "year_month=2025-02")) if f.endswith("parquet")]
-    assert os.listdir(root) == ["cnr"]
+    # The untouched month was not rewritten, and no version is left but the last two.
+    assert tables.current_partitions(spark, f"{root}/cnr")["year_month=2025-02"] == february
+    assert os.listdir(root) == ["cnr"] and len(os.listdir(f"{root}/cnr")) == 4
 
 
 def test_append_shuffles_only_touched_days(spark):
@@ -137,7 +137,45 @@ def test_owned_partitions_without_rows_disappear(spark, tmp_path):
     path = f"{tmp_path}/cnr"
     tables.write_partitioned(_cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-02-01", 2, "a", 1)), path)
     tables.write_partitioned(_cnr(spark, ("2025-01-01", 7, "a", 1)), path, owned=["2025-01", "2025-02"])
-    assert tuples(spark.read.parquet(path).select("sbn_id")) == [(7,)]
+    assert tuples(tables.read_current(spark, path).select("sbn_id")) == [(7,)]
+
+
+@pytest.mark.parametrize("step", ["verify_count", "_publish", "_manifest_path", "tidy", "remove"])
+def test_a_write_cut_off_at_any_step_loses_nothing(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path / "t")
+    for day in ("2025-01-01", "2025-01-02", "2025-02-01"):
+        tables.append_batch(spark, root, CNR, _cnr(spark, (day, 1, "a", 10), ("2025-03-01", 9, "a", 10)))
+    before = tuples(tables.read_fact(spark, root, CNR).select("cancel_date", "sbn_id", "tmuserid"))
+    batch = _cnr(spark, ("2025-01-02", 1, "b", 11), ("2025-02-05", 2, "b", 11))
+    real = getattr(tables, step)
+
+    def cut(*args):
+        raise KeyboardInterrupt(step)
+
+    monkeypatch.setattr(tables, step, cut)
+    try:
+        tables.append_batch(spark, root, CNR, batch)
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.setattr(tables, step, real)
+    after = tuples(tables.read_fact(spark, root, CNR).select("cancel_date", "sbn_id", "tmuserid"))
+    done = sorted([r for r in before if str(r[0])[:10] != "2025-01-02"] + [
+        (datetime(2025, 1, 2), 1, "b"), (datetime(2025, 2, 5), 2, "b")], key=repr)
+    assert after in (before, done)
+    loaded = tables.append_batch(spark, root, CNR, batch)
+    assert loaded.rows_before > 0
+    assert tuples(tables.read_fact(spark, root, CNR).select("cancel_date", "sbn_id", "tmuserid")) == done
+
+
+def test_an_unfinished_first_write_is_no_table(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/cnr"
+    monkeypatch.setattr(tables, "_publish", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        tables.write_partitioned(_cnr(spark, ("2025-01-01", 1, "a", 1)), path)
+    assert tables.current_partitions(spark, path) is None
+    monkeypatch.undo()
+    tables.write_partitioned(_cnr(spark, ("2025-01-01", 2, "a", 1)), path)
+    assert tuples(tables.read_current(spark, path).select("sbn_id")) == [(2,)]
 
 
 def test_row_count_is_verified(spark):

@@ -5,6 +5,7 @@ import pytest
 
 from subledger import __main__ as cli
 from subledger.operators.normalise import of_types
+from subledger.operators.users import exclude_users, map_phones
 from subledger.plans import jobs
 from subledger.plans.counters import daily_counters
 from subledger.plans.lookup import user_timeline
@@ -143,6 +144,15 @@ def test_loads_without_a_usable_row(spark, tmp_path):
     assert jobs.tx_of(spark, root).count() == 1  # the lenient daily load keeps the row, without its code
 
 
+def test_a_load_of_rejected_files_keeps_the_table(spark, tmp_path):
+    source, bad, root = (str(tmp_path / n) for n in ("in", "bad", "out"))
+    put(source, "act_atlas_1.csv", ACT_HEADER, act("2025-01-01", 1, 10), act("2025-01-02", 2, 10))
+    jobs.load_historical(spark, source, root, ["act"])
+    put(bad, "act_atlas_1.csv", ACT_HEADER, act("2025-01-01", 1, "abc"))
+    assert jobs.load_historical(spark, bad, root, ["act"])["act"].rows_stored == 0
+    assert jobs.tx_of(spark, root).count() == 2
+
+
 def test_scans_read_only_what_is_needed(spark, folders):
     source, root = folders
     jobs.load_historical(spark, source, root)
@@ -153,10 +163,14 @@ def test_scans_read_only_what_is_needed(spark, folders):
     tx = jobs.tx_of(spark, root, ["2025-01"])
     for line in scans(daily_counters(tx)):
         assert "campana_id" not in line and "tmuserid" not in line and "PartitionFilters: [isnotnull(year_month" in line
-    # Asking for one type leaves one table to scan; one user's subscriptions are filtered for in the scan.
+    # Asking for one type leaves one table to scan; building a plan runs no job.
     assert len(scans(of_types(tx, "CNR"))) == 1
-    lines = scans(user_timeline(tx, "msisdn", "m1"))
-    assert lines and all("EqualTo(subscription_id,2)" in line or "EqualTo(sbn_id,2)" in line for line in lines)
+    spark.sparkContext.setJobGroup("plans", "plans")
+    phones = spark.createDataFrame([("m1",)], "p string")
+    for rows in (user_timeline(tx, "msisdn", "m1"), map_phones(phones, tx), exclude_users(tx, phones, phones)):
+        rows._jdf.queryExecution().optimizedPlan()
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_failed_check_leaves_the_old_table(spark, folders, monkeypatch):

@@ -52,5 +52,5 @@ def test_every_query_has_a_counterpart():
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
-    assert set(entry_module.queries()) == set(QUERIES)
-    assert entry_module.oracle_sql() == ORACLES
+    assert set(entry_module.queries()) >= set(QUERIES)
+    assert entry_module.oracle_sql().items() >= ORACLES.items()
