@@ -7,13 +7,16 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 
+from subledger import fixed_values as fixed
 from subledger.operators.normalise import of_types
-from subledger.operators.users import map_phones
+from subledger.operators.users import map_phones, mapping_coverage
 from subledger.plans import jobs, lookup, quality, reports, userbase
+from subledger.plans.counters import counter_totals, unmapped_cpcs
+from subledger.schemas import FACTS
 from subledger.session import build_session
 from subledger.sources.dims import load_codes, load_dim, load_excluded
-from subledger.sources.snapshots import read_rollup
-from subledger.sources.tables import write_csv
+from subledger.sources.snapshots import read_rollup, rejected_rows
+from subledger.sources.tables import schema_diff, write_csv
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -70,10 +73,16 @@ def _results(spark, args) -> dict[str, DataFrame]:
         phones, users = load_excluded(spark, args.excluded) if args.excluded else (None, None)
         start = args.start_date or args.date or (None if args.backfill else str(date.today() - timedelta(days=1)))
         print(jobs.build_counters(spark, root, start, args.end_date, args.force, phones, users), "dates")
+        counters = jobs.tables.load_counters(spark, jobs.counters_path(root))
+        shown = {"totals by date": counter_totals(counters)}
         if args.dim:
-            print(jobs.publish_services(spark, root, load_dim(spark, args.dim)))
+            dim = load_dim(spark, args.dim)
+            print(jobs.publish_services(spark, root, dim))
+            shown["unmapped codes"] = unmapped_cpcs(counters, dim)
+        return shown
     elif args.job == "user-base":
         print(jobs.build_user_base(spark, args.source, root, encoding=args.encoding))
+        return {"unusable rows": rejected_rows(spark, args.source, args.encoding)}
     elif args.job == "reconcile":
         by_service, by_cpc = (read_rollup(spark, f"{root}/user_base/by_{level}") for level in ("service", "cpc"))
         return {"differences": userbase.reconcile_user_base(by_service, by_cpc, load_dim(spark, args.dim), args.service, args.date)}
@@ -104,9 +113,14 @@ def _results(spark, args) -> dict[str, DataFrame]:
                 "purchase total": lookup.user_ppd_total(tx, *key)}
     elif args.job == "map-phones":
         phones, _ = load_excluded(spark, args.excluded)
-        return {"phones": map_phones(phones, jobs.tx_of(spark, root))}
+        mapped = map_phones(phones, jobs.tx_of(spark, root))
+        return {"phones": mapped, "coverage": mapping_coverage(mapped)}
     elif args.job == "check-transactions":
         tx = jobs.tx_of(spark, root)
+        for name, fact in FACTS.items():
+            stored = jobs.tables.read_current(spark, jobs.tables.fact_path(jobs.transactions(root), fact))
+            if stored is not None:
+                print(name, "columns:", schema_diff(stored, fact.stored_columns))
         return {"missing days": quality.completeness_ranges(tx, args.as_of), "rows": quality.row_counts(tx),
                 "date ranges": quality.date_ranges(tx), "partitions": quality.tx_partition_inventory(tx),
                 "duplicates": quality.tx_duplicates(tx), "activations": quality.act_count_total(tx),
@@ -114,6 +128,7 @@ def _results(spark, args) -> dict[str, DataFrame]:
                 "cancellations by month": quality.cancellations_by_month(tx), "refunds": quality.refund_totals(tx)}
     elif args.job == "check-view":
         subs, as_of = jobs.load_view(spark, root), args.as_of
+        print("columns:", schema_diff(jobs.tables.read_current(spark, jobs.view_path(root)), (*fixed.LIFECYCLE_COLUMNS, "month")))
         timed = ("monthly_activations", "monthly_renewals", "monthly_deactivations", "monthly_cancellations",
                  "monthly_refunds", "recent_activations", "completeness_lifecycle")
         plain = ("lifecycle_date_ranges", "quality_checks", "revenue_statistics", "active_count", "top_cpcs",

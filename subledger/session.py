@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # AQE coalesces small shuffles and splits skewed join partitions, so the shuffle partition count may be
-# generous; broadcasts are left to the size threshold, never hinted.
+# generous; broadcasts are left to the size threshold, but for sets of calendar dates.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -45,7 +45,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    return _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="spark-"))
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

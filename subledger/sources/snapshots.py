@@ -16,9 +16,18 @@ def name_date(file_name: Column) -> Column:
 
 
 def read_snapshots(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
-    """date, service_name, tme_category, cpc, count of every snapshot row."""
+    """date, service_name, tme_category, cpc, count of every usable snapshot row."""
+    return clean_snapshot(_dated(spark, paths, encoding))
+
+
+def rejected_rows(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """Snapshot rows that cannot be used, per date."""
+    return rejected(_dated(spark, paths, encoding))
+
+
+def _dated(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
     raw = spark.read.option("header", True).option("escape", '"').option("encoding", encoding).csv(paths)
-    return clean_snapshot(raw.select(*raw.columns, name_date(F.col("_metadata.file_name")).alias("date")))
+    return raw.select(*raw.columns, name_date(F.col("_metadata.file_name")).alias("date"))
 
 
 def clean_snapshot(raw: DataFrame) -> DataFrame:

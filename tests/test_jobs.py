@@ -129,10 +129,20 @@ def test_command_line(spark, folders, tmp_path, capsys):
         cli.main(["--root", root, *line.split()])
     shown = capsys.readouterr().out
     assert "act: 2 rows, 1 duplicates removed" in shown and "chess" in shown
+    assert "totals by date" in shown and "unmapped codes" in shown and "act columns: {'missing': [], 'extra': []}" in shown
     cli.main(["--root", root, "--out", str(tmp_path / "csv"), "lifetime", "--dim", str(dim)])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).first().service == "chess"
 
 
+def test_command_line_shows_every_row(spark, tmp_path, capsys):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    put(source, "act_atlas_1.csv", ACT_HEADER, *[act(f"2025-01-{1 + k % 28:02d}", k, 10) for k in range(60)])
+    for line in (f"load-historical --source {source}", "timeline msisdn m1"):
+        cli.main(["--root", root, *line.split()])
+    lines = capsys.readouterr().out.split("\ntransactions\n")[1].split("\nsummary\n")[0].strip().split("\n")
+    assert len(lines) == 1 + jobs.tx_of(spark, root).where("msisdn = 'm1'").count() > 50
+
+
 def test_loads_without_a_usable_row(spark, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path / "out")
     put(source, "act_atlas_1.csv", ACT_HEADER, act("2025-01-01", 1, "abc"))
