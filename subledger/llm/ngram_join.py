@@ -318,15 +318,14 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all columns of ``docs``; documents without n-grams all stay."""
+    """One document of each group, with all columns of ``docs``; different documents without n-grams all stay."""
     key = F.xxhash64("doc_id", "text")
     # Groups of row keys: rows of one key are equal documents, so one of them stays.
     packed = docs.select(F.struct(*keeping(docs)).alias("row"), "doc_id", "text", key.alias("key"))
     lead = near_groups(packed.select(F.struct("doc_id", "key").alias("id"), "text"))
-    stay = lead.where("n_grams > 0 AND id = class_id").select(F.col("id.key").alias("stays")).distinct()
-    none = lead.where("n_grams = 0").select(F.col("id.key").alias("stays")).distinct()
-    first = packed.join(stay, F.col("key") == F.col("stays"), "left_semi").dropDuplicates(["key"])
-    return first.select("row.*").union(packed.join(none, F.col("key") == F.col("stays"), "left_semi").select("row.*"))
+    stay = lead.where("id = class_id").select(F.col("id.key").alias("stays")).distinct()
+    # Whole rows are shuffled once: the join leaves them by key, as the last step needs them.
+    return packed.select("row", "key").join(stay, F.col("key") == F.col("stays"), "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
