@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import release, stored, table
+from subledger.llm.common import FEW, release, stored, table
 from subledger.llm.text import Block, blocks, mixed, prefix_sums, span_hash, utf8
 
 WINDOW = 50
@@ -186,9 +186,12 @@ def _marks(docs: DataFrame) -> DataFrame:
             id_ = ids[row]
             twice = np.minimum.reduceat(id_, starts) < np.maximum.reduceat(id_, starts)
             state = np.where(np.repeat(twice, np.diff(np.append(starts, len(value)))), SETTLED, SEEN_ALONE)
-            told = starts[twice]
+            told = value[starts[twice]]
+            # By document, so that its key and id compress.
+            order = np.argsort(row, kind="stable")
+            value, row, id_, state = value[order], row[order], id_[order], state[order]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([value, value[told]]).view(np.int64)),
+                pa.array(np.concatenate([value, told]).view(np.int64)),
                 pa.array(np.concatenate([keys[row], np.zeros(len(told), np.int64)])),
                 pa.array(np.concatenate([id_, np.zeros(len(told), np.int64)])),
                 pa.array(np.concatenate([state, np.full(len(told), SEEN_TWICE)]).astype(np.int8)),
@@ -421,17 +424,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # Settled rows wait for nobody: they go by document, the others by anchor.
     place = F.when(F.col("state") == SETTLED, F.col("key")).otherwise(F.col("h"))
     shared = (
-        _marks(docs).withColumn("place", place).repartition("place").sortWithinPartitions("h", "id")
-        .select("h", "key", "id", "state").mapInArrow(_shared, "key long, h long")
+        _marks(docs).repartition(place).sortWithinPartitions("h", "id").mapInArrow(_shared, "key long, h long")
     )
     lists = stored(shared.groupBy("key").agg(F.collect_list("h").alias("hs")), "lists", numeric=True)
     release(spark)
     places = stored(_contexts(docs.join(lists, "key")), "contexts")
     release(spark)
     contexts = places.where("bytes IS NOT NULL").select("h", "c", "bytes", "low", "high")
-    hot = (
+    # Stored, so that its size is known when the join is planned.
+    hot = stored(
         contexts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > LIMIT)
-        .select(F.col("h").alias("hot"), F.ceil(F.col("n") / LIMIT).cast("int").alias("n_parts"))
+        .select(F.col("h").alias("hot"), F.ceil(F.col("n") / LIMIT).cast("int").alias("n_parts")),
+        "hot", FEW,
     )
     parts = F.coalesce("n_parts", F.lit(1))
     dealt = (
