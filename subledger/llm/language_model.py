@@ -1,51 +1,61 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Training. All tokens of the training documents are counted, words by a 64-bit hash, and every text ends in an end
-token. The states of the automaton are the n-grams that make up at least ``KEEP`` of all tokens (and occur twice or
-more), so their number has the fixed bound ``1 / KEEP`` per order whatever the size of the input; longer n-grams
-are counted only where both of their shorter parts are states. A state's arcs carry discounted probabilities, and
-what the discount leaves goes to its failure arc, whose weight makes each state's probabilities sum to one. At
-the bottom stand all words, with their add-one-tenth probability. Words too rare for a state are not dropped: they
-are joined to the counts table by hash.
+token. The states of the automaton are all words and all bigrams and trigrams that occur ``LEAST`` times or more, at
+any size of the input: the model grows with it, in stored tables. A state's arcs carry discounted probabilities, and
+what the discount leaves goes to its failure arc, whose weight makes each state's probabilities sum to one; both come
+from sums per context. At the bottom stand all words, with their add-one-tenth probability.
 
 Scoring. A text is traversed from left to right: the state is the longest kept n-gram that ends at the last token;
 the next token follows the state's arc, or the failure arc (adding its weight) to the next shorter state, down to
-the words. As that state depends on the last ``ORDER - 1`` tokens only, the states of all places of a block of texts
-are found together, order by order. Log10 probabilities are summed per document, those of rare words in the join.
+the words. The log10 probability of a place is a sum over the n-grams that end there: a word gives its probability
+and the failure arc of the state it makes, a longer n-gram what its arc has over the way by the failure arcs, and
+the failure arc of its own state. So a document's score is a join of its n-grams with one table of values.
+
+Hot states, a bounded number, are traversed inside the tasks instead, with the same weights: this changes no score,
+and leaves no key with a large share of the rows to the join. Texts are read once for each of ``SLICES`` ranges of
+keys, which bounds what is shuffled at a time.
 
 Null and empty texts are the end token alone. Every row is scored on its own and trains as often as it occurs; a null
 id is ``''`` for the split. An empty table gives no rows; without training tokens every word has the probability of
-an unseen one. Other columns are not looked at.
+an unseen one. N-grams are known by 64-bit hashes, too. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import stored, table
+from subledger.llm.common import release, stored, table
 from subledger.llm.text import Words, blocks, words
 
-ORDER = 3
-# Least share of all tokens that makes a word, and a longer n-gram, a state.
+# Occurrences that make a bigram or trigram a state.
+LEAST = 2
+# Least share of all tokens that makes a word, and a longer n-gram, a hot state.
 KEEP_WORD = 1e-6
 KEEP = 2e-6
 DISCOUNT = 0.7
 ADD = 0.1
-# Distinct counts that a task holds before it passes them on.
-HELD = 1 << 20
+# Keys that a task holds before it passes their counts on.
+HELD = 1 << 21
+# Ranges of keys, a power of two.
+SLICES = 4
+# Turns of the second part in the hash of two words, and of two overlapping bigrams.
+PAIR, TRIPLE = 17, 29
 # Fixed value: stands for the end of a text.
 END = np.uint64(0xE17D0FE17D0FE17D)
 RARE = -1
 
 
 class Model(NamedTuple):
-    """Words and arcs of the automaton; the probabilities are log10."""
+    """Words and arcs of the automaton's hot states; the probabilities are log10."""
 
     hashes: np.ndarray  # of words that are states, sorted
     word: np.ndarray    # their probability
@@ -86,82 +96,150 @@ def states(hashes: np.ndarray, row: np.ndarray, words_: np.ndarray, arcs: list)
     return out
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(``key``, ``n``) over all documents: combined in the task, then by Spark."""
+def both(first: np.ndarray, second: np.ndarray, turn: int) -> np.ndarray:
+    """Hash of two hashes in their order."""
+    return first ^ ((second << np.uint64(turn)) | (second >> np.uint64(64 - turn)))
+
+
+def both_of(first: str, second: str, turn: int) -> Column:
+    """The same of two columns."""
+    return F.col(first).bitwiseXOR(F.shiftleft(second, turn).bitwiseOR(F.shiftrightunsigned(second, 64 - turn)))
+
+
+def slice_of(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(32)) % np.uint64(SLICES)
+
+
+def pairs(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each bigram."""
+    same = row[1:] == row[:-1]
+    return hashes[:-1][same], hashes[1:][same]
+
+
+def triples(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bigrams of each trigram."""
+    same = row[2:] == row[:-2]
+    two = both(hashes[:-1], hashes[1:], PAIR)
+    return two[:-1][same], two[1:][same]
+
+
+def _counted(docs: DataFrame, names: list[str], keys_of, turn: int = PAIR) -> DataFrame:
+    """(``names``, ``n``) over all documents: combined in the task, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def combined():
-            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+            parts = [np.concatenate(c) for c in zip(*held)]
+            _, at, n = np.unique(parts[0] if len(parts) == 1 else both(*parts, turn), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in parts), pa.array(n)], names=[*names, "n"])
 
         for batch in batches:
             for block in blocks(batch.column("text")):
-                keys, n = np.unique(keys_of(*tokens(block)), return_counts=True)
-                held.append((keys, n))
-                size += len(keys)
+                held.append(keys_of(*tokens(block)))
+                size += len(held[-1][0])
                 if size > HELD:
-                    held = [combined()]
-                    size = len(held[0][0])
-                    if size > HELD // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names=["key", "n"])
-                        held, size = [], 0
+                    yield combined()
+                    held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in combined()], names=["key", "n"])
+            yield combined()
 
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"{name} long" for name in (*names, "n"))
+    return docs.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A counts table that its threshold bounds, sorted by key."""
-    held = counts.toArrow()
-    keys, n = held.column("key").to_numpy(), held.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
+def _columns(rows: DataFrame, *names: str) -> list[np.ndarray]:
+    """Columns of hot states, which their threshold bounds."""
+    held = rows.select(*names).toArrow()
+    return [held.column(c).to_numpy() for c in names]
 
 
-def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame, int, int]:
-    """The automaton, the counts table of all words (``key``, ``n``), and the numbers N and V."""
-    counts = stored(_counted(docs, lambda hashes, row: hashes.view(np.int64)), "counts")
+def _failing(arcs: DataFrame, context: str, total: DataFrame) -> DataFrame:
+    """(``context``, ``c``, ``fail``) from kept arcs (``n``, and ``shorter``: the probability one order down).
+
+    The failure arc gets what the arcs leave, over what they would have had one order down.
+    """
+    left = 1 - (F.col("sum_n") - DISCOUNT * F.col("k")) / F.col("c")
+    room = 1 - F.col("sum_shorter")
+    sums = arcs.groupBy(context).agg(F.sum("n").alias("sum_n"), F.count("*").alias("k"), F.sum("shorter").alias("sum_shorter"))
+    return sums.join(total.select(F.col("key").alias(context), F.col("n").alias("c")), context).select(
+        context, "c", F.log10(F.greatest(left, F.lit(1e-9)) / F.greatest(room, F.lit(1e-9))).alias("fail"))
+
+
+def _weighted(arcs: DataFrame, context: str, failing: DataFrame, turn: int, parts: tuple[str, str]) -> DataFrame:
+    """``arcs`` with ``key``, probability ``p`` and ``over``: what the arc has over the way by the failure arc."""
+    p = (F.col("n") - DISCOUNT) / F.col("c")
+    return arcs.join(failing, context).select(
+        both_of(*parts, turn).alias("key"), *parts, "n", p.alias("p"),
+        (F.log10(p) - F.col("fail") - F.log10("shorter")).alias("over"))
+
+
+def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
+    """The hot automaton, the values of all states (``key``, ``value``, and of words ``base``), and the numbers N and V."""
+    spark = docs.sparkSession
+    counts = stored(_counted(docs, ["key"], lambda hashes, row: (hashes,)), "counts", numeric=True)
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
-    keys, n = _collected(counts.where(F.col("n") >= total * KEEP_WORD))
-    known = keys.view(np.uint64)
-    by_hash = np.argsort(known)
-    known, n = known[by_hash], n[by_hash]
-    floor = total + ADD * (distinct + 1)
-    probability = [(n + ADD) / floor]
-    fails, arcs, weights, suffix = [], [], [], None
-    lower = n
-    for length in range(2, order + 1):
-        def grams(hashes, row, known=known, arcs=tuple(arcs)):
-            found = states(hashes, row, known, list(arcs))
-            before = np.full(len(row), RARE)
-            before[1:] = found[-1][:-1]
-            ok = (before >= 0) & (found[-1] >= 0)
-            ok[1:] &= row[1:] == row[:-1]
-            ok[0] = False
-            return before[ok] * len(known) + found[0][ok]
-
-        least = max(2.0, total * KEEP)
-        keys, n = _collected(_counted(docs, grams).where(F.col("n") >= least))
-        before, word = np.divmod(keys, max(len(known), 1))
-        own = (n - DISCOUNT) / lower[before]
-        # The failure arc gets what the arcs leave, over what they would have had one order down.
-        suffix = _place(arcs[-1], suffix[before] * len(known) + word) if arcs else word
-        shorter = probability[-1][suffix]  # kept, as both parts of a kept n-gram are
-        left = 1 - np.bincount(before, own, len(lower))
-        room = 1 - np.bincount(before, shorter, len(lower))
-        fails.append(np.log10(np.maximum(left, 1e-9) / np.maximum(room, 1e-9)))
-        arcs.append(keys)
-        probability.append(own)
-        weights.append(np.log10(own))
-        lower = n
-    return Model(known, np.log10(probability[0]), fails, arcs, weights, len(known)), counts, total, distinct or 0
+    total, distinct = total or 0, distinct or 0
+    floor = float(total + ADD * (distinct + 1))
+    probability = (F.col("n") + ADD) / floor
+    release(spark)
+
+    two = stored(_counted(docs, ["v", "w"], pairs).where(F.col("n") >= LEAST), "pairs", numeric=True)
+    release(spark)
+    two = stored(two.join(counts.select(F.col("key").alias("w"), probability.alias("shorter")), "w"), "pairs", numeric=True)
+    fail_one = stored(_failing(two, "v", counts), "failing", numeric=True)
+    two = stored(_weighted(two, "v", fail_one, PAIR, ("v", "w")), "pairs", numeric=True)
+    release(spark)
+
+    def of_slice(k):
+        def keys(hashes, row):
+            uv, vw = triples(hashes, row)
+            own = slice_of(uv) == k
+            return uv[own], vw[own]
+
+        found = stored(_counted(docs, ["uv", "vw"], keys, TRIPLE).where(F.col("n") >= LEAST), "triples", numeric=True)
+        release(spark)
+        return found
+
+    three = reduce(DataFrame.unionAll, [of_slice(k) for k in range(SLICES)])
+    # Both bigrams of a kept trigram are kept.
+    three = stored(three.join(two.select(F.col("key").alias("vw"), F.col("p").alias("shorter")), "vw"), "triples", numeric=True)
+    fail_two = stored(_failing(three, "uv", two), "failing", numeric=True)
+    three = stored(_weighted(three, "uv", fail_two, TRIPLE, ("uv", "vw")), "triples", numeric=True)
+    release(spark)
+
+    fail = F.coalesce("fail", F.lit(0.0))
+    one = counts.join(fail_one.select(F.col("v").alias("key"), "fail"), "key", "left").select(
+        "key", "n", F.log10(probability).alias("base"), fail.alias("fail"))
+    two = two.join(fail_two.select(F.col("uv").alias("key"), "fail"), "key", "left").withColumn("fail", fail)
+    none = F.lit(None).cast("double").alias("base")
+    values = stored(
+        one.select("key", (F.col("base") + F.col("fail")).alias("value"), "base")
+        .unionAll(two.select("key", (F.col("over") + F.col("fail")).alias("value"), none))
+        .unionAll(three.select("key", F.col("over").alias("value"), none)), "values", numeric=True)
+
+    # Parts of a hot n-gram are at least as frequent, so hot themselves.
+    least = max(float(LEAST), total * KEEP)
+    words_, word, word_fail = _columns(one.where(F.col("n") >= total * min(KEEP_WORD, KEEP)), "key", "base", "fail")
+    known = words_.view(np.uint64)
+    order = np.argsort(known)
+    known, size = known[order], len(known)
+    keys, v, w, p, pair_fail = _columns(two.where(F.col("n") >= least), "key", "v", "w", "p", "fail")
+    v, w = (_place(known, c.view(np.uint64)) for c in (v, w))
+    first = np.argsort(v * size + w)
+    keys, v, w, p, pair_fail = (c[first] for c in (keys, v, w, p, pair_fail))
+    by_key = np.argsort(keys)
+    uv, vw, q = _columns(three.where(F.col("n") >= least), "uv", "vw", "p")
+    uv, vw = (by_key[_place(keys[by_key], c)] if len(c) else np.zeros(0, np.int64) for c in (uv, vw))
+    arc = uv * size + w[vw]
+    second = np.argsort(arc)
+    model = Model(known, word[order], [word_fail[order], pair_fail], [v * size + w, arc[second]],
+                  [np.log10(p), np.log10(q[second])], size)
+    release(spark)
+    return model, values, total, distinct
 
 
 def traverse(hashes: np.ndarray, row: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(Log10 probability at each place, word states); at a rare word only the failure arcs down to it."""
+    """(Log10 probability at each place, word states), as far as hot states give it."""
     found = states(hashes, row, model.hashes, model.arcs)
     score = np.where(found[0] >= 0, model.word[np.maximum(found[0], 0)] if model.size else 0.0, 0.0)
     same = np.zeros(len(row), bool)
@@ -177,13 +255,27 @@ def traverse(hashes: np.ndarray, row: np.ndarray, model: Model) -> tuple[np.ndar
     return score, found[0]
 
 
-def scored(docs: DataFrame, model: Model, counts: DataFrame, total: int, distinct: int) -> DataFrame:
+def left_over(hashes: np.ndarray, row: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and rows of the n-grams of all places that are no hot states."""
+    one, two, three = states(hashes, row, model.hashes, model.arcs)
+    same = row[1:] == row[:-1]
+    far = row[2:] == row[:-2]
+    cold = [one < 0, two[1:][same] < 0, three[2:][far] < 0]
+    keys = [hashes, both(*pairs(hashes, row), PAIR), both(*triples(hashes, row), TRIPLE)]
+    rows = [row, row[1:][same], row[2:][far]]
+    return tuple(np.concatenate([c[k] for c, k in zip(part, cold)]) for part in (keys, rows))
+
+
+def scored(docs: DataFrame, model: Model, values: DataFrame, total: int, distinct: int) -> DataFrame:
     """(``id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``) per row of ``docs``."""
     from pyspark.sql.pandas.types import to_arrow_type
+    spark = docs.sparkSession
+    # A row's number is written with it, so it is the same wherever the row is read again.
+    docs = stored(docs.select("id", "text").withColumn("place", F.monotonically_increasing_id()), "numbered")
     id_type, kind = to_arrow_type(docs.schema["id"].dataType), docs.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by 1 / KEEP entries per order
+    shared = spark.sparkContext.broadcast(model)  # bounded by 1 / KEEP entries per order
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_hot_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for block in blocks(batch.column("text")):
@@ -191,47 +283,47 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame, total: int, distinc
                 hashes, row = tokens(block)
                 score, word = traverse(hashes, row, model)
                 base = np.where(word >= 0, model.word[np.maximum(word, 0)] if model.size else 0.0, 0.0)
-                rare = word < 0
-                pairs = np.unique(np.stack([row[rare].view(np.uint64), hashes[rare]]), axis=1, return_counts=True) if rare.any() else None
-                (of, key), n = (pairs[0], pairs[1]) if pairs else (np.zeros((2, 0), np.uint64), np.zeros(0, np.int64))
-                ends = np.searchsorted(of.view(np.int64), np.arange(rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("id").slice(block.first, rows).cast(id_type),
-                    pa.array(np.bincount(row, minlength=rows)),
-                    pa.array(np.bincount(row[~rare], minlength=rows)),
+                    batch.column("place").slice(block.first, rows), batch.column("id").slice(block.first, rows).cast(id_type),
+                    pa.array(np.bincount(row, minlength=rows)), pa.array(np.bincount(row[word >= 0], minlength=rows)),
                     pa.array(np.bincount(row, base, rows)), pa.array(np.bincount(row, score, rows)),
-                    pa.ListArray.from_arrays(ends, pa.array(key.view(np.int64))),
-                    pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32))),
-                ], names=["id", "n_tokens", "known", "base", "score", "rare", "times"])
-
-    seen = stored(
-        docs.select("id", "text").mapInArrow(
-            run, f"id {kind}, n_tokens long, known long, base double, score double, rare array<long>, times array<int>")
-        # A row's number is written with it, so it is the same wherever the row is read again.
-        .withColumn("place", F.monotonically_increasing_id()),
-        "seen",
-    )
-    floor = float(total + ADD * (distinct + 1))
-    rare = (
-        seen.select("place", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-        .select("place", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
-        .join(counts, "key", "left")
-        .groupBy("place").agg(
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + ADD) / floor)).alias("below"),
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("met"))
-    )
-    below = F.coalesce("below", F.lit(0.0))
-    return seen.join(rare, "place", "left").select(
-        "id", "n_tokens", (F.col("known") + F.coalesce("met", F.lit(0))).cast("long").alias("n_known"),
-        (F.col("base") + below).alias("base_score"), (F.col("score") + below).alias("score"))
+                ], names=["place", "id", "n_tokens", "known", "base", "score"])
+
+    def of_slice(k):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = shared.value
+            for batch in batches:
+                for block in blocks(batch.column("text")):
+                    place = batch.column("place").slice(block.first, block.last - block.first).to_numpy()
+                    keys, row = left_over(*tokens(block), model)
+                    own = slice_of(keys) == k
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(place[row[own]])], names=["key", "place"])
+
+        own = F.pmod(F.shiftrightunsigned("key", 32), F.lit(SLICES)) == k
+        found = stored(
+            docs.select("place", "text").mapInArrow(run, "key long, place long").join(values.where(own), "key")
+            .groupBy("place").agg(F.sum("value").alias("value"), F.sum("base").alias("below"), F.count("base").alias("met")),
+            "values", numeric=True)
+        release(spark)
+        return found
+
+    seen = docs.mapInArrow(by_hot_states, f"place long, id {kind}, n_tokens long, known long, base double, score double")
+    rest = reduce(DataFrame.unionAll, [of_slice(k) for k in range(SLICES)]).groupBy("place").agg(
+        F.sum("value").alias("value"), F.sum("below").alias("below"), F.sum("met").alias("met"))
+    known = F.col("known") + F.coalesce("met", F.lit(0))
+    unseen = (F.col("n_tokens") - known) * math.log10(ADD / (total + ADD * (distinct + 1)))
+    return seen.join(rest, "place", "left").select(
+        "id", "n_tokens", known.cast("long").alias("n_known"),
+        (F.col("base") + F.coalesce("below", F.lit(0.0)) + unseen).alias("base_score"),
+        (F.col("score") + F.coalesce("value", F.lit(0.0)) + unseen).alias("score"))
 
 
 def op9_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents by a model of the training ones."""
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
     out = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))) % 10 == 0
-    model, counts, total, distinct = train(docs.where(~out))
-    rows = scored(docs, model, counts, total, distinct)
+    model, values, total, distinct = train(docs.where(~out))
+    rows = scored(docs, model, values, total, distinct)
     return rows.select(
         F.col("id").alias("doc_id"), out.alias("held_out"), "n_tokens", "n_known",
         F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -141,3 +141,36 @@ def base_scores(rows):
     return [(i, o, len(t), sum(counts[w] > 0 for w in t), total,
              round(sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in t), 6))
             for (i, t), o in zip(tokens, out)]
+
+
+def trained_scores(rows, least=2, discount=0.7, add=0.1):
+    """(id, score) per row by all bigrams and trigrams that occur ``least`` times, step by step."""
+    tokens = [(r[0], SPACE_WORDS.findall((r[1] or "").encode().translate(LOWER)) + [None]) for r in rows]
+    train = [t for i, t in tokens if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+    counts = [collections.Counter(tuple(t[k:k + n]) for t in train for k in range(len(t) - n + 1)) for n in (1, 2, 3)]
+    total, distinct = sum(counts[0].values()), len(counts[0])
+    arcs = collections.defaultdict(list)
+    for kept in counts[1:]:
+        for gram, n in kept.items():
+            if n >= least:
+                arcs[gram[:-1]].append(gram)
+
+    def own(gram):
+        return (counts[len(gram) - 1][gram] - discount) / counts[len(gram) - 2][gram[:-1]]
+
+    def p(gram):
+        if len(gram) == 1:
+            return (counts[0][gram] + add) / (total + add * (distinct + 1))
+        if counts[len(gram) - 1][gram] >= least:
+            return own(gram)
+        return fail(gram[:-1]) * p(gram[1:])
+
+    weights = {}
+
+    def fail(context):
+        if context not in weights:
+            grams = arcs.get(context, [])
+            weights[context] = (1 - sum(map(own, grams))) / (1 - sum(p(g[1:]) for g in grams))
+        return weights[context]
+
+    return [(i, sum(math.log10(p(tuple(t[max(k - 2, 0):k + 1]))) for k in range(len(t)))) for i, t in tokens]

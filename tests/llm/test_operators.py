@@ -123,6 +123,18 @@ def test_base_scores(spark, folder, rows):
     assert got(spark, "op9_backoff_automaton", folder, *columns) == collections.Counter(brute.base_scores(rows))
 
 
+@pytest.mark.parametrize("share", [2e-6, 1e-3, 2.0])
+def test_trained_scores_do_not_depend_on_the_share_of_hot_states(spark, folder, rows, monkeypatch, share):
+    from subledger.llm import language_model
+    monkeypatch.setattr(language_model, "KEEP_WORD", share / 2)
+    monkeypatch.setattr(language_model, "KEEP", share)
+    found = sorted((-1 if r.doc_id is None else r.doc_id, r.score)
+                   for r in QUERIES["op9_backoff_automaton"](spark, folder).collect())
+    want = sorted((-1 if i is None else i, s) for i, s in brute.trained_scores(rows))
+    assert [i for i, _ in found] == [i for i, _ in want]
+    assert [s for _, s in found] == pytest.approx([s for _, s in want], abs=1e-6)
+
+
 def test_hits(spark, folder, rows):
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256")
     assert got(spark, "op10_positional_index", folder, *columns) == collections.Counter(brute.hits(rows, brute.benchmark(rows)))
