@@ -7,9 +7,10 @@ estimate and the documents nearest to it, and the start with the smallest determ
 follows, and a document whose squared Mahalanobis distance exceeds a chi-square quantile is rejected.
 
 All documents that pass the base rules take part, through sums per group and histograms of distances, so no
-group is gathered or ordered anywhere. Scatter gets a small fixed variance per statistic, so a statistic that
-hardly varies in a group rejects nothing by itself. Documents of a group smaller than ``MIN_GROUP`` are judged
-with all small groups of their language; if these are still too few, only the base rules hold.
+group is gathered or ordered anywhere. A statistic that hardly varies in a group gets the least variance that lets
+its bound pass: a document farther than ``BOUNDS`` from the group's center is then rejected for that alone; where a
+group varies more, its own scatter holds. Documents of a group smaller than ``MIN_GROUP`` are judged with all small
+groups of their language; if these are still too few, only the base rules hold.
 
 Null and empty texts have no words and fail the base rules; null languages or sources are groups like others;
 repeated rows count as often as they occur, and get the same verdict; an empty table gives no rows. Input columns
@@ -29,20 +30,22 @@ from subledger.llm.common import FEW, SPACES, keeping, release, stored, table
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-# Variance added to each statistic's scatter: words, word length, and the shares of symbols, repeated lines and
-# repeated words. Most documents have none of the last three, so their floors say what a group always bears: a
-# symbol for every five words, half of the lines or half of the words repeated.
-FLOORS = (0.25, 0.0025, 0.04, 0.16, 0.16)
-DIMENSIONS = len(FLOORS)
+# Distances from the center beyond which a statistic rejects by itself: eight times as many or few words, words longer
+# or shorter by a third, and, from a center of none, a symbol for every five words, half of the lines or two fifths of
+# the words repeated (half of the words fail the base rule).
+BOUNDS = (math.log(8), math.log(1.35), math.log1p(10 * 0.2), math.log1p(10 * 0.5), math.log1p(10 * 0.4))
+DIMENSIONS = len(BOUNDS)
 # Share of a group that the concentration steps keep, and how many of them run.
 SHARE = 0.75
 STEPS = 5
 MIN_GROUP = 40
-# Clean documents beyond the cut: about one in ten million of a normal law.
-TAIL = 1e-7
+# Clean documents beyond the cut: about one in a hundred thousand of a normal law.
+TAIL = 1e-5
 REWEIGHT_TAIL = 0.025
 # Histogram bins per factor e of the squared distance.
 FINENESS = 20
+# Part of its own variance that every statistic gets on top, so that a scatter of tied statistics can be inverted.
+RIDGE = 0.01
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
@@ -119,6 +122,11 @@ def chi_square_quantile(p: float, k: float) -> float:
     return high
 
 
+# Least variance of each statistic: its bound is then at the cut.
+CUT = chi_square_quantile(1 - TAIL, DIMENSIONS)
+FLOORS = tuple(bound ** 2 / CUT for bound in BOUNDS)
+
+
 def consistency(share: float) -> float:
     """Factor that makes the scatter of the nearest ``share`` estimate that of the whole normal law."""
     return share / chi_square_cdf(chi_square_quantile(share, DIMENSIONS), DIMENSIONS + 2)
@@ -170,7 +178,7 @@ def estimate(sums: DataFrame, keys: list[str], factor: float) -> DataFrame:
     def cell(i, j):
         i, j = min(i, j), max(i, j)
         spread = F.col(f"q{i}{j}").cast("double") / n - mean[i] * mean[j]
-        return (F.greatest(spread, F.lit(0.0)) if i == j else spread) * factor + (FLOORS[i] if i == j else 0.0)
+        return F.greatest(spread * (factor * (1 + RIDGE)), F.lit(FLOORS[i])) if i == j else spread * factor
 
     rows = F.array(*[F.array(*[cell(i, j) for j in range(DIMENSIONS)]) for i in range(DIMENSIONS)])
     center = F.array(*[F.col("origin")[i] + mean[i] for i in range(DIMENSIONS)])
@@ -220,7 +228,7 @@ def _starts(points: DataFrame) -> DataFrame:
 
     def diagonal(weights):
         return F.array(*[
-            (weights[i] / (F.pow((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, 2) + FLOORS[i])) if i == j else F.lit(0.0)
+            (weights[i] / F.greatest(F.pow((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, 2), F.lit(FLOORS[i]))) if i == j else F.lit(0.0)
             for i in range(DIMENSIONS) for j in range(DIMENSIONS)])
 
     weights = ([1.0] * 5, [0.25, 1.0, 1.0, 1.0, 1.0], [0.0625, 4.0, 1.0, 1.0, 4.0])
@@ -265,9 +273,8 @@ def judged(rows: DataFrame) -> DataFrame:
     names = [F.col(f"`{c}`") for c in rows.columns]
     own = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     measured = rows.join(fit, own).withColumn("x", F.when(F.col("n_words") > 0, F.array(*vector())))
-    cut = chi_square_quantile(1 - TAIL, DIMENSIONS)
     distance = measured.select(*names, squared_distance().alias("distance"))
-    return distance.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut))
+    return distance.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUT))
 
 
 def good_documents(docs: DataFrame) -> DataFrame:

@@ -129,6 +129,19 @@ def test_estimates_withstand_a_fifth_of_junk(spark):
     assert kept == {r[0] for r in clean}
 
 
+def test_each_statistic_rejects_by_itself(spark):
+    rng = np.random.default_rng(2)
+    # Words, word length, symbols, repeated lines, repeated words; most documents have none of the last three.
+    clean = [(int(n), f, 0, 0, 0) for n, f in zip(1000 * np.exp(rng.normal(0, 0.1, 400)), np.exp(rng.normal(0, 0.02, 400)))]
+    clean += [(6000, 1, 0, 0, 0), (170, 1, 0, 0, 0), (1000, 1.25, 0, 0, 0), (1000, 1, 150, 0, 0), (1000, 1, 0, 40, 0), (1000, 1, 0, 0, 300)]
+    junk = [(10000, 1, 0, 0, 0), (100, 1, 0, 0, 0), (1000, 1.4, 0, 0, 0), (1000, 1, 240, 0, 0), (1000, 1, 0, 65, 0), (1000, 1, 0, 0, 480)]
+    rows = spark.createDataFrame(
+        [(i, "en", "s", n, int(n * 5 * f), symbols, lines, repeated, 100, False) for i, (n, f, symbols, lines, repeated) in enumerate(clean + junk)],
+        "doc_id long, lang string, source string, n_words long, word_chars long, "
+        "n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, base_failed boolean")
+    assert {r.doc_id for r in quality.judged(rows).where("kept").collect()} == set(range(len(clean)))
+
+
 def test_archive_reader_skips_what_is_not_wanted():
     made = [{"record_type": k, "record_id": f"r{i}", "payload": b"x" * (i * 3000), "refers_to": "r9" if k == "revisit" else None}
             for i, k in enumerate(["response", "revisit", "response", "warcinfo"])]
