@@ -7,8 +7,10 @@ from subledger.llm.html_text import op7_boosted_dom_text
 from subledger.llm.language_model import op9_backoff_automaton
 from subledger.llm.mixing import op6_water_filling
 from subledger.llm.ngram_join import op1_ngram_join
+from subledger.llm.periodic_runs import op11_periodic_runs
 from subledger.llm.quality import op2_robust_outliers
 from subledger.llm.sharding import op5_hypergeometric_shards
+from subledger.llm.simhash import op13_simhash_groups
 from subledger.llm.suffix_dedup import op8_suffix_array_dedup
 from subledger.llm.token_counts import op4_heap_bpe_counts
 from subledger.llm.warc import op3_warc_round_trip
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_positional_index": op10_positional_index,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_simhash_groups": op13_simhash_groups,
 }
 # SQL counterparts, where SQL can express the query.
 ORACLES: dict[str, str] = {}
