@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from subledger.llm import hard_negatives
 from subledger.llm.decontamination import op10_positional_index
+from subledger.llm.hard_negatives import op12_multi_index_negatives
 from subledger.llm.html_text import op7_boosted_dom_text
 from subledger.llm.language_model import op9_backoff_automaton
 from subledger.llm.mixing import op6_water_filling
@@ -27,7 +29,10 @@ QUERIES = {
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_positional_index": op10_positional_index,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_multi_index_negatives": op12_multi_index_negatives,
     "op13_simhash_groups": op13_simhash_groups,
 }
 # SQL counterparts, where SQL can express the query.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_multi_index_negatives": hard_negatives.SQL,
+}

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 
 SPACE_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -45,6 +46,39 @@ def benchmark(rows):
             ["b4", None], ["b5", ""], ["b6", "none of these words occur anywhere in the corpus at all today"]]
 
 
+def vectors():
+    """(vec_id, embedding, label) rows: close groups, ties, repeated rows, nulls, odd components and lengths."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(520):
+        centre = [rng.gauss(0, 1) for _ in range(8)] if i % 13 == 0 else centre
+        rows.append([i, [c + rng.gauss(0, 0.3) for c in centre], rng.randrange(4)])
+    for i in range(520, 560):  # ties
+        rows.append([i, [1.0, 0, 0, 0, 0, 0, 0, 0.5], i % 4])
+    rows += [list(rows[50]), list(rows[50]), list(rows[523]), [None, rows[50][1], 1], [600, None, 1], [650, rows[3][1], None],
+             [700, [0.5, None] * 4, 2], [750, [float("nan")] * 8, 2], [800, [float("inf")] + [0.0] * 7, 2], [850, [], 2],
+             [900, [2.0, -1.0, 0.5], 3], [950, [0.0] * 8, 0], [-50, rows[60][1], 2], [1000, [300.0] * 8, 1]]
+    return rows
+
+
+def hard_negatives(rows):
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) rows."""
+    items = []
+    for key, vector, label in rows:
+        if key is not None and label is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            exact = struct.unpack(f"{len(vector)}f", struct.pack(f"{len(vector)}f", *vector))
+            items.append((key, (label + 1) % 10 if key % 7 == 0 else label, [math.floor(256 * x) for x in exact]))
+    out = []
+    for a, (key, label, q) in enumerate(items):
+        if key % 50:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, p)), other, its) for b, (other, its, p) in enumerate(items) if b != a)
+        for s, positive, _ in [x for x in scored if x[2] == label][:5]:
+            inside = [(t, other) for t, other, its in scored if its != label and 50 * -s <= 100 * -t <= 95 * -s]
+            out += [(key, positive, k + 1, other, -s, -t) for k, (t, other) in enumerate(inside[:3])]
+    return out
+
+
 def grams(text):
     words = SPACE_WORDS.findall((text or "").encode())
     n = min(5, len(words))

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 
 
-def write(folder, rows, items, pages):
+def write(folder, rows, items, pages, vectors):
     os.makedirs(folder, exist_ok=True)
     columns = list(zip(*rows)) if rows else [[]] * 4
     docs = {"doc_id": pa.array(columns[0], pa.int64()), "text": pa.array(columns[1], pa.string()),
@@ -23,6 +23,10 @@ def write(folder, rows, items, pages):
     pq.write_table(pa.table({"page_id": pa.array(columns[0], pa.int64()), "url": pa.array(columns[1], pa.string()),
                              "html": pa.array(columns[2], pa.string()), "payload": pa.array(["x"] * len(pages), pa.string())}),
                    f"{folder}/pages.parquet")
+    columns = list(zip(*vectors)) if vectors else [[]] * 3
+    pq.write_table(pa.table({"vec_id": pa.array(columns[0], pa.int64()), "embedding": pa.array(columns[1], pa.list_(pa.float32())),
+                             "label": pa.array(columns[2], pa.int32()), "score": pa.array(["x"] * len(vectors), pa.string())}),
+                   f"{folder}/embeddings.parquet")
     return str(folder)
 
 
@@ -43,9 +47,9 @@ def rows():
 
 @pytest.fixture(scope="session")
 def folder(rows, tmp_path_factory):
-    return write(tmp_path_factory.mktemp("corpus"), rows, brute.benchmark(rows), PAGES)
+    return write(tmp_path_factory.mktemp("corpus"), rows, brute.benchmark(rows), PAGES, brute.vectors())
 
 
 @pytest.fixture(scope="session")
 def empty(tmp_path_factory):
-    return write(tmp_path_factory.mktemp("empty"), [], [], [])
+    return write(tmp_path_factory.mktemp("empty"), [], [], [], [])

@@ -2,16 +2,19 @@
 
 import collections
 import hashlib
+import os
 import random
 import zlib
 from fractions import Fraction
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 import xxhash
 
-from subledger.llm import simhash
+from subledger.llm import hard_negatives, simhash
+from subledger.llm.hard_negatives import SQL, Index, multi_sequence, op12_multi_index_negatives
 from subledger.llm.periodic_runs import op11_periodic_runs, periodic_runs, runs_of
 from subledger.llm.simhash import op13_simhash_groups, simhash_groups
 
@@ -164,3 +167,47 @@ def test_equal_fingerprints_of_many_rows(spark):
     rows = [(k, "the very same words in every copy") for k in range(10_000)] + [(None, None)] * 3
     found = simhash_groups(spark.createDataFrame(rows, "id long, text string"))
     assert collections.Counter(r.component_id for r in found.collect()) == {0: 10_000, None: 3}
+
+
+COLUMNS_12 = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_hard_negatives(spark, folder, monkeypatch, small):
+    if small:  # many shelves, cells over several of them, several blocks of requests, first visits that see little
+        for name, value in (("PROBE", 8), ("SHELF", 20), ("REQUESTS", 3), ("AT_ONCE", 2), ("CODES", 4)):
+            monkeypatch.setattr(hard_negatives, name, value)
+    found = collections.Counter(tuple(r) for r in op12_multi_index_negatives(spark, folder).select(*COLUMNS_12).collect())
+    assert found == collections.Counter(brute.hard_negatives(brute.vectors()))
+
+
+def test_hard_negatives_of_driver_rows_equal_the_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("driver tables absent")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
+    want = collections.Counter(con.sql(f"SELECT {', '.join(COLUMNS_12)} FROM ({SQL})").fetchall())
+    assert collections.Counter(tuple(r) for r in op12_multi_index_negatives(spark, folder).select(*COLUMNS_12).collect()) == want
+
+
+def test_cells_come_by_falling_sum_and_bounds_hold():
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=9), rng.normal(size=7)
+    found = list(multi_sequence(a, b))
+    assert sorted((i, j) for _, i, j in found) == [(i, j) for i in range(9) for j in range(7)]
+    assert [s for s, _, _ in found] == sorted((s for s, _, _ in found), reverse=True)
+    x = np.floor(rng.normal(size=(3000, 10)) * 256)
+    index = Index(x[:500])
+    cell, (e1, e2) = index.assign(x)
+    index.learn([(c, (cell == c).sum(), e1[cell == c].max(), e2[cell == c].max()) for c in np.unique(cell)])
+    for anchor in x[:20]:
+        scores = x @ anchor
+        for least in np.quantile(scores, [0.5, 0.99]):
+            seen = index.visits(anchor, -np.inf, -np.inf, np.inf, True) + index.visits(anchor, least, -np.inf, np.inf, False)
+            assert len(seen) == len(set(seen)) and set(cell[scores >= least]) <= set(seen)
+
+
+def test_large_components_are_exact():
+    a = np.array([[2.0 ** 40 + 1, 3.0]])
+    assert hard_negatives._product(a, a)[0, 0] == (2 ** 40 + 1) ** 2 + 9
