@@ -223,7 +223,9 @@ def with_planted_tails(doc_id: Column, text: Column) -> Column:
     n = F.size(words)
     a = g % n
     p = F.floor((n - a) / (3 + g % 8)) + 1
-    tail = F.transform(F.sequence(a, n - F.lit(1).cast("long")), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
+    # No lambda: one would find the words anew for each of them.
+    size = (n - a).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil(size / p).cast("int"))), F.lit(1), size)
     changed = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
     return F.when((h % 10 == 0) & (F.regexp_count(text, F.lit(WORDS)) > 0), changed).otherwise(text)
 

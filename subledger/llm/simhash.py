@@ -338,7 +338,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("low", "u").alias("low"))
         dealt = low.select("u", "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        around = both.select("u", "v", salt).join(dealt, ["u", "salt"])
+        # Not to be broadcast: the copies are more than Spark's estimate of the file tells.
+        around = both.select("u", "v", salt).join(dealt.hint("merge"), ["u", "salt"])
         if large:
             out = around.where("v > u").select(F.col("low").alias("u"), "v")
         else:
