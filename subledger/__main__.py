@@ -37,10 +37,10 @@ def _parser() -> argparse.ArgumentParser:
     job("load-historical", source)
     job("append-daily", source, ("--day", {"default": yesterday}))
     job("backfill", source, ("--dry-run", {"action": "store_true"}))
-    job("build-view", as_of)
+    job("build-view", as_of, ("--days", {"nargs": "+", "help": "refresh only the subscriptions with rows on these days"}))
     job("build-counters", ("date", {"nargs": "?"}), ("--start-date", {}), ("--end-date", {}), ("--backfill", {"action": "store_true"}),
         ("--force", {"action": "store_true"}), ("--excluded", {"help": "exclusion list"}), ("--dim", {}))
-    job("user-base", source, ("--encoding", {"default": "UTF-8"}))
+    job("user-base", source, ("--encoding", {"default": "UTF-8"}), ("--force", {"action": "store_true"}))
     job("reconcile", dim, ("service", {"nargs": "?"}), ("--date", {}))
     job("refunds", dim, ("--months", {"nargs": "+"}))
     job("revenue", dim, ("--services", {"nargs": "+", "required": True}), ("--months", {"nargs": "+", "required": True}))
@@ -68,7 +68,8 @@ def _results(spark, args) -> dict[str, DataFrame]:
         runs = jobs.backfill(spark, args.source, root, dry_run=args.dry_run)
         return {"missing dates": runs} if runs is not None else {}
     elif args.job == "build-view":
-        print(jobs.build_view(spark, root, args.as_of), "subscriptions")
+        build = jobs.build_view(spark, root, args.as_of) if not args.days else jobs.refresh_view(spark, root, args.as_of, args.days)
+        print(build, "subscriptions")
     elif args.job == "build-counters":
         phones, users = load_excluded(spark, args.excluded) if args.excluded else (None, None)
         start = args.start_date or args.date or (None if args.backfill else str(date.today() - timedelta(days=1)))
@@ -81,7 +82,7 @@ def _results(spark, args) -> dict[str, DataFrame]:
             shown["unmapped codes"] = unmapped_cpcs(counters, dim)
         return shown
     elif args.job == "user-base":
-        print(jobs.build_user_base(spark, args.source, root, encoding=args.encoding))
+        print(jobs.build_user_base(spark, args.source, root, encoding=args.encoding, force=args.force))
         return {"unusable rows": rejected_rows(spark, args.source, args.encoding)}
     elif args.job == "reconcile":
         by_service, by_cpc = (read_rollup(spark, f"{root}/user_base/by_{level}") for level in ("service", "cpc"))
@@ -120,15 +121,16 @@ def _results(spark, args) -> dict[str, DataFrame]:
         for name, fact in FACTS.items():
             stored = jobs.tables.read_current(spark, jobs.tables.fact_path(jobs.transactions(root), fact))
             if stored is not None:
-                print(name, "columns:", schema_diff(stored, fact.stored_columns))
-        return {"missing days": quality.completeness_ranges(tx, args.as_of), "rows": quality.row_counts(tx),
-                "date ranges": quality.date_ranges(tx), "partitions": quality.tx_partition_inventory(tx),
+                print(name, "columns:", schema_diff(stored.drop("day"), fact.stored_columns))
+        days = jobs.tables.all_days(spark, jobs.transactions(root))
+        return {"missing days": quality.completeness_ranges(tx, args.as_of), "rows": quality.stored_row_counts(days),
+                "date ranges": quality.stored_date_ranges(spark, jobs.transactions(root)), "partitions": quality.stored_inventory(days),
                 "duplicates": quality.tx_duplicates(tx), "activations": quality.act_count_total(tx),
                 "revenue by month": quality.act_revenue_by_month(tx), "latest renewals": quality.latest_renewals(tx),
                 "cancellations by month": quality.cancellations_by_month(tx), "refunds": quality.refund_totals(tx)}
     elif args.job == "check-view":
         subs, as_of = jobs.load_view(spark, root), args.as_of
-        print("columns:", schema_diff(jobs.tables.read_current(spark, jobs.view_path(root)), (*fixed.LIFECYCLE_COLUMNS, "month")))
+        print("columns:", schema_diff(jobs.tables.read_current(spark, jobs.view_path(root)), (*fixed.LIFECYCLE_COLUMNS, "as_of", "bucket")))
         timed = ("monthly_activations", "monthly_renewals", "monthly_deactivations", "monthly_cancellations",
                  "monthly_refunds", "recent_activations", "completeness_lifecycle")
         plain = ("lifecycle_date_ranges", "quality_checks", "revenue_statistics", "active_count", "top_cpcs",

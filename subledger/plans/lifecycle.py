@@ -119,10 +119,11 @@ def cpc_list(tx: DataFrame) -> DataFrame:
 def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") -> DataFrame:
     """One row per subscription that has an activation or a renewal; 34 columns.
 
-    One aggregation by subscription for all measures, and one for the list of codes; both are keyed and
-    partitioned by subscription, so their join adds no shuffle. Every measure is a minimum, maximum, sum
-    or count and combines before the shuffle: a subscription holding a large share of the rows sends one
-    row per task. ``as_of`` ends the lifetime of open subscriptions.
+    One scan of the facts feeds two levels of aggregation: by subscription and product code, then by subscription. The
+    first level's row of a code carries its share of every measure and the code's first sight, the second merges the measures
+    and gathers the codes, so a list is as long as the codes a subscription ever had. Every measure is a minimum, maximum,
+    sum or count and combines before each shuffle: a subscription holding a large share of the rows sends one row per task and
+    code. ``as_of`` ends the lifetime of open subscriptions.
 
     Status and end date look at the existence of a cancellation or deactivation, not at its order
     relative to renewals, so a lifetime can be negative.
@@ -134,22 +135,31 @@ def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") ->
     # Only activations and renewals open a subscription; facts without an id attach to none.
     rows = tx.where(paid | ((dct | cnr | rfnd) & F.col("subscription_id").isNotNull()))
     opening = earliest(at, tie, "tmuserid", "msisdn", "cpc", "act_date", "camp_name", "channel", "year_month")
-    measures = rows.groupBy("subscription_id").agg(
-        F.min(F.when(paid, opening)).alias("opening"),
-        F.min(F.when(act, earliest(at, tie, "rev"))).alias("first_act"),
-        F.max(F.when(act & upgrade_condition(upgrade_rule), latest(at, tie, "cpc", "rev"))).alias("upgrade"),
-        F.max(F.when(paid, latest(at, tie, "cpc"))).alias("newest"),
-        F.max(F.when(dct & (F.col("channel") != fixed.UPGRADE_CHANNEL), latest(at, tie, "channel"))).alias("dct"),
-        F.max(F.when(cnr, latest(at, tie, "channel"))).alias("cnr"),
-        count_where(reno).alias("renewals"),
-        F.sum(F.when(reno, F.col("rev"))).alias("renewal_rev"),
-        F.max(F.when(reno, at)).alias("last_reno"),
-        F.min(F.when(reno, at)).alias("first_reno"),
-        count_where(rfnd).alias("refunds"),
-        F.sum(F.when(rfnd, F.col("rfnd_amount"))).alias("refunded"),
-        F.max(F.when(rfnd, at)).alias("last_rfnd"),
+    # Measure -> (how its parts merge, its value over rows).
+    measures = {
+        "opening": (F.min, F.when(paid, opening)),
+        "first_act": (F.min, F.when(act, earliest(at, tie, "rev"))),
+        "upgrade": (F.max, F.when(act & upgrade_condition(upgrade_rule), latest(at, tie, "cpc", "rev"))),
+        "newest": (F.max, F.when(paid, latest(at, tie, "cpc"))),
+        "dct": (F.max, F.when(dct & (F.col("channel") != fixed.UPGRADE_CHANNEL), latest(at, tie, "channel"))),
+        "cnr": (F.max, F.when(cnr, latest(at, tie, "channel"))),
+        "renewals": (F.sum, F.when(reno, F.lit(1)).otherwise(0).cast("bigint")),
+        "renewal_rev": (F.sum, F.when(reno, F.col("rev"))),
+        "last_reno": (F.max, F.when(reno, at)),
+        "first_reno": (F.min, F.when(reno, at)),
+        "refunds": (F.sum, F.when(rfnd, F.lit(1)).otherwise(0).cast("bigint")),
+        "refunded": (F.sum, F.when(rfnd, F.col("rfnd_amount"))),
+        "last_rfnd": (F.max, F.when(rfnd, at)),
+        "paid": (F.max, paid),
+    }
+    # Only activations and renewals list their code; the others share the row of the null code.
+    by_code = rows.groupBy("subscription_id", F.when(paid, F.col("cpc")).alias("code")).agg(
+        F.min(F.when(paid, at)).alias("seen"), *[merge(value).alias(name) for name, (merge, value) in measures.items()])
+    listed = F.when(F.col("paid"), _seen_entry(F.col("seen"), F.col("code")))
+    per_sub = by_code.groupBy("subscription_id").agg(
+        _codes(F.collect_list(listed)).alias("cpc_list"), F.count(F.when(F.col("paid"), F.col("code"))).alias("cpc_count"),
+        *[merge(name).alias(name) for name, (merge, _) in measures.items() if name != "paid"],
     ).where("opening is not null")
-    per_sub = measures.join(cpc_list(tx), "subscription_id", "left")
 
     # Rows without a subscription id share one output row that nothing is attached to.
     known = F.col("subscription_id").isNotNull()
@@ -167,11 +177,11 @@ def subscription_view(tx: DataFrame, as_of: str, upgrade_rule: str = "code") ->
         "subscription_id": F.col("subscription_id"),
         "tmuserid": o["tmuserid"],
         "msisdn": o["msisdn"],
-        "cpc_list": F.col("cpc_list"),
-        "cpc_count": F.col("cpc_count"),
+        "cpc_list": attached(F.col("cpc_list")),
+        "cpc_count": attached(F.col("cpc_count")),
         "first_cpc": o["cpc"],
         "current_cpc": attached(F.col("newest.cpc")),
-        "has_upgraded": F.coalesce(F.col("cpc_count") > 1, F.lit(False)),
+        "has_upgraded": F.coalesce(attached(F.col("cpc_count")) > 1, F.lit(False)),
         "upgrade_date": attached(F.col("upgrade.at")),
         "upgraded_to_cpc": attached(F.col("upgrade.cpc")),
         "activation_date": o["act_date"],

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.functions import count_where, month_of, round_half_up
 from subledger.operators.dedupe import duplicate_counts
 from subledger.operators.gaps import distinct_dates, gap_ranges, missing_dates
-from subledger.operators.normalise import of_types
-from subledger.sources.tables import partition_inventory
+from subledger.operators.normalise import of_types, tag_fact
+from subledger.schemas import FACTS
+from subledger.sources.tables import all_days, partition_inventory, read_fact
 
 TX_KEY = ("subscription_id", "trans_date", "trans_type_id")
 
@@ -45,6 +48,31 @@ def tx_partition_inventory(tx: DataFrame) -> DataFrame:
     return partition_inventory(tx, ["tx_type"])
 
 
+def stored_row_counts(days: DataFrame) -> DataFrame:
+    """``row_counts`` from the counts by day of ``all_days``: no transaction is read."""
+    return days.rollup("tx_type").agg(F.sum("row_count").cast("bigint").alias("row_count"), F.grouping("tx_type").alias("g")).select(
+        F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("tx_type")).alias("tx_type"), F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count")
+    )
+
+
+def stored_inventory(days: DataFrame) -> DataFrame:
+    """``tx_partition_inventory`` from the counts by day."""
+    return partition_inventory(days, ["tx_type"])
+
+
+def stored_date_ranges(spark: SparkSession, root: str) -> DataFrame:
+    """``date_ranges`` of stored facts: the first and last day come from the footers, and only those two are read."""
+    bounds = all_days(spark, root).groupBy("tx_type").agg(
+        F.min("date").cast("string").alias("low"), F.max("date").cast("string").alias("high")).collect()  # six rows at most
+    parts = [
+        date_ranges(tag_fact(FACTS[b.tx_type.lower()], read_fact(spark, root, FACTS[b.tx_type.lower()], days=sorted({b.low, b.high}))))
+        for b in bounds if b.low is not None
+    ]
+    undated = spark.createDataFrame([(b.tx_type,) for b in bounds if b.low is None], "tx_type string")
+    empty = undated.select("tx_type", *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("min_date", "max_date")])
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
 def tx_duplicates(tx: DataFrame) -> DataFrame:
     """Surplus rows per type on the dedupe key; cancellations and refunds have no type code, so theirs is shorter."""
     code = F.when(~F.col("tx_type").isin("CNR", "RFND"), F.col("trans_type_id"))

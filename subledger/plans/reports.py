@@ -164,15 +164,14 @@ def cohort_lt_ltv(subs: DataFrame, dim: DataFrame, service: str | None = None, m
 
 
 def category_extract(subs: DataFrame, codes: DataFrame | Sequence[int]) -> DataFrame:
-    """Subscriptions that ever had one of the codes: a filter for a literal list, a semi-join for a table."""
+    """Subscriptions that ever had one of the codes: a test of each row alone, so the table is read once and not shuffled.
+
+    A table of codes becomes one array, found at run time; it holds rows of the product dimension.
+    """
     if not isinstance(codes, DataFrame):
         return subs.where(list_has_any(F.col("cpc_list"), list(codes)))
-    wanted = codes.select("cpc").distinct()
-    hits = (
-        subs.select("subscription_id", F.explode("cpc_list").alias("cpc"))
-        .join(wanted, "cpc", "left_semi").select("subscription_id").distinct()
-    )
-    return subs.join(hits, "subscription_id", "left_semi")
+    wanted = codes.where("cpc is not null").agg(F.collect_set("cpc")).scalar()
+    return subs.where(F.arrays_overlap("cpc_list", wanted))
 
 
 def category_overview(extract: DataFrame) -> DataFrame:

@@ -25,7 +25,8 @@ class AmbiguousFiles(ValueError):
     """More than one file could be the day's extract."""
 
 
-def _children(spark: SparkSession, pattern: str) -> list[str]:
+def list_children(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern, sorted."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
@@ -34,13 +35,13 @@ def _children(spark: SparkSession, pattern: str) -> list[str]:
 
 def list_files(spark: SparkSession, folder: str, fact: Fact) -> list[str]:
     """All CSV files of a type, sorted by name."""
-    return _children(spark, f"{folder}/{fact.file_prefix}*.csv")
+    return list_children(spark, f"{folder}/{fact.file_prefix}*.csv")
 
 
 def daily_file(spark: SparkSession, folder: str, fact: Fact, day: str) -> str | None:
     """The day's file: one marked ``day``, else one holding ``yyyymmdd``, else the only one there is."""
     for mark in ("*day*", f"*{day.replace('-', '')}*"):
-        found = _children(spark, f"{folder}/{fact.file_prefix}{mark}.csv")
+        found = list_children(spark, f"{folder}/{fact.file_prefix}{mark}.csv")
         if found:
             return found[0]
     found = list_files(spark, folder, fact)
@@ -124,14 +125,14 @@ def rejected_files(spark: SparkSession, fact: Fact, paths: str | Sequence[str])
     )
 
 
-def _plain(uri: str) -> str:
+def plain_path(uri: str) -> str:
     """A file URI as a plain path: Spark reports local files with one slash or three, and percent-encoded."""
     return unquote(re.sub(r"^file:/+", "file:/", uri))
 
 
 def rejections(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> dict[str, int]:
     """Rejected files and their faulty rows on the driver; no more entries than the scan's own file listing."""
-    return {_plain(row.file_path): row.bad_rows for row in rejected_files(spark, fact, paths).collect()}
+    return {plain_path(row.file_path): row.bad_rows for row in rejected_files(spark, fact, paths).collect()}
 
 
 def read_strict(
@@ -144,11 +145,27 @@ def read_strict(
     rejected = rejections(spark, fact, paths) if rejected is None else rejected
     raw = _scan(spark, fact, paths)
     if rejected:
-        good = [f for f in map(_plain, raw.inputFiles()) if f not in rejected]
+        good = [f for f in map(plain_path, raw.inputFiles()) if f not in rejected]
         raw = _scan(spark, fact, good) if good else raw.where(F.lit(False))
     return typed(raw, fact, "_file", "_block", "_row")
 
 
+def read_flagged(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:
+    """Every row, typed, with ``_unfit``: whether it breaks the strict rules. For loads that parse their files once."""
+    return typed(_scan(spark, fact, paths).withColumn("_unfit", _unfit(fact)), fact, "_file", "_block", "_row", "_unfit")
+
+
+def file_counts(flagged: DataFrame) -> list:
+    """(file, rows, faulty rows) of each file with rows; no more entries than the scan's own file listing."""
+    return flagged.groupBy("_file").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_unfit"), 1)).alias("bad")).collect()
+
+
+def accepted(flagged: DataFrame) -> DataFrame:
+    """Rows of the files without a faulty row."""
+    bad = flagged.where("_unfit").select("_file").distinct()
+    return flagged.join(bad, "_file", "left_anti").drop("_unfit")
+
+
 def load_historical(spark: SparkSession, fact: Fact, paths: str | Sequence[str]) -> DataFrame:
     """The full load of a type: strict scan of all files, keep-last dedupe across them."""
     return dedupe_fact(read_strict(spark, fact, paths), fact).select(*fact.stored_columns)

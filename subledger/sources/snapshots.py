@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.functions import whole_number
+from subledger.sources.csv import list_children
 
 
 def name_date(file_name: Column) -> Column:
@@ -15,6 +18,18 @@ def name_date(file_name: Column) -> Column:
     return F.when(digits.rlike(r"^\d{8}$"), dashed.try_cast("date"))
 
 
+def snapshot_files(spark: SparkSession, folder: str) -> list[tuple[str, str | None]]:
+    """CSV files of a folder with the date in their name, sorted by name; no file is opened."""
+    found = []
+    for path in list_children(spark, f"{folder.rstrip('/')}/*.csv"):
+        try:
+            day = datetime.strptime(path.rpartition("/")[2][:8], "%Y%m%d").date().isoformat()
+        except ValueError:
+            day = None
+        found.append((path, day))
+    return found
+
+
 def read_snapshots(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
     """date, service_name, tme_category, cpc, count of every usable snapshot row."""
     return clean_snapshot(_dated(spark, paths, encoding))

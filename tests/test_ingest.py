@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subledger.operators.merge import append_rows
+from subledger.plans import quality
 from subledger.schemas import FACTS
 from subledger.sources import csv, tables
 from tests.conftest import tuples
@@ -96,13 +97,40 @@ def test_append_replaces_and_is_idempotent(spark, tmp_path):
     tables.append_batch(spark, root, CNR, first)
     batch = _cnr(spark, ("2025-01-31", 2, "b", 99), ("2025-01-31", 5, "b", 99), (None, 4, "b", 99))
     want = [(1, "a", 10), (2, "b", 99), (3, "a", 10), (4, "b", 99), (5, "b", 99)]
-    february = tables.current_partitions(spark, f"{root}/cnr")["year_month=2025-02"]
+    files = "_metadata.file_path"
+
+    def others():
+        rows = tables.read_current(spark, f"{root}/cnr").where("day in ('2025-01-01', '2025-02-01')")
+        return tuples(rows.select(files).distinct())
+
+    before = others()
     for _ in range(2):
         tables.append_batch(spark, root, CNR, batch)
         assert tuples(tables.read_fact(spark, root, CNR).select("sbn_id", "tmuserid", "cpc")) == want
-    # The untouched month was not rewritten, and no version is left but the last two.
-    assert tables.current_partitions(spark, f"{root}/cnr")["year_month=2025-02"] == february
-    assert os.listdir(root) == ["cnr"] and len(os.listdir(f"{root}/cnr")) == 4
+    # Untouched days were not rewritten, even of a touched month; nothing is left of the writes.
+    assert others() == before and len(before) == 2
+    assert os.listdir(root) == ["cnr"] and os.listdir(f"{root}/cnr") == ["version-0000000001"]
+
+
+def test_append_parses_its_batch_once_and_reads_touched_days_only(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    tables.append_batch(spark, root, CNR, _cnr(spark, *[(f"2025-01-{d:02d}", d, "a", 1) for d in range(1, 29)]))
+    source = put(tmp_path, "cnr_atlas_1.csv", "2025-01-05,5,b,2,M", "2025-01-06,77,b,2,M")
+    plans, real = [], tables.write_partitioned
+
+    def seen(rows, *args, **named):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return real(rows, *args, **named)
+
+    monkeypatch.setattr(tables, "write_partitioned", seen)
+    scans = spark.sparkContext.accumulator(0)
+    rows = csv.read_lenient(spark, CNR, source)
+    counted = rows.mapInArrow(lambda batches: ((scans.add(b.num_rows), b)[1] for b in batches), rows.schema)
+    assert tables.append_batch(spark, root, CNR, counted).rows_before == 2
+    assert scans.value == 2  # each row of the file was parsed once
+    assert "FileScan csv" not in plans[0] and plans[0].count("FileScan parquet") == 2
+    assert "day#" in plans[0].split("PartitionFilters: [")[1].split("]")[0] or "day#" in plans[0].split("PartitionFilters: [")[2].split("]")[0]
+    assert tables.read_fact(spark, root, CNR).count() == 29
 
 
 def test_append_shuffles_only_touched_days(spark):
@@ -123,12 +151,12 @@ def test_refund_key_ignores_code_and_flag(spark):
 
 def test_partitioned_write_and_pruned_read(spark, tmp_path):
     root = str(tmp_path)
-    tables.write_partitioned(_cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-02-01", 2, "a", 1), ("2025-02-28", 3, "a", 1)), f"{root}/cnr")
+    tables.save_fact(_cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-02-01", 2, "a", 1), ("2025-02-28", 3, "a", 1)), root, CNR)
     assert tables.read_fact(spark, root, CNR, ["2025-02"]).count() == 2
     one_day = tables.read_range(spark, root, CNR, "2025-02-28", "2025-02-28")
     assert [r.sbn_id for r in one_day.collect()] == [3]
     plan = one_day._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(year_month" in plan and "PushedFilters: [IsNotNull(cancel_date)" in plan
+    assert "PartitionFilters: [isnotnull(year_month" in plan and "isnotnull(day" in plan and "PushedFilters: [IsNotNull(cancel_date)" in plan
     assert dict(one_day.dtypes)["year_month"] == "string"
     assert tuples(tables.partition_inventory(tables.read_fact(spark, root, CNR))) == [(2, "2025-01", "2025-02")]
 
@@ -140,7 +168,7 @@ def test_owned_partitions_without_rows_disappear(spark, tmp_path):
     assert tuples(tables.read_current(spark, path).select("sbn_id")) == [(7,)]
 
 
-@pytest.mark.parametrize("step", ["verify_count", "_publish", "_manifest_path", "tidy", "remove"])
+@pytest.mark.parametrize("step", ["verify_count", "_rename", "recover", "tidy", "remove"])
 def test_a_write_cut_off_at_any_step_loses_nothing(spark, tmp_path, monkeypatch, step):
     root = str(tmp_path / "t")
     for day in ("2025-01-01", "2025-01-02", "2025-02-01"):
@@ -169,15 +197,67 @@ def test_a_write_cut_off_at_any_step_loses_nothing(spark, tmp_path, monkeypatch,
 
 def test_an_unfinished_first_write_is_no_table(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/cnr"
-    monkeypatch.setattr(tables, "_publish", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+    monkeypatch.setattr(tables, "_rename", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
     with pytest.raises(KeyboardInterrupt):
         tables.write_partitioned(_cnr(spark, ("2025-01-01", 1, "a", 1)), path)
-    assert tables.current_partitions(spark, path) is None
+    assert tables.read_current(spark, path) is None
     monkeypatch.undo()
     tables.write_partitioned(_cnr(spark, ("2025-01-01", 2, "a", 1)), path)
     assert tuples(tables.read_current(spark, path).select("sbn_id")) == [(2,)]
 
 
+def test_a_published_append_is_read_before_and_after_it_is_brought_in(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    tables.append_batch(spark, root, CNR, _cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-01-02", 2, "a", 1), (None, 3, "a", 1)))
+    real, calls = tables.recover, []
+
+    def cut(spark, path):
+        calls.append(path)
+        if len(calls) == 3:  # after the publishing rename
+            raise KeyboardInterrupt
+        real(spark, path)
+
+    monkeypatch.setattr(tables, "recover", cut)
+    with pytest.raises(KeyboardInterrupt):
+        tables.append_batch(spark, root, CNR, _cnr(spark, ("2025-01-02", 2, "b", 9), (None, 4, "b", 9)))
+    monkeypatch.undo()
+    want = [(1, "a", 1), (2, "b", 9), (3, "a", 1), (4, "b", 9)]
+    columns = ("sbn_id", "tmuserid", "cpc")
+    assert os.path.isdir(f"{root}/cnr/pending")
+    assert tuples(tables.read_fact(spark, root, CNR).select(*columns)) == want
+    assert tuples(tables.stored_days(spark, root, CNR).select(F.col("date").cast("string"), "row_count")) == [
+        ("2025-01-01", 1), ("2025-01-02", 1), (None, 2)]
+    # A session without a metastore finds the table by its folder.
+    spark.sql(f"DROP TABLE {tables.table_name(f'{root}/cnr')}")
+    assert tuples(tables.read_fact(spark, root, CNR).select(*columns)) == want
+    tables.recover(spark, f"{root}/cnr")
+    assert tuples(tables.read_fact(spark, root, CNR).select(*columns)) == want
+    assert os.listdir(f"{root}/cnr") == ["version-0000000001"]
+
+
+def test_a_full_load_moves_the_table_and_keeps_one_version_for_readers(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for k in range(4):
+        readers = tables.read_current(spark, f"{root}/cnr") if k else None
+        tables.save_fact(_cnr(spark, ("2025-01-01", k, "a", 1)), root, CNR)
+        assert tuples(tables.read_fact(spark, root, CNR).select("sbn_id")) == [(k,)]
+        if readers is not None:
+            assert tuples(readers.select("sbn_id")) == [(k - 1,)]
+    assert tables.location(spark, f"{root}/cnr").endswith("version-0000000004")
+    assert [v[-1] for v in tables.versions(spark, f"{root}/cnr")] == ["3", "4"]
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.save_fact(_cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-01-01", 2, "a", 1), ("2025-03-01", 3, "a", 1), (None, 4, "a", 1)), root, CNR)
+    days = tables.all_days(spark, root)
+    counts = quality.stored_row_counts(days)
+    assert "PushedAggregation: [COUNT(*)]" in counts._jdf.queryExecution().executedPlan().toString()
+    assert tuples(counts) == [("CNR", 4), ("TOTAL", 4)]
+    assert tuples(quality.stored_date_ranges(spark, root)) == [("CNR", datetime(2025, 1, 1), datetime(2025, 3, 1))]
+    assert tuples(quality.stored_inventory(days)) == [("CNR", 2, "2025-01", "2025-03")]
+
+
 def test_row_count_is_verified(spark):
     with pytest.raises(tables.RowCountMismatch):
         tables.verify_count(spark.range(3), 4)

@@ -68,7 +68,7 @@ def test_pipeline(spark, folders, tmp_path):
     assert tuples(jobs.dates_to_process(spark, root)) == [(date(2025, 1, 5),)]
     # A forced month that has no rows left disappears with its folder.
     assert jobs.build_counters(spark, root, "2024-12-30", force=True, phones=phones) == 1
-    assert not os.path.exists(f"{jobs.counters_path(root)}/year_month=2024-12")
+    assert not os.path.exists(f"{tables.location(spark, jobs.counters_path(root)).removeprefix('file:')}/year_month=2024-12")
 
 
 def test_backfill(spark, folders, tmp_path):
@@ -87,7 +87,8 @@ def test_backfill(spark, folders, tmp_path):
 def test_user_base_files(spark, tmp_path):
     source = str(tmp_path / "base")
     put(source, "20250102_base.csv", "service_name,tme_category,cpc,count", "Chess,Education,2,3", "Chess,images,1,4.0", "Nubico,News,9,9")
-    out = jobs.build_user_base(spark, source, str(tmp_path / "out"))
+    root = str(tmp_path / "out")
+    out = jobs.build_user_base(spark, source, root)
     back = spark.read.option("header", True).option("sep", "|").csv(out["service"])
     assert back.columns == ["date", "service_name", "tme_category", "User_Base"]
     assert tuples(back) == [("2025-01-02", "Chess", "Edu_Ima", "7")]
@@ -97,6 +98,55 @@ def test_user_base_files(spark, tmp_path):
     assert tuples(spark.read.option("header", True).option("sep", "|").csv(out["cpc"])) == [("2025-01-02", "1", "4"), ("2025-01-02", "2", "3")]
 
 
+def test_only_new_snapshots_are_read(spark, tmp_path):
+    source, root = str(tmp_path / "base"), str(tmp_path / "out")
+    header = "service_name,tme_category,cpc,count"
+    put(source, "20250102_base.csv", header, "Chess,Education,2,3")
+    put(source, "undated.csv", header, "Chess,Education,2,8")
+    assert [f.rpartition("/")[2] for f in jobs.update_user_base(spark, source, root)] == ["20250102_base.csv", "undated.csv"]
+    put(source, "20250103_base.csv", header, "Chess,Education,2,5", "Chess,Education,x,5")
+    put(source, "20250102_base.csv", header, "Chess,Education,2,1000")  # known by its date: not read again
+    assert [f.rpartition("/")[2] for f in jobs.update_user_base(spark, source, root)] == ["20250103_base.csv"]
+    assert jobs.update_user_base(spark, source, root) == []
+    want = [(None, 2, 8), (date(2025, 1, 2), 2, 3), (date(2025, 1, 3), 2, 5)]
+    assert tuples(jobs.load_user_base(spark, root, "cpc")) == want
+    assert len(jobs.update_user_base(spark, source, root, force=True)) == 3
+    assert tuples(jobs.load_user_base(spark, root, "cpc"))[1] == (date(2025, 1, 2), 2, 1000)
+
+
+def test_refreshed_view_equals_a_rebuild(spark, folders, tmp_path):
+    source, root = folders
+    jobs.load_historical(spark, source, root)
+    jobs.build_view(spark, root, "2025-01-04")
+    before = {r.subscription_id: r for r in jobs.load_view(spark, root).collect()}
+    daily = str(tmp_path / "daily")
+    put(daily, "act_atlas_day.csv", ACT_HEADER, act("2025-01-05", 3, 10, "0"), act("2025-01-02", 2, 12), act("x", 5, 12), act("2025-01-06", "NULL", 12))
+    put(daily, "cnr_atlas_day.csv", "cancel_date,sbn_id,tmuserid,cpc,mode", "2025-01-07,2,u1,10,APP", "2025-01-07,99,u1,10,APP")
+    put(daily, "ppd_atlas_day.csv", ",".join(FACTS["ppd"].columns), "u1,m1,10,4,1,2025-01-08,,,c,1,,,1,3.0")
+    days = {day for loaded in jobs.append_daily(spark, daily, root, "2025-01-07").values() for day in loaded.days}
+    assert days == {"2025-01-02", "2025-01-05", "2025-01-06", "2025-01-07", "2025-01-08", None}
+    # Subscriptions 2, 3 and 5 and the rows without an id; 99 was never activated, and a purchase touches none.
+    assert jobs.refresh_view(spark, root, "2025-02-01", sorted(days, key=str)) == 4
+    refreshed = tuples(jobs.load_view(spark, root))
+    assert jobs.build_view(spark, root, "2025-02-01") == len(refreshed)
+    assert refreshed == tuples(jobs.load_view(spark, root))
+    assert before.keys() == {1, 2} and {r[0] for r in refreshed} == {1, 2, 3, 5, None}
+
+
+def test_a_user_lookup_skips_row_groups_without_the_user(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for d in range(1, 9):
+        lines = [act(f"2025-01-{d:02d}", 1000 * d + k, 10, user=f"u{1000 * d + 7 * k}", phone=f"m{k}") for k in range(300)]
+        lines += [act(f"2025-01-{d:02d}", 1000 * d + 900, 10, user="u0"), act(f"2025-01-{d:02d}", 1000 * d + 901, 10, user="u99999")]
+        put(source, f"act_atlas_{d}.csv", ACT_HEADER, *lines)
+    jobs.load_historical(spark, source, root, ["act"])
+    mine = tables.read_fact(spark, jobs.transactions(root), FACTS["act"]).where("tmuserid = 'u3070'")
+    assert [r.subscription_id for r in mine.collect()] == [3010]
+    scan = mine._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    # Every day's file has users below and above, so only filters by value leave its rows unread.
+    assert scan.metrics().apply("numOutputRows").value() == 302
+
+
 def test_landing_stream_appends_new_files_once(spark, tmp_path):
     landing, root, mark = (str(tmp_path / n) for n in ("land", "root", "mark"))
     fact = FACTS["act"]
@@ -173,6 +223,9 @@ def test_scans_read_only_what_is_needed(spark, folders):
     tx = jobs.tx_of(spark, root, ["2025-01"])
     for line in scans(daily_counters(tx)):
         assert "campana_id" not in line and "tmuserid" not in line and "PartitionFilters: [isnotnull(year_month" in line
+    # A day is asked for by partition and by time, so neither other days nor other row groups are read.
+    for line in scans(daily_counters(jobs.tx_of(spark, root, days=["2025-01-02"]))):
+        assert "day#" in line.split("PartitionFilters: [")[1].split("]")[0] and "GreaterThanOrEqual(" in line
     # Asking for one type leaves one table to scan; building a plan runs no job.
     assert len(scans(of_types(tx, "CNR"))) == 1
     spark.sparkContext.setJobGroup("plans", "plans")

@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 from functools import reduce
 
+import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,9 +154,20 @@ def test_plan_combines_before_each_shuffle(make_tx):
     rows = pl.subscription_view(random_tx(make_tx, 10), AS_OF)
     lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
     exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-    # One for the measures, two for the code list; the join of the two needs none.
-    assert len(exchanges) == 3
+    # By subscription and code, then by subscription.
+    assert len(exchanges) == 2
     assert all("partial_" in lines[i + 1] for i in exchanges)
     steps = pl.first_transaction(random_tx(make_tx, 10))
     plan = steps._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 1, Partial" in plan
+
+
+@pytest.mark.parametrize("codes", [1, 10, 500])
+def test_view_scans_each_fact_once_whatever_the_codes(spark, make_tx, tmp_path, codes):
+    rows = make_tx(*[{"tx_type": "ACT" if k == 0 else "RENO", "subscription_id": s, "cpc": k % codes, "trans_type_id": 1, "rev": 1.0,
+                      "trans_date": f"2025-01-{1 + k % 28:02d}", "act_date": "2025-01-01"} for s in range(3) for k in range(600)])
+    rows.write.parquet(f"{tmp_path}/tx")
+    view = pl.subscription_view(spark.read.parquet(f"{tmp_path}/tx"), "2025-02-01")
+    assert view._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = view.select("subscription_id", "cpc_count", "renewal_count", "renewal_revenue", F.size("cpc_list")).collect()
+    assert sorted(map(tuple, got)) == [(s, codes, 599, 599.0, codes) for s in range(3)]

@@ -145,3 +145,23 @@ def test_snapshot_files(spark, tmp_path):
     (latin / "20250102_base.csv").write_text("service_name,tme_category,cpc,count\nMúsica,Games,1,3\n", encoding="latin-1")
     assert read_snapshots(spark, str(latin), "ISO-8859-1").first().service_name == "Música"
     assert spark.range(1).select(name_date(F.lit("20251345_x"))).first()[0] is None
+
+
+def test_category_extract_is_a_test_of_each_row(spark, subs):
+    codes = spark.createDataFrame([(11,), (20,), (None,)], "cpc bigint")
+    got = pr.category_extract(subs, codes)
+    assert sorted(r.subscription_id for r in got.collect()) == [1, 2]
+    assert pr.category_extract(subs, codes.where("cpc > 99")).count() == 0
+    stored = spark.createDataFrame([(1, [10])], "subscription_id bigint, cpc_list array<bigint>")
+    main = pr.category_extract(stored, codes)._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0]
+    assert "Join" not in main and "Exchange" not in main.split("Subquery")[0]
+
+
+def test_user_summary_copies_no_rows_for_its_distinct_counts(spark, subs):
+    for key in ("tmuserid", "msisdn", "subscription_id"):
+        plan = pk.user_summary(subs, key)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan
+    got = {r.tmuserid: r for r in pk.user_summary(subs).collect()}
+    assert got["u1"].unique_msisdns == 2 and got["u1"].unique_cpcs == 2 and got["u1"].unique_users == 1
+    one = pk.user_summary(subs, "tmuserid", "nobody").first()
+    assert one.total_subscriptions == one.unique_users == one.active_subs == 0 and one.total_revenue is None

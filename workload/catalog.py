@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger import fixed_values as fixed
-from subledger.functions import grouped_category, list_text, month_of, round_half_up, with_country_code
+from subledger.functions import grouped_category, list_text, month_of, parse_day, round_half_up, with_country_code
 from subledger.operators.dedupe import dedupe_fact, duplicate_counts
 from subledger.operators.gaps import backfill_rows, date_range, distinct_dates, gap_ranges, missing_dates
-from subledger.operators.merge import append_rows, merge_counters
+from subledger.operators.merge import merge_counters
 from subledger.operators.normalise import normalise, of_types
 from subledger.operators.users import exclude_users, map_phones, mapping_coverage, semi_keys
 from subledger.plans import counters as pc
+from subledger.plans import jobs
 from subledger.plans import lifecycle as pl
 from subledger.plans import lookup as pk
 from subledger.plans import quality as pq
@@ -31,7 +32,7 @@ from subledger.sources import csv as sc
 from subledger.sources import extract as se
 from subledger.sources import snapshots as sn
 from subledger.sources import tables as st
-from subledger.sources.dims import build_dim, distinct_dim, expand_code_sets, load_excluded
+from subledger.sources.dims import build_dim, distinct_dim, expand_code_sets, load_codes, load_dim, load_excluded
 from workload import fixtures as fx
 from workload.fixtures import AS_OF, LONG_AS_OF, Data
 from workload.sql import COUNTERS, n, r, sql
@@ -298,20 +299,21 @@ add("date_range_days", lambda d: date_range(d.tx_long(), "trans_date", ["tx_type
     sql("txl", "SELECT tx_type, CAST(MIN(trans_date) AS DATE) AS min_date, CAST(MAX(trans_date) AS DATE) AS max_date FROM txl GROUP BY 1"))
 
 
-def _renewals_only(d: Data) -> DataFrame:
-    """A store that holds only the activations of days without a renewal, so the renewal days are its gaps."""
-    act, reno = of_types(d.tx_long(), "ACT"), of_types(d.tx_long(), "RENO")
-    taken = distinct_dates(reno, "trans_date")
-    return distinct_dates(act, "trans_date").join(taken, "date", "left_anti")
+# Renewals without the days that begin with 1 in their month, and without the last months.
+HELD_TO = "2001-03-31"
+_HELD = f"day(trans_date) NOT BETWEEN 10 AND 19 AND trans_date < DATE '{HELD_TO}'"
+
+
+def _held_days(d: Data) -> DataFrame:
+    return distinct_dates(of_types(d.tx_long(), "RENO").where(_HELD.replace("trans_date <", "CAST(trans_date AS DATE) <")), "trans_date")
 
 
 add("backfill_rows",
-    lambda d: backfill_rows(_renewals_only(d), of_types(d.tx_long(), "RENO"), "trans_date").select(
+    lambda d: backfill_rows(_held_days(d), of_types(d.tx_long(), "RENO"), "trans_date").select(
         "subscription_id", "trans_date", "cpc", "rev", "tie"),
     sql("txl", "SELECT subscription_id, trans_date, cpc, rev, tie FROM txl WHERE tx_type = 'RENO' AND CAST(trans_date AS DATE) >= (SELECT MIN(date) FROM held) "
         "AND CAST(trans_date AS DATE) NOT IN (SELECT date FROM held)",
-        "held AS (SELECT DISTINCT CAST(trans_date AS DATE) AS date FROM txl WHERE tx_type = 'ACT' AND CAST(trans_date AS DATE) NOT IN "
-        "(SELECT CAST(trans_date AS DATE) FROM txl WHERE tx_type = 'RENO'))"))
+        f"held AS (SELECT DISTINCT CAST(trans_date AS DATE) AS date FROM txl WHERE tx_type = 'RENO' AND {_HELD.replace('trans_date <', 'CAST(trans_date AS DATE) <')})"))
 
 # ---- quality of the transactions --------------------------------------------------------------------
 
@@ -319,6 +321,10 @@ add("row_counts", lambda d: pq.row_counts(d.tx_long()),
     sql("txl", "SELECT tx_type, COUNT(*) AS row_count FROM txl GROUP BY 1 UNION ALL SELECT 'TOTAL', COUNT(*) FROM txl"))
 add("partition_inventory", lambda d: pq.tx_partition_inventory(d.tx_long()),
     sql("txl", "SELECT tx_type, COUNT(DISTINCT year_month) AS partitions, MIN(year_month) AS first_month, MAX(year_month) AS last_month FROM txl GROUP BY 1"))
+add("row_counts_stored", lambda d: pq.stored_row_counts(st.all_days(d.spark, d.store_root())), ORACLES["row_counts"])
+add("partition_inventory_stored", lambda d: pq.stored_inventory(st.all_days(d.spark, d.store_root())), ORACLES["partition_inventory"])
+add("date_ranges_stored", lambda d: pq.stored_date_ranges(d.spark, d.store_root()),
+    sql("txl", "SELECT tx_type, MIN(trans_date) AS min_date, MAX(trans_date) AS max_date FROM txl GROUP BY 1"))
 _KEY = "subscription_id, trans_date, CASE WHEN tx_type NOT IN ('CNR', 'RFND') THEN trans_type_id END"
 _KEYS_SQL = f"keys AS (SELECT tx_type, COUNT(*) AS n FROM txl GROUP BY tx_type, {_KEY})"
 _DUP = "{} AS row_count, COUNT(*) AS key_count, {} - COUNT(*) AS duplicates".format(n("SUM(n)"), n("SUM(n)"))
@@ -364,25 +370,43 @@ add("reconcile_user_base",
         ON s.service_name = c.service_name AND s.date = c.date"""))
 
 
-def _dated_files(d: Data) -> DataFrame:
-    """Snapshots written under dated names and read back with the date taken from the name."""
-    path = d.written("snapshots", lambda p: _write_snapshots(d, p))
-    return sn.clean_snapshot(
-        d.spark.read.option("header", True).schema("service_name string, tme_category string, cpc string, count string")
-        .csv(path).withColumn("folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-        .withColumn("date", sn.name_date(F.regexp_extract("folder", "([0-9]{8}.*)", 1))))
-
-
-def _write_snapshots(d: Data, path: str) -> None:
-    month = F.date_format(F.trunc("date", "month"), "yyyyMMdd")
-    rows = d.snapshots().select(F.concat(month, F.lit("_base")).alias("name"), "service_name", "tme_category", "cpc", "count")
-    rows.hint("rebalance", "name").write.partitionBy("name").option("header", True).csv(path)
+def _snapshot_folder(d: Data) -> str:
+    """Snapshots as files under dated names, one date per month."""
+    rows = d.snapshots().select("date", "service_name", "tme_category", "cpc", "count")
+    name = F.concat(F.date_format(F.trunc("date", "month"), "yyyyMMdd"), F.lit("_base"))
+    return d.named_files("snapshots", rows.withColumn("month", name).drop("date"), F.col("month"))
 
 
 add("snapshot_date_from_name",
-    lambda d: _dated_files(d).groupBy("date").agg(F.count(F.lit(1)).alias("snapshot_rows"), F.sum("count").alias("users")),
+    lambda d: sn.read_snapshots(d.spark, _snapshot_folder(d)).groupBy("date").agg(F.count(F.lit(1)).alias("snapshot_rows"), F.sum("count").alias("users")),
     sql("snap", f'SELECT CAST(date_trunc(\'month\', date) AS DATE) AS date, COUNT(*) AS snapshot_rows, {n("SUM(trunc(CAST(count AS DOUBLE)))")} AS users FROM snap GROUP BY 1'))
 
+
+
+def _rolled_up(d: Data) -> DataFrame:
+    """The rollups after an update with half of the files and one with all; the second reads the other half only."""
+    folder, root = _snapshot_folder(d), scratch_path(d.spark, "user_base")
+    files = sn.snapshot_files(d.spark, folder)
+    early = sorted({day for _, day in files})[: len({day for _, day in files}) // 2]
+    some = d.written("early_snapshots", lambda path: d.copy_files([f for f, day in files if day in early], path))
+    first = jobs.update_user_base(d.spark, some, root, fx.DIM_EXCLUDED, fx.CATEGORY_GROUPS)
+    second = jobs.update_user_base(d.spark, folder, root, fx.DIM_EXCLUDED, fx.CATEGORY_GROUPS)
+    assert len(first) + len(second) == len(files) and not jobs.update_user_base(d.spark, folder, root)
+    return jobs.load_user_base(d.spark, root, "service")
+
+
+_BY_MONTH = sql("base", "SELECT CAST(date_trunc('month', date) AS DATE) AS date, service_name, tme_category, " + n("SUM(cnt)") + ' AS "User_Base" FROM base GROUP BY 1, 2, 3')
+add("user_base_incremental", _rolled_up, _BY_MONTH)
+
+
+def _piped(d: Data) -> DataFrame:
+    """A rollup written as sorted pipe-separated CSV and read back."""
+    path = d.written("piped", lambda p: st.write_csv(_base("service")(d), p, separator="|", sort_by=pu.LEVELS["service"]))
+    return sn.read_rollup(d.spark, path)
+
+
+add("pipe_csv_round_trip", _piped, sql("base", f'SELECT date, service_name, tme_category, {n("SUM(cnt)")} AS "User_Base" FROM base GROUP BY 1, 2, 3'))
+
 # ---- refunds, revenue, cohorts, categories ----------------------------------------------------------
 
 _REFUNDS = f"""SELECT year_month, t.cpc, d.service_name, d.tme_category, {r('COALESCE(SUM(rfnd_amount), 0)')} AS "cpcTotalRfdsAmount",
@@ -497,7 +521,19 @@ add("normalise_msisdn", lambda d: d.table("customer").select("c_custkey", with_c
 
 # ---- dimension -------------------------------------------------------------------------------------
 
-add("dim_cpc_load", lambda d: d.dim(), sql("dim", "SELECT * FROM dim"))
+def _dim_file(d: Data) -> DataFrame:
+    """The dimension as CSV with empty cells, read back."""
+    return load_dim(d.spark, d.written("dim", lambda p: d.raw_dim().write.option("header", True).option("escape", '"').csv(p)))
+
+
+def _code_list(d: Data) -> DataFrame:
+    """Codes one per line, with blank lines, spaces, repeats and text."""
+    line = "CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN 'x' ELSE ' ' || CAST(p_partkey % 500 AS STRING) END AS value"
+    return load_codes(d.spark, d.written("codes", lambda p: d.table("part").selectExpr(line).write.text(p)))
+
+
+add("dim_cpc_load", _dim_file, sql("dim", "SELECT * FROM dim"))
+add("code_list_load", _code_list, "SELECT DISTINCT p_partkey % 500 AS cpc FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0")
 _SHEET = {
     "`TME Category`": "p_type", "`Service Name`": "p_brand",
     "CPC": "CASE WHEN p_partkey % 19 = 0 THEN 'n/a' ELSE CAST(p_partkey - p_partkey % 2 AS STRING) END",
@@ -557,11 +593,12 @@ add("extract_range", lambda d: se.extract_fact(d.source_fact(), d.channels(), "a
 add("extract_channel_join",
     lambda d: se.extract_fact(d.source_fact(), d.channels(), "reno", FROM, TO).groupBy("channel_act").agg(F.count(F.lit(1)).alias("renewals")),
     sql("srcf chn", "SELECT channel_desc AS channel_act, COUNT(*) AS renewals FROM srcf LEFT JOIN chn USING (channel_id) WHERE trans_type_id = 2 GROUP BY 1"))
-add("extract_cnr", lambda d: se.extract_cancellations(d.source_cancellations(), FROM, TO).withColumn("sbn_id", F.col("sbn_id").cast("bigint")),
-    sql("srcc", "SELECT timestamp AS cancel_date, CAST(sbn_id AS BIGINT) AS sbn_id, msisdn AS tmuserid, cpc, mode FROM srcc"))
-add("extract_refunds", lambda d: money(se.extract_refunds(d.source_refunds(), FROM, TO), "rfnd_amount"),
+_DURING = "timestamp >= TIMESTAMP '2024-01-05' AND timestamp < TIMESTAMP '2024-01-21'"
+add("extract_cnr", lambda d: se.extract_cancellations(d.source_cancellations(), "2024-01-05", "2024-01-20").withColumn("sbn_id", F.col("sbn_id").cast("bigint")),
+    sql("srcc", "SELECT timestamp AS cancel_date, CAST(sbn_id AS BIGINT) AS sbn_id, msisdn AS tmuserid, cpc, mode FROM srcc WHERE " + _DURING))
+add("extract_refunds", lambda d: money(se.extract_refunds(d.source_refunds(), "2024-01-05", "2024-01-20"), "rfnd_amount"),
     sql("srcr", f"SELECT msisdn AS tmuserid, cpc, CAST(timestamp AS DATE) AS refnd_date, {r('SUM(amount)')} AS rfnd_amount, COUNT(*) AS rfnd_cnt, "
-        f"{_part('sbnId', ',', 'info')} AS sbnid, CASE WHEN info ILIKE '%automatic refund%' THEN 't' ELSE 'f' END AS instant_rfnd FROM srcr GROUP BY 1, 2, 3, 6, 7"))
+        f"{_part('sbnId', ',', 'info')} AS sbnid, CASE WHEN info ILIKE '%automatic refund%' THEN 't' ELSE 'f' END AS instant_rfnd FROM srcr WHERE {_DURING} GROUP BY 1, 2, 3, 6, 7"))
 
 # ---- ingest and storage ------------------------------------------------------------------------------
 
@@ -604,33 +641,91 @@ add("dedupe_metrics", lambda d: duplicate_counts(d.raw_fact("dct", d.tx_long()),
 
 def _numbered(d: Data, kind: str) -> DataFrame:
     """Raw rows of a type with their event id as reading position."""
-    tx = d.tx_long().where(F.col("tx_type") == kind.upper())
-    fact = FACTS[kind]
-    raw = d.raw_fact(kind, tx.withColumn("campana_id", F.col("tie").cast("string")))
-    return raw.withColumn("_row", F.col("campana_id").cast("bigint")).withColumn("campana_id", F.lit(None).cast("string")).select(
-        *fact.stored_columns, "_row")
+    return d.raw_fact(kind, d.tx_long(), F.col("tie").cast("bigint").alias("_row"))
 
 
 # The stored part is everything before a day; the incoming batch repeats one day before it with a new price.
 CUT, AGAIN = "2001-06-01", "2001-05-30"
 
 
+def _before(d: Data, kind: str, root: str) -> None:
+    rows, fact = _numbered(d, kind), FACTS[kind]
+    st.save_fact(dedupe_fact(rows.where(F.to_date(fact.event_date) < F.lit(CUT).cast("date")), fact), root, fact)
+
+
 def _append(d: Data) -> DataFrame:
+    """The batch appended to the table of the days before, twice: the second append must change nothing."""
     fact = FACTS["reno"]
-    rows = _numbered(d, "reno")
-    day = F.to_date("trans_date")
-    stored = dedupe_fact(rows.where(day < F.lit(CUT).cast("date")), fact).select(*fact.stored_columns)
+    root = d.written("reno_before", lambda path: _before(d, "reno", path))
+    rows, day = _numbered(d, "reno"), F.to_date("trans_date")
     again = rows.where(day == F.lit(AGAIN).cast("date")).withColumn("rev", F.lit(1.0))
-    fresh = rows.where(day >= F.lit(CUT).cast("date"))
-    once = append_rows(stored, again.unionByName(fresh), fact)
-    # A second append of the same batch must change nothing.
-    return append_rows(once, again.unionByName(fresh), fact).select(
-        "subscription_id", "trans_date", "trans_type_id", "cpc", "rev", "year_month")
+    batch = again.unionByName(rows.where(day >= F.lit(CUT).cast("date")))
+    for _ in range(2):
+        st.append_batch(d.spark, root, fact, batch)
+    return st.read_fact(d.spark, root, fact).select("subscription_id", "trans_date", "trans_type_id", "cpc", "rev", "year_month")
 
 
 add("append_dedupe", _append,
     sql("txl", f"SELECT subscription_id, trans_date, trans_type_id, cpc, CASE WHEN CAST(trans_date AS DATE) = DATE '{AGAIN}' THEN 1.0 ELSE rev END AS rev, year_month FROM "
         "(SELECT *, ROW_NUMBER() OVER (PARTITION BY subscription_id, trans_date, trans_type_id ORDER BY tie DESC) AS place FROM txl WHERE tx_type = 'RENO') WHERE place = 1"))
+
+
+def _replaced(d: Data) -> DataFrame:
+    """A table loaded with wrong rows, replaced by a full load, and appended to."""
+    fact, root = FACTS["dct"], scratch_path(d.spark, "replaced")
+    rows, day = _numbered(d, "dct"), F.to_date("trans_date")
+    st.save_fact(rows.where(day >= F.lit(AGAIN).cast("date")).withColumn("cpc", F.lit(-1).cast("bigint")), root, fact)
+    _before(d, "dct", root)
+    st.append_batch(d.spark, root, fact, rows.where(day >= F.lit(CUT).cast("date")))
+    return st.read_fact(d.spark, root, fact).select("subscription_id", "trans_date", "trans_type_id", "cpc", "channel_dct", "year_month")
+
+
+add("table_replace_append", _replaced, sql("txd", "SELECT subscription_id, trans_date, trans_type_id, cpc, channel AS channel_dct, year_month FROM txd WHERE tx_type = 'DCT'"))
+
+
+def _refreshed(d: Data) -> DataFrame:
+    """The lifecycle table built before the last days, which are then appended and taken in by a refresh."""
+    def build(root: str) -> None:
+        for kind in FACTS:
+            _before(d, kind, jobs.transactions(root))
+        jobs.build_view(d.spark, root, CUT)
+
+    root, days = d.written("view_before", build), set()
+    for kind, fact in FACTS.items():
+        rows = _numbered(d, kind).where(F.to_date(fact.event_date) >= F.lit(CUT).cast("date"))
+        days |= set(st.append_batch(d.spark, jobs.transactions(root), fact, rows).days)
+    jobs.refresh_view(d.spark, root, LONG_AS_OF, sorted(days))
+    return money(jobs.load_view(d.spark, root), *REVENUE)
+
+
+add("subscription_view_incremental", _refreshed, sql("subsd", _life_sql("subsd")))
+
+
+def _one_type_stored(d: Data) -> DataFrame:
+    """Types without a table read as empty ones beside the one that is stored."""
+    root = d.written("one_type", lambda path: st.save_fact(d.raw_fact("act", d.tx()), path, FACTS["act"]))
+    tx = normalise(st.read_facts(d.spark, root))
+    return tx.agg(*[F.count(F.when(F.col("tx_type") == fact.tag, 1)).alias(f"{kind}_rows") for kind, fact in FACTS.items()])
+
+
+add("missing_tables_read_empty", _one_type_stored,
+    sql("tx", "SELECT COUNT(*) FILTER (WHERE tx_type = 'ACT') AS act_rows, " + ", ".join(f"CAST(0 AS BIGINT) AS {k}_rows" for k in FACTS if k != "act") + " FROM tx"))
+
+
+def _files_by_name(d: Data) -> DataFrame:
+    """Extract files of one type among others, found by their names."""
+    rows = fx.view(d.table("events").where("event_type = 'signup'"), fx.CSV_ACT)
+    kind = F.when(F.col("tef_prov") == "3", "reno_atlas").otherwise("act_atlas")
+    folder = d.named_files("named_extract", rows, F.concat_ws("_", kind, F.col("tef_prov")))
+    found = sc.read_lenient(d.spark, _ACT, sc.list_files(d.spark, folder, _ACT))
+    return found.groupBy("tef_prov").agg(F.count(F.lit(1)).alias("lines"), F.count("cpc").alias("coded"))
+
+
+add("scan_files_by_name", _files_by_name,
+    sql("csv", "SELECT tef_prov, COUNT(*) AS lines, COUNT(cpc) AS coded FROM typed WHERE tef_prov <> 3 GROUP BY 1", _CSV_TYPED))
+add("parse_tolerant_day", lambda d: fx.view(d.table("events").where("event_type = 'signup'"), fx.CSV_ACT).select(parse_day(F.col("trans_date")).alias("day"))
+    .groupBy("day").agg(F.count(F.lit(1)).alias("lines")),
+    sql("csv", "SELECT CASE WHEN length(trans_date) = 10 THEN CAST(trans_date AS DATE) END AS day, COUNT(*) AS lines FROM csv GROUP BY 1"))
 _SUMMARY = f"COUNT(*) AS row_count, {r('SUM(rev)')} AS rev, {r('SUM(rfnd_amount)')} AS rfnd_amount"
 
 
@@ -656,6 +751,7 @@ def _round_trip(d: Data) -> DataFrame:
     path = scratch_path(d.spark, "counters")
     counters = pc.daily_counters(d.tx_long())
     st.save_counters(merge_counters(d.no_counters(), counters, counters.select("date")), path)
+    st.save_counters(st.load_counters(d.spark, path, MONTHS), path, MONTHS)
     return st.load_counters(d.spark, path).select(*fixed.COUNTER_COLUMNS)
 
 

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.operators.merge import union_all
 from subledger.plans.lifecycle import subscription_view
 from subledger.schemas import COUNTERS_SCHEMA, FACTS, TX_SCHEMA
 from subledger.session import scratch_path
+from subledger.sources.csv import list_children
 from subledger.sources.dims import complete_dim
-from subledger.sources.tables import fact_path, read_facts, write_partitioned
+from subledger.sources.tables import read_facts, save_fact
 
 AS_OF = "2024-01-31"
 LONG_AS_OF = "2001-11-05"
@@ -240,8 +241,8 @@ class Data:
     def source_refunds(self) -> DataFrame:
         return view(self.table("events").where("event_type = 'error'"), SOURCE_REFUNDS)
 
-    def raw_fact(self, kind: str, tx: DataFrame) -> DataFrame:
-        """One type of a transaction view, back under the type's own column names."""
+    def raw_fact(self, kind: str, tx: DataFrame, *extra: Column) -> DataFrame:
+        """One type of a transaction view, back under the type's own column names, and ``extra`` columns of the view."""
         fact = FACTS[kind]
         names = {fact.event_date: "trans_date", fact.subscription: "subscription_id"}
         if fact.channel:
@@ -252,7 +253,7 @@ class Data:
             source = names.get(field.name, field.name)
             value = F.col(source) if source in tx.columns else F.lit(None)
             picked.append(value.cast(field.dataType).alias(field.name))
-        return rows.select(*picked)
+        return rows.select(*picked, *extra)
 
     def store(self) -> dict[str, DataFrame]:
         """The six types of the long view written as month-partitioned tables, and read back."""
@@ -277,7 +278,31 @@ class Data:
         tx = self.tx_long()
         # Six independent jobs, run side by side.
         with ThreadPoolExecutor(len(FACTS)) as pool:
-            list(pool.map(lambda f: write_partitioned(self.raw_fact(f.name, tx), fact_path(root, f)), FACTS.values()))
+            list(pool.map(lambda f: save_fact(self.raw_fact(f.name, tx), root, f), FACTS.values()))
+
+    def named_files(self, label: str, rows: DataFrame, name: Column, **options: str) -> str:
+        """Rows written as CSV files under names of their own; one or more files share a name's start."""
+        def write(path: str) -> None:
+            parts = rows.withColumn("file_name", name)
+            parts.hint("rebalance", "file_name").write.partitionBy("file_name").options(header=True, escape='"', **options).csv(f"{path}-parts")
+            files = self.spark._jvm.org.apache.hadoop.fs
+            system = files.Path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+            system.mkdirs(files.Path(path))
+            for k, part in enumerate(list_children(self.spark, f"{path}-parts/file_name=*/*.csv")):
+                start = part.rpartition("/")[0].rpartition("file_name=")[2]
+                system.rename(files.Path(part), files.Path(f"{path}/{start}_{k:04d}.csv"))
+
+        return self.written(label, write)
+
+    def copy_files(self, files: list[str], path: str) -> None:
+        """Copies of some files in a folder of their own."""
+        hadoop = self.spark._jvm.org.apache.hadoop
+        conf = self.spark._jsc.hadoopConfiguration()
+        target = hadoop.fs.Path(path)
+        system = target.getFileSystem(conf)
+        system.mkdirs(target)
+        for file in files:
+            hadoop.fs.FileUtil.copy(system, hadoop.fs.Path(file), system, target, False, conf)
 
     def _write_csv(self, path: str) -> None:
         rows = view(self.table("events").where("event_type = 'signup'"), CSV_ACT)

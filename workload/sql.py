@@ -101,6 +101,9 @@ CTES: dict[str, str] = {
     "tx": f"tx AS (SELECT {fx.select_text(fx.TX)} FROM events)",
     "txl": f"txl AS (SELECT {fx.select_text(fx.TX_LONG_ORDERS)} FROM orders UNION ALL "
            f"SELECT {fx.select_text(fx.TX_LONG_LINES)} FROM lineitem)",
+    # One row per dedupe key, the last one read; of a moment, the type code orders the types.
+    "txd": "txd AS (SELECT * EXCLUDE (place) REPLACE (COALESCE(trans_type_id, 0) AS tie) FROM (SELECT *, ROW_NUMBER() OVER "
+           "(PARTITION BY tx_type, subscription_id, trans_date, trans_type_id ORDER BY tie DESC) AS place FROM txl) WHERE place = 1)",
     "rawdim": f"rawdim AS (SELECT {fx.select_text(fx.DIM)} FROM part)",
     "dim": "dim AS (SELECT cpc, COALESCE(service_name, 'UNKNOWN') AS service_name, COALESCE(tme_category, '') AS tme_category, "
            f"{n('COALESCE(cpc_period, 0)')} AS cpc_period, COALESCE(cpc_price, 0.0) AS cpc_price FROM rawdim)",
@@ -130,14 +133,15 @@ CTES: dict[str, str] = {
     **_lifecycle("subs", "tx", fx.AS_OF),
     **_lifecycle("subsc", "tx", fx.AS_OF, "channel = 'UPGRADE'"),
     **_lifecycle("subsl", "txl", fx.LONG_AS_OF),
+    **_lifecycle("subsd", "txd", fx.LONG_AS_OF),
 }
 
 _NEEDS: dict[str, tuple[str, ...]] = {
     "dim": ("rawdim",), "txx": ("tx", "phones", "users"), "counters": ("tx",), "counters_x": ("txx",),
-    "counters_long": ("txl",), "svc": ("counters", "dim"), "base": ("snap",),
+    "counters_long": ("txl",), "txd": ("txl",), "svc": ("counters", "dim"), "base": ("snap",),
     **{p: (tx, *[f"{p}_{part}" for part in
                  ("opening", "act", "upg", "newest", "dct", "cnr", "codes", "reno", "rfnd")])
-       for p, tx in (("subs", "tx"), ("subsc", "tx"), ("subsl", "txl"))},
+       for p, tx in (("subs", "tx"), ("subsc", "tx"), ("subsl", "txl"), ("subsd", "txd"))},
 }
 
 
