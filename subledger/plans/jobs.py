@@ -225,7 +225,7 @@ def update_user_base(
     """Roll up the snapshots whose dates have no rollups yet; returns the files that were read.
 
     The rollups of all levels are kept in a table by date. A file is known by the date in its name, so stored dates cost no
-    read of their files; ``force`` reads all again.
+    read of their files; a date without a usable row is looked at again, and ``force`` reads all.
     """
     path = rollups_path(root)
     tables.recover(spark, path)

@@ -34,48 +34,37 @@ def user_subscriptions(subs: DataFrame, key: str, value) -> DataFrame:
 def user_summary(subs: DataFrame, key: str = "tmuserid", value=None) -> DataFrame:
     """Overall statistics of a key's subscriptions; one row per key where no value is given."""
     def status(name: str) -> Column:
-        return (F.col("subscription_status") == name).cast("bigint")
+        return count_where(F.col("subscription_status") == name)
 
     revenue = F.col("total_revenue")
-    distinct = {"subscription_id": "unique_subscriptions", "tmuserid": "unique_users",
-                "msisdn": "unique_msisdns", "first_cpc": "unique_cpcs"}
-    rows = _of_key(subs, key, value)
-    named = [c for c in distinct if c not in ("subscription_id", key)]
-    # Part of a measure -> (how parts merge, its value over rows).
-    parts = {
-        # A subscription has one row, so its ids need no distinct set.
-        "total_subscriptions": (F.sum, F.lit(1).cast("bigint")), "unique_subscriptions": (F.sum, F.col("subscription_id").isNotNull().cast("bigint")),
-        "total_renewals": (F.sum, F.col("renewal_count")), "total_revenue": (F.sum, revenue), "revenues": (F.sum, revenue.isNotNull().cast("bigint")),
-        "min_revenue": (F.min, revenue), "max_revenue": (F.max, revenue), "total_refunded": (F.sum, F.col("total_refunded")),
-        "total_refunds": (F.sum, F.col("refund_count")), "first_subscription": (F.min, F.col("activation_date")),
-        "last_subscription": (F.max, F.col("activation_date")), "active_subs": (F.sum, status("Active")),
-        "deactivated_subs": (F.sum, status("Deactivated")), "cancelled_subs": (F.sum, status("Cancelled")),
-        "upgraded_subs": (F.sum, F.col("has_upgraded").cast("bigint")), "missing_act_records": (F.sum, F.col("missing_act_record").cast("bigint")),
-        "lifetimes": (F.sum, F.col("lifetime_days").isNotNull().cast("bigint")), "lifetime": (F.sum, F.col("lifetime_days")),
+    distinct = {"tmuserid": "unique_users", "msisdn": "unique_msisdns", "first_cpc": "unique_cpcs"}
+    uniques = {
+        # A subscription has one row, and the grouping key one value per group.
+        "unique_subscriptions": F.count("subscription_id"),
+        # Sets of one user's phones and codes: one pass, without a copy of each row per distinct count.
+        **{name: F.size(F.collect_set(c)).cast("bigint") for c, name in distinct.items()},
     }
-    if value is not None:
-        # One key's rows are few.
-        found = rows.agg(*[merge(v).alias(n) for n, (merge, v) in parts.items()], *[F.count_distinct(c).alias(distinct[c]) for c in (*named, key)])
-    else:
-        # Rows of one user and all its values are combined once; dealt by user, that table gives every distinct count and
-        # the totals without another shuffle, and without a copy of each row per distinct count.
-        combined = rows.groupBy(key, *named).agg(*[merge(v).alias(n) for n, (merge, v) in parts.items()]).repartition(key)
-        found = combined.groupBy(key).agg(*[merge(n).alias(n) for n, (merge, _) in parts.items()])
-        for c in named:
-            pairs = combined.groupBy(key, c).agg(F.lit(1).alias("one")).groupBy(key).agg(F.count(c).alias(distinct[c]))
-            found = found.join(pairs, key)
-        if key != "subscription_id":
-            found = found.withColumn(distinct[key], F.lit(1).cast("bigint"))
-    counts = {n for n in parts if n.endswith("_subs") or n in ("total_subscriptions", "unique_subscriptions", "missing_act_records")}
-    return found.select(
-        *_by(key, value),
-        *[(F.coalesce(n, F.lit(0).cast("bigint")) if n in counts else F.col(n)).alias(n) for n in ("total_subscriptions", *distinct.values(), "total_renewals")],
-        round_half_up(F.col("total_revenue"), 2).alias("total_revenue"),
-        round_half_up(F.try_divide("total_revenue", "revenues"), 2).alias("avg_revenue_per_sub"),
-        *[round_half_up(F.col(n), 2).alias(n) for n in ("min_revenue", "max_revenue", "total_refunded")],
-        "total_refunds", "first_subscription", "last_subscription",
-        *[F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in ("active_subs", "deactivated_subs", "cancelled_subs", "upgraded_subs", "missing_act_records")],
-        round_half_up(F.try_divide("lifetime", "lifetimes"), 0).alias("avg_lifetime_days"),
+    if value is None and key in distinct:
+        uniques[distinct[key]] = F.lit(1).cast("bigint")
+    rows = _of_key(subs, key, value)
+    return rows.groupBy(*_by(key, value)).agg(
+        F.count(F.lit(1)).alias("total_subscriptions"),
+        *[count.alias(name) for name, count in uniques.items()],
+        F.sum("renewal_count").alias("total_renewals"),
+        round_half_up(F.sum(revenue), 2).alias("total_revenue"),
+        round_half_up(F.avg(revenue), 2).alias("avg_revenue_per_sub"),
+        round_half_up(F.min(revenue), 2).alias("min_revenue"),
+        round_half_up(F.max(revenue), 2).alias("max_revenue"),
+        round_half_up(F.sum("total_refunded"), 2).alias("total_refunded"),
+        F.sum("refund_count").alias("total_refunds"),
+        F.min("activation_date").alias("first_subscription"),
+        F.max("activation_date").alias("last_subscription"),
+        status("Active").alias("active_subs"),
+        status("Deactivated").alias("deactivated_subs"),
+        status("Cancelled").alias("cancelled_subs"),
+        count_where(F.col("has_upgraded")).alias("upgraded_subs"),
+        count_where(F.col("missing_act_record")).alias("missing_act_records"),
+        round_half_up(F.avg("lifetime_days"), 0).alias("avg_lifetime_days"),
     )
 
 

@@ -12,7 +12,7 @@ from subledger.operators.dedupe import duplicate_counts
 from subledger.operators.gaps import distinct_dates, gap_ranges, missing_dates
 from subledger.operators.normalise import of_types, tag_fact
 from subledger.schemas import FACTS
-from subledger.sources.tables import all_days, partition_inventory, read_fact
+from subledger.sources.tables import all_days, partition_counts, partition_inventory, read_fact
 
 TX_KEY = ("subscription_id", "trans_date", "trans_type_id")
 
@@ -48,16 +48,20 @@ def tx_partition_inventory(tx: DataFrame) -> DataFrame:
     return partition_inventory(tx, ["tx_type"])
 
 
-def stored_row_counts(days: DataFrame) -> DataFrame:
-    """``row_counts`` from the counts by day of ``all_days``: no transaction is read."""
-    return days.rollup("tx_type").agg(F.sum("row_count").cast("bigint").alias("row_count"), F.grouping("tx_type").alias("g")).select(
+def stored_row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """``row_counts`` of stored facts, from the files' footers: no transaction is read."""
+    return _totals(partition_counts(spark, root))
+
+
+def _totals(counts: DataFrame) -> DataFrame:
+    return counts.rollup("tx_type").agg(F.sum("row_count").cast("bigint").alias("row_count"), F.grouping("tx_type").alias("g")).select(
         F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("tx_type")).alias("tx_type"), F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count")
     )
 
 
-def stored_inventory(days: DataFrame) -> DataFrame:
-    """``tx_partition_inventory`` from the counts by day."""
-    return partition_inventory(days, ["tx_type"])
+def stored_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """``tx_partition_inventory`` of stored facts, from the files' footers."""
+    return partition_inventory(partition_counts(spark, root), ["tx_type"])
 
 
 def stored_date_ranges(spark: SparkSession, root: str) -> DataFrame:

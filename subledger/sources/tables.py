@@ -134,6 +134,11 @@ def opened(spark: SparkSession, path: str) -> str | None:
     return name
 
 
+def _columns(spark: SparkSession, name: str) -> str:
+    """The table's columns as DDL, from the catalog: no file is listed."""
+    return ", ".join(f"`{c.name}` {c.dataType}" for c in spark.catalog.listColumns(name))
+
+
 def location(spark: SparkSession, path: str) -> str | None:
     """The folder the catalog points at."""
     name = opened(spark, path)
@@ -169,10 +174,12 @@ def read_current(spark: SparkSession, path: str, schema: T.StructType | None = N
         for part in fresh.select(*keys).distinct().collect():  # its partitions
             touched = touched | reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(part[k])) for k in keys])
         rows = rows.where(~touched).unionByName(fresh)
-    if schema is None:
-        return rows
+    return rows if schema is None else _shaped(rows, schema)
+
+
+def _shaped(rows: DataFrame, schema: T.StructType, *extra: Column) -> DataFrame:
     have = set(rows.columns)
-    return rows.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return rows.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
 
 
 def recover(spark: SparkSession, path: str, lookups: Sequence[str] = ()) -> None:
@@ -182,7 +189,7 @@ def recover(spark: SparkSession, path: str, lookups: Sequence[str] = ()) -> None
     if exists(spark, folder):
         name, target = opened(spark, path), location(spark, path)
         keys = partition_columns(spark, folder)
-        rows = spark.read.schema(spark.table(name).schema).parquet(folder)
+        rows = spark.read.schema(_columns(spark, name)).parquet(folder)
         _written(rows, keys, lookups).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
         files, mark = _filesystem(spark, f"{target}/{MARK}")
         files.create(mark, True).close()  # tells every session to list the files anew
@@ -219,10 +226,34 @@ def day_of(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd")
 
 
+def _with_day(fact: Fact) -> T.StructType:
+    return T.StructType([*fact.stored_schema.fields, T.StructField("day", T.StringType())])
+
+
 def _by_day(spark: SparkSession, root: str, fact: Fact) -> DataFrame:
-    """A fact table with both its partition columns."""
-    schema = T.StructType([*fact.stored_schema.fields, T.StructField("day", T.StringType())])
-    return read_table(spark, fact_path(root, fact), schema)
+    """A fact table with both its partition columns; one that lies by month only gets the day of the event."""
+    rows = read_current(spark, fact_path(root, fact))
+    if rows is None:
+        return spark.createDataFrame([], _with_day(fact))
+    day = F.col("day") if "day" in rows.columns else day_of(F.col(fact.event_date))
+    return _shaped(rows, fact.stored_schema, day.alias("day"))
+
+
+def _of_days(spark: SparkSession, root: str, fact: Fact, days: Sequence[str | None]) -> DataFrame:
+    """Rows of some days (None: undated ones). Their folders are named, so no other folder is even listed."""
+    path, dated = fact_path(root, fact).rstrip("/"), [d for d in days if d is not None]
+    touched = F.col("year_month").isin(sorted({d[:7] for d in dated})) & F.col("day").isin(dated)
+    if len(dated) < len(days):
+        touched = touched | F.col("day").isNull()
+    name = opened(spark, path)
+    if name is None or exists(spark, f"{path}/{PENDING}") or "day" not in [c.name for c in spark.catalog.listColumns(name)]:
+        return _by_day(spark, root, fact).where(touched)
+    folder = location(spark, path)
+    parts = [f"{folder}/year_month={d[:7]}/day={d}" if d else f"{folder}/year_month={UNNAMED}/day={UNNAMED}" for d in days]
+    there = [part for part in parts if exists(spark, part)]
+    if not there:
+        return spark.createDataFrame([], _with_day(fact))
+    return spark.read.option("basePath", folder).schema(_with_day(fact)).parquet(*there).where(touched)
 
 
 def read_fact(
@@ -232,13 +263,11 @@ def read_fact(
 
     A day filter says nothing about the event time, so the time range of the days is given too: it is pushed to the scan.
     """
-    rows = _by_day(spark, root, fact)
+    rows = _by_day(spark, root, fact) if days is None else _of_days(spark, root, fact, days)
     if months is not None:
         rows = rows.where(F.col("year_month").isin(list(months)))
-    if days is not None:
-        rows = rows.where(F.col("year_month").isin(sorted({d[:7] for d in days})) & F.col("day").isin(list(days)))
-        if days:
-            rows = _within(rows, fact, min(days), max(days))
+    if days:
+        rows = _within(rows, fact, min(days), max(days))
     return rows.select(*fact.stored_columns)
 
 
@@ -282,9 +311,9 @@ def footer_counts(spark: SparkSession, path: str) -> DataFrame | None:
     folder = location(spark, path)
     keys = partition_columns(spark, folder)
     if exists(spark, f"{path.rstrip('/')}/{PENDING}"):
-        rows = read_current(_footer_session(spark), path)
-    else:
-        rows = _footer_session(spark).read.schema(spark.table(name).schema).parquet(folder)
+        counts = read_current(spark, path).groupBy(*keys).agg(F.count("*").alias("row_count"))
+        return _footer_session(spark).createDataFrame(counts.collect(), counts.schema)
+    rows = _footer_session(spark).read.schema(_columns(spark, name)).parquet(folder)
     return rows.groupBy(*keys).agg(F.count("*").alias("row_count"))
 
 
@@ -293,9 +322,19 @@ def stored_days(spark: SparkSession, root: str, fact: Fact) -> DataFrame:
     counts = footer_counts(spark, fact_path(root, fact))
     if counts is None:
         return _footer_session(spark).createDataFrame([], "year_month string, date date, row_count bigint")
+    if "day" not in counts.columns:  # a table by month: its days are counted, and there are no more than the calendar has
+        days = _by_day(spark, root, fact).groupBy("year_month", F.col("day").cast("date").alias("date")).agg(F.count("*").alias("row_count"))
+        return _footer_session(spark).createDataFrame(days.collect(), days.schema)
     return counts.select("year_month", F.col("day").cast("date").alias("date"), "row_count")
 
 
+def partition_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(``tx_type``, ``year_month``, ``row_count``) of all six types by partition, from footers."""
+    found = [(fact, footer_counts(spark, fact_path(root, fact))) for fact in FACTS.values()]
+    parts = [rows.select(F.lit(fact.tag).alias("tx_type"), "year_month", "row_count") for fact, rows in found if rows is not None]
+    return reduce(DataFrame.unionByName, parts, _footer_session(spark).createDataFrame([], "tx_type string, year_month string, row_count bigint"))
+
+
 def all_days(spark: SparkSession, root: str) -> DataFrame:
     """The same for all six types, with ``tx_type``."""
     parts = [stored_days(spark, root, fact).select(F.lit(fact.tag).alias("tx_type"), "*") for fact in FACTS.values()]
@@ -310,11 +349,14 @@ def fact_lookups(fact: Fact) -> list[str]:
     return [c for c in (*LOOKUPS, fact.subscription) if c in fact.columns]
 
 
-def save_fact(rows: DataFrame, root: str, fact: Fact, keep_if_empty: bool = False, lookups: Sequence[str] = ()) -> int:
-    """Replace a fact table; returns its row count."""
+def save_fact(
+    rows: DataFrame, root: str, fact: Fact, keep_if_empty: bool = False, lookups: Sequence[str] = (),
+    partitions: Sequence[str] = FACT_PARTITIONS,
+) -> int:
+    """Replace a fact table; returns its row count. Small histories may lie by month only, to keep their files few."""
     rows = rows.select(*fact.stored_columns).withColumn("day", day_of(F.col(fact.event_date)))
     return write_partitioned(
-        rows, fact_path(root, fact), FACT_PARTITIONS, replace_all=True, keep_if_empty=keep_if_empty, lookups=lookups)
+        rows.select(*fact.columns, *partitions), fact_path(root, fact), partitions, replace_all=True, keep_if_empty=keep_if_empty, lookups=lookups)
 
 
 def write_partitioned(
@@ -428,16 +470,21 @@ def append_batch(spark: SparkSession, root: str, fact: Fact, incoming: DataFrame
         read, nulls = sum(p["_n"] for p in profile), {c: sum(p[c] for p in profile) for c in dates}
         if not read:
             return Loaded(0, 0, 0, nulls)
-        days = [p.day for p in profile if p.day is not None]
-        touched = F.col("year_month").isin(sorted({d[:7] for d in days})) & F.col("day").isin(days)
-        if len(days) < len(profile):
-            touched = touched | F.col("day").isNull()
-        held = _by_day(spark, root, fact).where(touched).select(*fact.stored_columns)
+        days = [p.day for p in profile]
+        held = _of_days(spark, root, fact, days).select(*fact.stored_columns)
         before = held.count()
         contested = with_batch(held, 0).unionByName(with_batch(batch.drop("day"), 1), allowMissingColumns=True)
         settled = dedupe_fact(contested, fact).select(*fact.stored_columns).withColumn("day", day_of(F.col(fact.event_date)))
-        stored = write_partitioned(settled, fact_path(root, fact), FACT_PARTITIONS, lookups=lookups)
-    return Loaded(before, read, stored, nulls, days=tuple(p.day for p in profile))
+        path = fact_path(root, fact)
+        keys = partition_columns(spark, location(spark, path)) if opened(spark, path) else list(FACT_PARTITIONS)
+        carried = 0
+        if "day" not in keys:  # a table by month: its touched months are rewritten, with the rows of their other days
+            rows = _by_day(spark, root, fact)
+            month = F.col("year_month").eqNullSafe(F.lit(None)) | F.col("year_month").isin(sorted({d[:7] for d in days if d}))
+            others = rows.where(month & ~F.coalesce(F.col("day").isin([d for d in days if d]), F.lit(None in days)))
+            carried, settled = others.count(), settled.unionByName(others).drop("day")
+        stored = write_partitioned(settled, path, keys, lookups=lookups) - carried
+    return Loaded(before, read, stored, nulls, days=tuple(days))
 
 
 def load_counters(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:

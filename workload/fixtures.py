@@ -278,7 +278,7 @@ class Data:
         tx = self.tx_long()
         # Six independent jobs, run side by side.
         with ThreadPoolExecutor(len(FACTS)) as pool:
-            list(pool.map(lambda f: save_fact(self.raw_fact(f.name, tx), root, f), FACTS.values()))
+            list(pool.map(lambda f: save_fact(self.raw_fact(f.name, tx), root, f, partitions=("year_month",)), FACTS.values()))
 
     def named_files(self, label: str, rows: DataFrame, name: Column, **options: str) -> str:
         """Rows written as CSV files under names of their own; one or more files share a name's start."""
