@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -52,6 +53,7 @@ MARK = "_SUCCESS"
 # Spark's name for the partition of null.
 UNNAMED = "__HIVE_DEFAULT_PARTITION__"
 _DISCOVERED = "spark.sql.hive.manageFilesourcePartitions"
+_SETTING = threading.Lock()  # loads may run side by side
 
 
 def table_name(path: str) -> str:
@@ -98,13 +100,14 @@ def _register(spark: SparkSession, path: str, location: str) -> None:
     keys = partition_columns(spark, location)
     fields = ", ".join(
         f"`{f.name}` {'string' if f.name in keys else f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields)
-    before = spark.conf.get(_DISCOVERED, None)
-    spark.conf.set(_DISCOVERED, "false")
-    try:
-        spark.sql(f"CREATE TABLE {table_name(path)} ({fields}) USING parquet "
-                  f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{location}'")
-    finally:
-        spark.conf.unset(_DISCOVERED) if before is None else spark.conf.set(_DISCOVERED, before)
+    with _SETTING:
+        before = spark.conf.get(_DISCOVERED, None)
+        spark.conf.set(_DISCOVERED, "false")
+        try:
+            spark.sql(f"CREATE TABLE {table_name(path)} ({fields}) USING parquet "
+                      f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{location}'")
+        finally:
+            spark.conf.unset(_DISCOVERED) if before is None else spark.conf.set(_DISCOVERED, before)
 
 
 def _point(spark: SparkSession, path: str, location: str) -> None:

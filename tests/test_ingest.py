@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -297,3 +298,10 @@ def test_csv_round_trip_quotes_commas_and_flattens_lists(spark, tmp_path):
     tables.write_csv(rows, path, sort_by=["service_name"])
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     assert tuples(back) == [("A 0,99", "1,2"), ('say "x"', "3")]
+
+
+def test_loads_may_run_side_by_side(spark, tmp_path):
+    paths = [f"{tmp_path}/t{k}" for k in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda p: tables.write_partitioned(_cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-02-01", 2, "a", 1)), p), paths))
+    assert [tables.read_current(spark, p).count() for p in paths] == [2] * 6
