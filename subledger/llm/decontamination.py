@@ -198,7 +198,8 @@ def contamination(docs: DataFrame, tests: DataFrame, slop: int = SLOP) -> DataFr
     items with a loose one.
     """
     spark = docs.sparkSession
-    tests = tests.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    # A repeated row changes neither hits nor items, and would only fill a block.
+    tests = stored(tests.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct(), "tests")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // TEST_BYTES))
     block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))

@@ -64,7 +64,8 @@ OTHER_WORDS = frozenset(
     "replies disqus discussion form newsletter subscribe signup login search share sharing social related recommended "
     "breadcrumb breadcrumbs pagination pager tags toolbar legal hidden".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# A tag from its ``<`` to its ``>``. Quotes enclose a value only right after ``=``; nothing is tried twice.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>")
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -104,7 +105,9 @@ def _attributes(raw: str) -> tuple[tuple, bool | None]:
 def read_page(source: str) -> Page:
     """The page as a tree of block elements."""
     nodes, texts = [Node("html", -1, (), 0, False)], []
-    stack, inline, at = [0], [], 0
+    stack, at = [0], 0
+    # How many of each inline and block element are open, and whose end tags do not come any more.
+    inline, open_blocks, endless = Counter(), Counter(), set()
     run: list[str] = []
 
     def flush():
@@ -118,37 +121,55 @@ def read_page(source: str) -> Page:
     def add(raw):
         if raw:
             run.append(raw)
-            if "a" in inline:
+            if inline["a"]:
                 nodes[stack[-1]].links += len(raw)
 
+    def leave(up):
+        """Closes the blocks from a place of the stack on."""
+        open_blocks.subtract(nodes[i].tag for i in stack[up:])
+        del stack[up:]
+
     size = len(source)
     while at < size:
-        match = _TOKEN.search(source, at)
-        if match is None:
-            # The rest is text, except for a tag that is cut off.
-            cut = re.search(r"<[/!?a-zA-Z][^<>]*\Z", source[at:])
-            add(source[at:at + cut.start()] if cut else source[at:])
+        start = source.find("<", at)
+        if start < 0:
+            add(source[at:])
             break
-        add(source[at:match.start()])
-        at = match.end()
-        tag = match[2]
-        if tag is None:
+        kind = source[start + 1:start + 2]
+        if kind in ("!", "?"):
+            add(source[at:start])
+            ends = "-->" if source.startswith("<!--", start) else ">"
+            at = source.find(ends, start + 2)
+            if at < 0:  # cut off
+                break
+            at += len(ends)
             continue
-        tag = tag.lower()
+        if not (kind.isascii() and kind.isalpha() or kind == "/" and source[start + 2:start + 3].isascii() and source[start + 2:start + 3].isalpha()):
+            add(source[at:start + 1])  # no tag
+            at = start + 1
+            continue
+        add(source[at:start])
+        match = _TAG.match(source, start)
+        if match is None:  # a tag that is cut off
+            break
+        at = match.end()
+        tag = match[2].lower()
         if match[1]:
             if tag in INLINE:
-                if tag in inline:
-                    del inline[len(inline) - 1 - inline[::-1].index(tag)]
-            else:
-                for up in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[up]].tag == tag:
-                        flush()
-                        del stack[up:]
-                        inline.clear()
-                        break
+                if inline[tag]:
+                    inline[tag] -= 1
+            elif open_blocks[tag]:
+                up = len(stack) - 1
+                while nodes[stack[up]].tag != tag:
+                    up -= 1
+                flush()
+                leave(up)
+                inline.clear()
             continue
         if tag in OPAQUE and not match[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+            if end is None:
+                endless.add(tag)
             if tag == "head" and end is None:
                 continue
             at = end.end() if end else size
@@ -157,10 +178,8 @@ def read_page(source: str) -> Page:
             nodes[stack[-1]].tags += 1
             if tag in ("br", "img", "input", "wbr"):
                 run.append(" " if tag == "br" else "")
-            elif tag == "a" and "a" in inline:
-                pass
-            else:
-                inline.append(tag)
+            elif tag != "a" or not inline["a"]:
+                inline[tag] += 1
             continue
         flush()
         inline.clear()
@@ -170,11 +189,12 @@ def read_page(source: str) -> Page:
             continue
         # A block ends an open paragraph; list items and cells end their like.
         if nodes[stack[-1]].tag == "p":
-            stack.pop()
-        for up in range(len(stack) - 1, 0, -1):
+            leave(len(stack) - 1)
+        closes = CLOSES.get(tag, ())
+        for up in range(len(stack) - 1, 0, -1) if any(open_blocks[c] for c in closes) else ():
             open_ = nodes[stack[up]].tag
-            if open_ in CLOSES.get(tag, ()):
-                del stack[up:]
+            if open_ in closes:
+                leave(up)
                 break
             if open_ in SCOPES:
                 break
@@ -183,6 +203,7 @@ def read_page(source: str) -> Page:
         nodes.append(Node(tag, parent, tokens, len(stack), nodes[parent].keep if keep is None else keep))
         nodes[parent].children.append(len(nodes) - 1)
         stack.append(len(nodes) - 1)
+        open_blocks[tag] += 1
     flush()
     return Page(nodes, texts)
 
@@ -301,12 +322,23 @@ def flattened(model) -> Trees:
     return Trees(np.array(feature), np.array(value, float), np.array(left), np.array(right), roots, list(model.treeWeights))
 
 
+_ROUND = frozenset("nav header footer aside form".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+
+
 def _pieces(page: Page) -> tuple[list[str], list[str]]:
-    """Texts inside the article elements, and all others."""
+    """Texts inside the article elements, and all others.
+
+    Of a page without any, paragraphs and headings outside the elements around an article serve instead.
+    """
     nodes = page.nodes
-    inside = [False] * len(nodes)
+    inside, round_ = [False] * len(nodes), [False] * len(nodes)
     for i, node in enumerate(nodes):
-        inside[i] = node.tag in ("article", "main") or node.parent >= 0 and inside[node.parent]
+        up = node.parent
+        inside[i] = node.tag in ("article", "main") or up >= 0 and inside[up]
+        round_[i] = node.tag in _ROUND or up >= 0 and round_[up]
+    if not any(inside):
+        inside = [node.tag in _PROSE and not r for node, r in zip(nodes, round_)]
     return [t for i, t in page.texts if inside[i]], [t for i, t in page.texts if not inside[i]]
 
 
@@ -384,7 +416,10 @@ def examples(source: str, seed: int, layouts: int) -> tuple[np.ndarray, np.ndarr
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees | None:
-    """Boosted trees from the pieces of ``sample`` pages; none if no page has an article element."""
+    """Boosted trees from the pieces of ``sample`` different pages: such with an article element, if there are any.
+
+    None if no page has a text that could serve as article.
+    """
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for source, seed in zip(batch.column("html").to_pylist(), batch.column("seed").to_pylist()):
@@ -393,11 +428,14 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Trees | None:
                     yield pa.RecordBatch.from_arrays([pa.array(x.tolist()), pa.array(y)], names=["x", "label"])
 
     seed = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "html"), 1)
-    some = (
-        pages.select("html", seed.alias("seed")).where("html LIKE '%<article%' OR html LIKE '%<main%'")
-        .orderBy("seed", "html").limit(sample)
-    )
-    some = stored(some, "sample")
+    named = F.col("html").ilike("%<article%") | F.col("html").ilike("%<main%")
+    for pool in (pages.where(named), pages.where(F.length("html") > 0)):
+        pool = pool.select("html", seed.alias("seed"))
+        seeds = pool.select("seed").distinct().orderBy("seed").limit(sample)
+        # As many rows as the sample has pages.
+        some = stored(pool.join(F.broadcast(seeds), "seed").dropDuplicates(["seed"]), "sample")
+        if some.take(1):
+            break
     layouts = -(-TRAINING_PAGES // max(some.count(), 1))
     rows = stored(some.mapInArrow(make, "x array<double>, label double"), "examples")
     if not rows.where("label = 1").take(1) or not rows.where("label = 0").take(1):
@@ -413,7 +451,7 @@ def main_texts(pages: DataFrame, trees: Trees | None) -> DataFrame:
             for first in range(0, batch.num_rows, PAGES_AT_ONCE):
                 part = batch.slice(first, PAGES_AT_ONCE)
                 read = [read_page(source or "") for source in part.column("html").to_pylist()]
-                odds = trees.odds(np.concatenate([features(p) for p in read])) if trees else np.ones(sum(len(p.nodes) for p in read))
+                odds = trees.odds(np.concatenate([features(p) for p in read])) if trees else -np.ones(sum(len(p.nodes) for p in read))
                 texts, at = [], 0
                 for page in read:
                     keep = decoded(page, odds[at:at + len(page.nodes)])

@@ -266,8 +266,13 @@ def fitted(rows: DataFrame) -> DataFrame:
     return stored(groups.join(final, "g", "left").select("_lang", "_source", "center", "inverse"), "final", FEW)
 
 
-def judged(rows: DataFrame) -> DataFrame:
-    """Rows of :func:`text_statistics` with ``distance`` (null where no estimate is) and ``kept``."""
+def judged(rows: DataFrame, numeric: bool = False) -> DataFrame:
+    """Rows of :func:`text_statistics` with ``distance`` (null where no estimate is) and ``kept``.
+
+    The rows are stored first, since every step of the estimate reads them; ``numeric`` is that of ``stored``.
+    """
+    rows = stored(rows, "statistics", numeric=numeric)
+    release(rows.sparkSession)
     fit = fitted(rows)
     rows = rows.select(*keeping(rows, "distance", "kept"))
     names = [F.col(f"`{c}`") for c in rows.columns]
@@ -280,13 +285,10 @@ def judged(rows: DataFrame) -> DataFrame:
 def good_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns."""
     packed = docs.select(F.struct(*keeping(docs)).alias("row"), "text", "lang", "source")
-    rows = stored(text_statistics(packed).drop("text"), "statistics")
-    release(docs.sparkSession)
-    return judged(rows).where("kept").select("row.*")
+    return judged(text_statistics(packed).drop("text")).where("kept").select("row.*")
 
 
 def op2_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics and verdict of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    rows = stored(text_statistics(docs).drop("text"), "statistics", numeric=True)
-    return judged(rows).select("doc_id", *STATISTICS, "base_failed", "kept", "distance", "lang", "source")
+    return judged(text_statistics(docs).drop("text"), numeric=True).select("doc_id", *STATISTICS, "base_failed", "kept", "distance", "lang", "source")

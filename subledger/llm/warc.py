@@ -261,6 +261,9 @@ def records(file, packed: bool, decode: bool, wanted) -> Iterator[dict]:
         total = end + 4 + fields["content_length"]
         if wanted(fields):
             # The HTTP header stands at the head of the block; only a decoded payload needs the whole.
+            while len(head) < total and b"HTTP/".startswith(head[end + 4:end + 9]) and head.find(END, end + 4) < 0:
+                grown *= 4
+                head = read(min(grown, total))
             block = (read(total) if decode and len(head) < total else head)[end + 4:total]
             start, fields["http_length"] = _http(block)
             if decode:

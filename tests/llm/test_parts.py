@@ -2,9 +2,11 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -248,3 +250,58 @@ def test_pages_of_other_layouts(spark):
         # No kept node below a dropped one.
         assert all(keep[n.parent] for i, n in enumerate(page.nodes) if keep[i] and n.parent >= 0)
     assert right / (right + wrong) > 0.97 and right / (right + missed) > 0.97
+
+
+def test_reader_on_pages_as_they_come():
+    """Written out by hand: what a browser shows as blocks of these pages."""
+    from subledger.llm.html_text import read_page
+    pages = {
+        "<p title=it's>Hello</p>": ["Hello"],
+        "<p title=it\"s class=x>Hello<p>again": ["Hello", "again"],
+        '<p title="a>b">x</p><!-- <p>no</p> --><?php x ?><!doctype html>y': ["x", "y"],
+        "a < b and 3 <4 <b>bold</b> text": ["a < b and 3 <4 bold text"],
+        "<p>cut off in a ta<b": ["cut off in a ta"],
+        "<script>var a = '<p>no</p>'</script><style>p {}</style>x<textarea>no": ["x"],
+        "<ul><li>one<li>two</ul></div>three": ["one", "two", "three"],
+        "<p a='x'b=\"y\" c>z &amp; &lt;&#233;&eacute;": ["z & <éé"],
+    }
+    for source, texts in pages.items():
+        assert [t for _, t in read_page(source).texts] == texts, source
+
+
+@pytest.mark.parametrize("piece", ["<p ", '<p a="', "<div>", "<head>", "<!--", '<p a=">" ', "<li>", "<h1>", "</", "<b>", "<script", "</p>x"])
+def test_broken_pages_are_read_in_time(piece):
+    from subledger.llm.html_text import read_page
+    start = time.perf_counter()
+    read_page(piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 8
+
+
+def test_pages_without_an_article_element_are_not_kept_whole(spark):
+    words = "These are words of a story that goes on, and on, for quite a while until it ends. "
+    page = ("<body><div class=menu><a href=1>Home</a> <a href=2>News</a></div><nav><a href=3>More</a></nav><div class=text>"
+            + "".join(f"<p>{words * 3}{k}</p>" for k in range(6)) + "</div><footer>Nobody, 2024</footer></body>")
+    from subledger.llm.html_text import fit, main_texts
+    pages = spark.createDataFrame([(k, "u", page.replace("story", f"story{k}")) for k in range(12)] + [(99, "u", None)], "id long, url string, html string")
+    trees = fit(pages)
+    texts = {r.id: r.text for r in main_texts(pages, trees).collect()}
+    assert texts[99] == "" and all("quite a while" in texts[k] and "Nobody" not in texts[k] and "News" not in texts[k] for k in range(12))
+    bare = spark.createDataFrame([(1, "u", "<div><a>x</a></div>"), (2, "u", None)], "id long, url string, html string")
+    assert fit(bare) is None and {r.text for r in main_texts(bare, None).collect()} == {""}
+
+
+def test_payload_lengths_whatever_the_length_of_the_url(spark, tmp_path):
+    rows = [(k, "http://a/" + "x" * n, "same payload") for k, n in enumerate(range(3500, 4200, 7))]
+    pq_table = pa.table({"page_id": pa.array([r[0] for r in rows]), "url": [r[1] for r in rows], "html": [r[2] for r in rows]})
+    pq.write_table(pq_table, f"{tmp_path}/pages.parquet")
+    from subledger.llm.warc import op3_warc_round_trip
+    found = op3_warc_round_trip(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows) and {r.payload_bytes for r in found} == {12}
+
+
+def test_one_benchmark_item_repeated_many_times(spark):
+    from subledger.llm.decontamination import contamination
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "other words")], "id long, text string")
+    tests = spark.createDataFrame([("i", "alpha beta gamma")] * 10_000 + [("j", "other words")], "item_id string, text string")
+    found = {r.id: (r.n_hit, list(r["items"])) for r in contamination(docs, tests).collect()}
+    assert found == {1: (3, ["i"]), 2: (2, ["j"])}
