@@ -62,6 +62,10 @@ def table_name(path: str) -> str:
     return f"subledger_{re.sub('[^a-z0-9]+', '_', path.rpartition('/')[2].lower())}_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     files, folder = _filesystem(spark, path)
     return sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
@@ -105,7 +109,7 @@ def _register(spark: SparkSession, path: str, location: str) -> None:
         spark.conf.set(_DISCOVERED, "false")
         try:
             spark.sql(f"CREATE TABLE {table_name(path)} ({fields}) USING parquet "
-                      f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{location}'")
+                      f"PARTITIONED BY ({', '.join(keys)}) LOCATION {_quoted(location)}")
         finally:
             spark.conf.unset(_DISCOVERED) if before is None else spark.conf.set(_DISCOVERED, before)
 
@@ -116,7 +120,7 @@ def _point(spark: SparkSession, path: str, location: str) -> None:
     if not spark.catalog.tableExists(name):
         opened(spark, path)
     elif partition_names(spark, location) and set(spark.read.parquet(location).columns) == set(spark.table(name).columns):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(location)}")
     else:  # other columns, or no rows
         spark.sql(f"DROP TABLE {name}")  # the files stay: the table is external
         opened(spark, path)

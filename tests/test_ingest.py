@@ -301,7 +301,7 @@ def test_csv_round_trip_quotes_commas_and_flattens_lists(spark, tmp_path):
 
 
 def test_loads_may_run_side_by_side(spark, tmp_path):
-    paths = [f"{tmp_path}/t{k}" for k in range(6)]
+    paths = [f"{tmp_path}/it's t{k}" for k in range(6)]
     with ThreadPoolExecutor(6) as pool:
         list(pool.map(lambda p: tables.write_partitioned(_cnr(spark, ("2025-01-01", 1, "a", 1), ("2025-02-01", 2, "a", 1)), p), paths))
     assert [tables.read_current(spark, p).count() for p in paths] == [2] * 6
