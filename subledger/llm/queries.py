@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from subledger.llm import hard_negatives
 from subledger.llm.decontamination import op10_positional_index
 from subledger.llm.hard_negatives import op12_multi_index_negatives
 from subledger.llm.html_text import op7_boosted_dom_text
@@ -13,6 +12,7 @@ from subledger.llm.periodic_runs import op11_periodic_runs
 from subledger.llm.quality import op2_robust_outliers
 from subledger.llm.sharding import op5_hypergeometric_shards
 from subledger.llm.simhash import op13_simhash_groups
+from subledger.llm.sql import ORACLES
 from subledger.llm.suffix_dedup import op8_suffix_array_dedup
 from subledger.llm.token_counts import op4_heap_bpe_counts
 from subledger.llm.warc import op3_warc_round_trip
@@ -32,7 +32,5 @@ QUERIES = {
     "op12_multi_index_negatives": op12_multi_index_negatives,
     "op13_simhash_groups": op13_simhash_groups,
 }
-# SQL counterparts, where SQL can express the query.
-ORACLES: dict[str, str] = {
-    "op12_multi_index_negatives": hard_negatives.SQL,
-}
+
+__all__ = ["ORACLES", "QUERIES"]
