@@ -1,329 +1,388 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Training. All tokens of the training documents are counted, words by a 64-bit hash, and every text ends in an end
-token. The states of the automaton are all words and all bigrams and trigrams that occur ``LEAST`` times or more, at
-any size of the input: the model grows with it, in stored tables. A state's arcs carry discounted probabilities, and
-what the discount leaves goes to its failure arc, whose weight makes each state's probabilities sum to one; both come
-from sums per context. At the bottom stand all words, with their add-one-tenth probability.
-
-Scoring. A text is traversed from left to right: the state is the longest kept n-gram that ends at the last token;
-the next token follows the state's arc, or the failure arc (adding its weight) to the next shorter state, down to
-the words. The log10 probability of a place is a sum over the n-grams that end there: a word gives its probability
-and the failure arc of the state it makes, a longer n-gram what its arc has over the way by the failure arcs, and
-the failure arc of its own state. So a document's score is a join of its n-grams with one table of values.
-
-Hot states, a bounded number, are traversed inside the tasks instead, with the same weights: this changes no score,
-and leaves no key with a large share of the rows to the join. Texts are read once for each of ``SLICES`` ranges of
-keys, which bounds what is shuffled at a time.
+Training. All tokens of the training rows are counted, words by a 64-bit hash, and every text ends in an end token.
+The states of the automaton are all words and all bigrams that occur ``LEAST`` times or more, and its arcs lead by
+words, and by bigrams and trigrams that occur as often, at any size of the input: the model grows with it. An arc
+carries a discounted probability; what a state's arcs leave goes to its failure arc, whose weight makes the state's
+probabilities sum to one. At the bottom stand all words, with their add-one-tenth probability.
+
+Scoring. Each text is traversed once from left to right, carrying a state: the next token follows the state's arc,
+or the failure arc (adding its weight) to the next shorter state, down to the words.
+
+Where the work lies. Rows are packed into blocks of ``BLOCK`` bytes of text. A block counts its distinct n-grams and
+sends their keys, sorted and packed, to ranges of keys; a range adds the counts of all blocks up and answers with one
+number for each key, in the same order, so that keys do not travel back. The answer names one block as the owner of
+each n-gram: this one sends the n-gram's share in its context's sums, by the same way, and the ranges answer with the
+weights of failure arcs. Then every block holds the part of the automaton that its own texts can reach, and no more.
+A key comes once from each block, whatever its frequency, so no key is hot; a task holds one block or one range.
 
 Null and empty texts are the end token alone. Every row is scored on its own and trains as often as it occurs; a null
-id is ``''`` for the split. An empty table gives no rows; without training tokens every word has the probability of
-an unseen one. N-grams are known by 64-bit hashes, too. Other columns are not looked at.
+id is ``''`` for the split of the query. An empty table gives no rows; without training tokens every word has the
+probability of an unseen one. N-grams are known by 62-bit hashes and their length. A single enormous text is a block
+of its own. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.llm.common import release, stored, table
-from subledger.llm.text import Words, blocks, words
+from subledger.llm.text import Words, blocks, mixed, words
 
-# Occurrences that make a bigram or trigram a state.
+# Occurrences that make a bigram or trigram an arc.
 LEAST = 2
-# Least share of all tokens that makes a word, and a longer n-gram, a hot state.
-KEEP_WORD = 1e-6
-KEEP = 2e-6
 DISCOUNT = 0.7
 ADD = 0.1
-# Keys that a task holds before it passes their counts on.
-HELD = 1 << 21
-# Ranges of keys, a power of two.
-SLICES = 4
-# Turns of the second part in the hash of two words, and of two overlapping bigrams.
-PAIR, TRIPLE = 17, 29
+ORDERS = 3
+# Bytes of text of a block, and of all texts for each range of keys.
+BLOCK = 8 << 20
+RANGE = 4 << 20
+# Tasks of a stage that works on blocks or ranges, beyond the session's own number.
+TASKS = 1 << 13
 # Fixed value: stands for the end of a text.
 END = np.uint64(0xE17D0FE17D0FE17D)
-RARE = -1
-
-
-class Model(NamedTuple):
-    """Words and arcs of the automaton's hot states; the probabilities are log10."""
-
-    hashes: np.ndarray  # of words that are states, sorted
-    word: np.ndarray    # their probability
-    fail: list          # per order: weight of each state's failure arc
-    arcs: list          # per order above one: sorted keys (state before * size + word)
-    weight: list        # and the arcs' probability
-    size: int           # number of word states
-
+NONE = -1
+# Weight of an arc that does not exist; log10 probabilities are not above zero.
+NO_ARC = 1.0
+# What a failure arc shares out at least.
+LITTLE = 1e-9
+
+PACKED = "block long, size long, body binary"
+PARTS = "range long, block long, n long, keys binary, first binary, second binary"
+
+
+class Grams(NamedTuple):
+    """The n-grams of a block."""
+
+    row: np.ndarray   # text of each token
+    keys: np.ndarray  # of all distinct n-grams, sorted; their order is in the two lowest bits
+    at: list          # per order: place in ``keys`` of the n-gram that ends at each token, or NONE
+
+
+class Automaton(NamedTuple):
+    """Per n-gram of a block: count, weight of the arc it is, weight of the failure arc of the state it makes."""
+
+    count: np.ndarray
+    weight: np.ndarray
+    fail: np.ndarray
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of texts with their rows, each text ending in the end token."""
+    hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for block in blocks(texts):
+        found: Words = words(block, lower=True)
+        size = block.last - block.first
+        row = np.concatenate([found.row, np.arange(size)])
+        order = np.argsort(row, kind="stable")
+        hashes.append(np.concatenate([found.hash, np.full(size, END)])[order])
+        rows.append(row[order] + block.first)
+    return np.concatenate(hashes), np.concatenate(rows)
+
+
+def order_of(keys: np.ndarray) -> np.ndarray:
+    return (keys & np.uint64(3)).astype(np.int64)
+
+
+def grams(hashes: np.ndarray, row: np.ndarray) -> Grams:
+    """All n-grams up to ``ORDERS`` words; none crosses from one text into the next."""
+    found, ends = [], []
+    for order in range(1, ORDERS + 1):
+        count = max(len(hashes) - order + 1, 0)
+        total = np.zeros(count, np.uint64)
+        for k in range(order):
+            total = mixed(total + hashes[k:k + count])
+        end = np.flatnonzero(row[:count] == row[order - 1:]) + order - 1
+        found.append((total[end - order + 1] & ~np.uint64(3)) | np.uint64(order))
+        ends.append(end)
+    keys, which = np.unique(np.concatenate(found), return_inverse=True)
+    at, first = [], 0
+    for end in ends:
+        place = np.full(len(hashes), NONE)
+        place[end] = which[first:first + len(end)]
+        at.append(place)
+        first += len(end)
+    return Grams(row, keys, at)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Eight-byte values, byte by byte and compressed: sorted keys as differences, small numbers to next to nothing."""
+    if values.dtype == np.uint64:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(body: bytes, n: int, kind: type) -> np.ndarray:
+    """The ``n`` values of :func:`pack`."""
+    planes = np.frombuffer(pa.decompress(body, decompressed_size=8 * n, codec="zstd"), np.uint8).reshape(8, n)
+    values = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+    return np.cumsum(values, dtype=np.uint64) if kind is np.uint64 else values
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """Blocks of whole rows (``id``, ``text``, ``trains``), one row each, stored: no row changes its block later."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, number = [], 0, TaskContext.get().partitionId() << 32
 
-def tokens(block) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of a block of texts with their rows, each text ending in the end token."""
-    found: Words = words(block, lower=True)
-    rows = block.last - block.first
-    row = np.concatenate([found.row, np.arange(rows)])
-    order = np.argsort(row, kind="stable")
-    return np.concatenate([found.hash, np.full(rows, END)])[order], row[order]
+        def packed():
+            sink = pa.BufferOutputStream()
+            rows = pa.Table.from_batches(held)
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([size]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "size", "body"])
 
+        for batch in batches:
+            batch = pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "text", "trains")], names=["id", "text", "trains"])
+            before = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64) + 8)
+            first = 0
+            while first < batch.num_rows:
+                taken = before[first - 1] if first else 0
+                last = max(int(np.searchsorted(before, taken + BLOCK - size, "right")), first if held else first + 1)
+                if last > first:
+                    held.append(batch.slice(first, last - first))
+                    size += int(before[last - 1] - taken)
+                if last < batch.num_rows:
+                    yield packed()
+                    held, size, number = [], 0, number + 1
+                first = last
+        if held:
+            yield packed()
 
-def _place(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(sorted_values):
-        return np.full(len(wanted), RARE)
-    at = np.minimum(np.searchsorted(sorted_values, wanted), len(sorted_values) - 1)
-    return np.where(sorted_values[at] == wanted, at, RARE)
+    return stored(docs.select("id", "text", "trains").mapInArrow(run, PACKED), "blocks", numeric=True)
 
 
-def states(hashes: np.ndarray, row: np.ndarray, words_: np.ndarray, arcs: list) -> list[np.ndarray]:
-    """For each order, the state that ends at each place, or RARE."""
-    out = [_place(words_, hashes)]
-    same = np.zeros(len(row), bool)
-    same[1:] = row[1:] == row[:-1]
-    for keys in arcs:
-        before = np.full(len(row), RARE)
-        before[1:] = out[-1][:-1]
-        known = same & (before >= 0) & (out[0] >= 0)
-        found = np.full(len(row), RARE)
-        found[known] = _place(keys, before[known] * len(words_) + out[0][known])
-        out.append(found)
-    return out
+def _rows(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(body).read_all().combine_chunks()
 
 
-def both(first: np.ndarray, second: np.ndarray, turn: int) -> np.ndarray:
-    """Hash of two hashes in their order."""
-    return first ^ ((second << np.uint64(turn)) | (second >> np.uint64(64 - turn)))
+def _block_grams(rows: pa.Table) -> Grams:
+    return grams(*tokens(rows.column("text")))
 
 
-def both_of(first: str, second: str, turn: int) -> Column:
-    """The same of two columns."""
-    return F.col(first).bitwiseXOR(F.shiftleft(second, turn).bitwiseOR(F.shiftrightunsigned(second, 64 - turn)))
+def _parts(block: int, keys: np.ndarray, ranges: int, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted keys with their values, cut by ranges of keys."""
+    if not len(keys):
+        return
+    part = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    columns: list[list] = [[] for _ in range(3)]
+    for a, e in zip(first.tolist(), np.append(first[1:], len(keys)).tolist()):
+        for column, c in zip(columns, (keys, *values)):
+            column.append(pack(c[a:e]))
+    bodies = [pa.array(c or [None] * len(first), pa.binary()) for c in columns]
+    yield pa.RecordBatch.from_arrays([
+        pa.array(part[first].astype(np.int64)), pa.array(np.full(len(first), block)),
+        pa.array(np.diff(np.append(first, len(keys)))), *bodies], names=["range", "block", "n", "keys", "first", "second"])
 
 
-def slice_of(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(32)) % np.uint64(SLICES)
+def _grouped(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[dict]]:
+    """Rows, sorted by a column, one list for each of its values."""
+    held: list[dict] = []
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+            if held and held[0][by] != row[by]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
 
-def pairs(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each bigram."""
-    same = row[1:] == row[:-1]
-    return hashes[:-1][same], hashes[1:][same]
+def _tasks(spark: SparkSession, n: int) -> int:
+    return min(max(n, 1), max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS))
 
 
-def triples(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two bigrams of each trigram."""
-    same = row[2:] == row[:-2]
-    two = both(hashes[:-1], hashes[1:], PAIR)
-    return two[:-1][same], two[1:][same]
+def _answers(requests: DataFrame, ranges: int, names: list[str], kinds: tuple, answer: Callable) -> DataFrame:
+    """(``block``, ``range``, ``n``, ``body``, and sums ``names`` of a range) for the requests, in the order of their keys.
 
+    ``answer`` takes the values of a range's keys, sorted by key and block, and where each key begins.
+    """
+    schema = ", ".join(["block long, range long, n long, body binary", *(f"{name} long" for name in names)])
 
-def _counted(docs: DataFrame, names: list[str], keys_of, turn: int = PAIR) -> DataFrame:
-    """(``names``, ``n``) over all documents: combined in the task, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def combined():
-            parts = [np.concatenate(c) for c in zip(*held)]
-            _, at, n = np.unique(parts[0] if len(parts) == 1 else both(*parts, turn), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([*(pa.array(c[at].view(np.int64)) for c in parts), pa.array(n)], names=[*names, "n"])
-
-        for batch in batches:
-            for block in blocks(batch.column("text")):
-                held.append(keys_of(*tokens(block)))
-                size += len(held[-1][0])
-                if size > HELD:
-                    yield combined()
-                    held, size = [], 0
-        if held:
-            yield combined()
-
-    schema = ", ".join(f"{name} long" for name in (*names, "n"))
-    return docs.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
-
-
-def _columns(rows: DataFrame, *names: str) -> list[np.ndarray]:
-    """Columns of hot states, which their threshold bounds."""
-    held = rows.select(*names).toArrow()
-    return [held.column(c).to_numpy() for c in names]
-
-
-def _failing(arcs: DataFrame, context: str, total: DataFrame) -> DataFrame:
-    """(``context``, ``c``, ``fail``) from kept arcs (``n``, and ``shorter``: the probability one order down).
-
-    The failure arc gets what the arcs leave, over what they would have had one order down.
+        for rows in _grouped(batches, "range"):
+            sizes = [r["n"] for r in rows]
+            keys = np.concatenate([unpack(r["keys"], r["n"], np.uint64) for r in rows])
+            values = [np.concatenate([unpack(r[c], r["n"], kind) for r in rows]) for c, kind in zip(("first", "second"), kinds)]
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            told, sums = answer(keys, starts, *(v[order] for v in values))
+            back = np.empty_like(told)
+            back[order] = told
+            ends = np.cumsum(sizes)
+            bodies = [pack(back[e - n:e]) for e, n in zip(ends.tolist(), sizes)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r["block"] for r in rows], pa.int64()), pa.array([r["range"] for r in rows], pa.int64()),
+                pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary()),
+                *(pa.array([s] + [0] * (len(rows) - 1), pa.int64()) for s in sums)],
+                names=["block", "range", "n", "body", *names])
+
+    dealt = requests.repartition(_tasks(requests.sparkSession, ranges), "range").sortWithinPartitions("range", "block")
+    return stored(dealt.mapInArrow(run, schema), "answers", numeric=True)
+
+
+def _total(keys: np.ndarray, starts: np.ndarray, counts: np.ndarray):
+    """Twice the count of each kept n-gram, and one more for its owner; words and different words of the range."""
+    total = np.add.reduceat(counts, starts)
+    order = order_of(keys[starts])
+    word = order == 1
+    kept = np.where(word | (total >= LEAST), total, 0)
+    told = 2 * np.repeat(kept, np.diff(np.append(starts, len(keys))))
+    told[starts] += kept > 0
+    return told, (int(total[word].sum()), int((total[word] > 0).sum()))
+
+
+def _failing(keys: np.ndarray, starts: np.ndarray, arcs: np.ndarray, shorter: np.ndarray):
+    """Weights of failure arcs: what the arcs leave, over what they would have had one order down."""
+    left = np.maximum(1 - np.add.reduceat(arcs, starts), LITTLE)
+    room = np.maximum(1 - np.add.reduceat(shorter, starts), LITTLE)
+    return np.repeat(np.log10(left / room), np.diff(np.append(starts, len(keys)))), ()
+
+
+def arcs_of(found: Grams, count: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of each n-gram as an arc (0: none), of its last word one order down, and place of its context."""
+    order = order_of(found.keys)
+    some = np.zeros(len(found.keys), np.int64)  # a token at which it ends
+    for at in found.at:
+        here = np.flatnonzero(at >= 0)
+        some[at[here]] = here
+    p, shorter, context = np.zeros(len(some)), np.zeros(len(some)), np.full(len(some), NONE)
+    p[order == 1] = (count[order == 1] + ADD) / floor
+    for k in range(2, ORDERS + 1):
+        kept = np.flatnonzero((order == k) & (count > 0))
+        context[kept] = found.at[k - 2][some[kept] - 1]
+        p[kept] = (count[kept] - DISCOUNT) / count[context[kept]]
+        shorter[kept] = p[found.at[k - 2][some[kept]]]
+    return p, shorter, context
+
+
+def automaton(found: Grams, count: np.ndarray, fail: np.ndarray, floor: float) -> Automaton:
+    """The part of the automaton that the block's texts can reach."""
+    p, _, _ = arcs_of(found, count, floor)
+    return Automaton(count, np.log10(p, out=np.full(len(p), NO_ARC), where=p > 0), fail)
+
+
+def traverse(found: Grams, model: Automaton) -> np.ndarray:
+    """Log10 probability of each text: one pass from left to right that carries the state."""
+    if not len(found.row):
+        return np.zeros(0)
+    rows = int(found.row[-1]) + 1
+    bounds = np.searchsorted(found.row, np.arange(rows + 1)).tolist()
+    word, two, three = (np.where(at >= 0, model.weight[at], NO_ARC) for at in found.at)
+    # The failure arcs of the states that end one token before.
+    fail_one, fail_two = (np.append(0.0, np.where(at >= 0, model.fail[at], 0.0)[:-1]) for at in found.at[:2])
+    scores = np.zeros(rows)
+    for text, (a, e) in enumerate(zip(bounds, bounds[1:])):
+        state, score = 0, 0.0  # words in the state
+        for one_arc, two_arc, three_arc, from_one, from_two in zip(
+                *(c[a:e].tolist() for c in (word, two, three, fail_one, fail_two))):
+            if state == 2:
+                if three_arc <= 0:
+                    score += three_arc
+                    continue
+                score += from_two
+                state = 1
+            if state == 1:
+                if two_arc <= 0:
+                    score += two_arc
+                    state = 2
+                    continue
+                score += from_one
+            score += one_arc
+            state = 1
+        scores[text] = score
+    return scores
+
+
+def _aligned(rows: list[dict], kind: str, of: type) -> np.ndarray:
+    """The answers of one kind to a block, in the order of its keys."""
+    parts = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["range"])
+    return np.concatenate([np.zeros(0, of), *(unpack(r["body"], r["n"], of) for r in parts)])
+
+
+def scored(docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """(``id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``) per row of ``docs`` (``id``, ``text``, ``trains``).
+
+    The model is learnt from the rows that train; also returned are its tokens and different words.
     """
-    left = 1 - (F.col("sum_n") - DISCOUNT * F.col("k")) / F.col("c")
-    room = 1 - F.col("sum_shorter")
-    sums = arcs.groupBy(context).agg(F.sum("n").alias("sum_n"), F.count("*").alias("k"), F.sum("shorter").alias("sum_shorter"))
-    return sums.join(total.select(F.col("key").alias(context), F.col("n").alias("c")), context).select(
-        context, "c", F.log10(F.greatest(left, F.lit(1e-9)) / F.greatest(room, F.lit(1e-9))).alias("fail"))
-
-
-def _weighted(arcs: DataFrame, context: str, failing: DataFrame, turn: int, parts: tuple[str, str]) -> DataFrame:
-    """``arcs`` with ``key``, probability ``p`` and ``over``: what the arc has over the way by the failure arc."""
-    p = (F.col("n") - DISCOUNT) / F.col("c")
-    return arcs.join(failing, context).select(
-        both_of(*parts, turn).alias("key"), *parts, "n", p.alias("p"),
-        (F.log10(p) - F.col("fail") - F.log10("shorter")).alias("over"))
-
-
-def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
-    """The hot automaton, the values of all states (``key``, ``value``, and of words ``base``), and the numbers N and V."""
+    from pyspark.sql.pandas.types import to_arrow_type
     spark = docs.sparkSession
-    counts = stored(_counted(docs, ["key"], lambda hashes, row: (hashes,)), "counts", numeric=True)
-    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    total, distinct = total or 0, distinct or 0
-    floor = float(total + ADD * (distinct + 1))
-    probability = (F.col("n") + ADD) / floor
-    release(spark)
-
-    two = stored(_counted(docs, ["v", "w"], pairs).where(F.col("n") >= LEAST), "pairs", numeric=True)
-    release(spark)
-    two = stored(two.join(counts.select(F.col("key").alias("w"), probability.alias("shorter")), "w"), "pairs", numeric=True)
-    fail_one = stored(_failing(two, "v", counts), "failing", numeric=True)
-    two = stored(_weighted(two, "v", fail_one, PAIR, ("v", "w")), "pairs", numeric=True)
-    release(spark)
-
-    def of_slice(k):
-        def keys(hashes, row):
-            uv, vw = triples(hashes, row)
-            own = slice_of(uv) == k
-            return uv[own], vw[own]
-
-        found = stored(_counted(docs, ["uv", "vw"], keys, TRIPLE).where(F.col("n") >= LEAST), "triples", numeric=True)
-        release(spark)
-        return found
-
-    three = reduce(DataFrame.unionAll, [of_slice(k) for k in range(SLICES)])
-    # Both bigrams of a kept trigram are kept.
-    three = stored(three.join(two.select(F.col("key").alias("vw"), F.col("p").alias("shorter")), "vw"), "triples", numeric=True)
-    fail_two = stored(_failing(three, "uv", two), "failing", numeric=True)
-    three = stored(_weighted(three, "uv", fail_two, TRIPLE, ("uv", "vw")), "triples", numeric=True)
+    id_type, kind = to_arrow_type(docs.schema["id"].dataType), docs.schema["id"].dataType.simpleString()
+    packed = _packed(docs)
+    n_blocks, size = packed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    ranges = min(max(1, -(-size // RANGE)), 1 << 30)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches, "block"):
+            docs_ = _rows(rows[0]["body"])
+            found = _block_grams(docs_)
+            trains = docs_.column("trains").to_numpy()[found.row]
+            count = sum(np.bincount(at[(at >= 0) & trains], minlength=len(found.keys)) for at in found.at)
+            yield from _parts(rows[0]["block"], found.keys, ranges, count.astype(np.int64))
+
+    def by_block(*answers: tuple[str, DataFrame]) -> DataFrame:
+        """Each block's texts and answers, together."""
+        rows = packed.select("block", F.lit("").alias("kind"), F.lit(0).cast("long").alias("range"), F.lit(0).cast("long").alias("n"), "body")
+        for label, answer in answers:
+            rows = rows.unionAll(answer.select("block", F.lit(label).alias("kind"), "range", "n", "body"))
+        return rows.repartition(_tasks(spark, n_blocks), "block").sortWithinPartitions("block", "kind", "range")
+
+    totals = _answers(packed.mapInArrow(counted, PARTS), ranges, ["tokens", "words"], (np.int64,), _total)
     release(spark)
+    total, distinct = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    floor = float(total + ADD * (distinct + 1))
 
-    fail = F.coalesce("fail", F.lit(0.0))
-    one = counts.join(fail_one.select(F.col("v").alias("key"), "fail"), "key", "left").select(
-        "key", "n", F.log10(probability).alias("base"), fail.alias("fail"))
-    two = two.join(fail_two.select(F.col("uv").alias("key"), "fail"), "key", "left").withColumn("fail", fail)
-    none = F.lit(None).cast("double").alias("base")
-    values = stored(
-        one.select("key", (F.col("base") + F.col("fail")).alias("value"), "base")
-        .unionAll(two.select("key", (F.col("over") + F.col("fail")).alias("value"), none))
-        .unionAll(three.select("key", F.col("over").alias("value"), none)), "values", numeric=True)
-
-    # Parts of a hot n-gram are at least as frequent, so hot themselves.
-    least = max(float(LEAST), total * KEEP)
-    words_, word, word_fail = _columns(one.where(F.col("n") >= total * min(KEEP_WORD, KEEP)), "key", "base", "fail")
-    known = words_.view(np.uint64)
-    order = np.argsort(known)
-    known, size = known[order], len(known)
-    keys, v, w, p, pair_fail = _columns(two.where(F.col("n") >= least), "key", "v", "w", "p", "fail")
-    v, w = (_place(known, c.view(np.uint64)) for c in (v, w))
-    first = np.argsort(v * size + w)
-    keys, v, w, p, pair_fail = (c[first] for c in (keys, v, w, p, pair_fail))
-    by_key = np.argsort(keys)
-    uv, vw, q = _columns(three.where(F.col("n") >= least), "uv", "vw", "p")
-    uv, vw = (by_key[_place(keys[by_key], c)] if len(c) else np.zeros(0, np.int64) for c in (uv, vw))
-    arc = uv * size + w[vw]
-    second = np.argsort(arc)
-    model = Model(known, word[order], [word_fail[order], pair_fail], [v * size + w, arc[second]],
-                  [np.log10(p), np.log10(q[second])], size)
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches, "block"):
+            found = _block_grams(_rows(rows[0]["body"]))
+            told = _aligned(rows, "totals", np.int64)
+            count, own = told >> 1, (told & 1) > 0
+            p, shorter, context = arcs_of(found, count, floor)
+            own &= context >= 0
+            arcs, below = (np.bincount(context[own], c[own], len(count)) for c in (p, shorter))
+            state = (count > 0) & (order_of(found.keys) < ORDERS)
+            yield from _parts(rows[0]["block"], found.keys[state], ranges, arcs[state], below[state])
+
+    fails = _answers(by_block(("totals", totals)).mapInArrow(summed, PARTS), ranges, [], (np.float64, np.float64), _failing)
     release(spark)
-    return model, values, total, distinct
-
-
-def traverse(hashes: np.ndarray, row: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(Log10 probability at each place, word states), as far as hot states give it."""
-    found = states(hashes, row, model.hashes, model.arcs)
-    score = np.where(found[0] >= 0, model.word[np.maximum(found[0], 0)] if model.size else 0.0, 0.0)
-    same = np.zeros(len(row), bool)
-    same[1:] = row[1:] == row[:-1]
-    for k, (fail, weight) in enumerate(zip(model.fail, model.weight)):
-        # One order up: follow the arc of the state before, or its failure arc to what was found below.
-        before = np.full(len(row), RARE)
-        before[1:] = found[k][:-1]
-        at = same & (before >= 0)
-        score[at] += fail[before[at]]
-        arc = found[k + 1] >= 0
-        score[arc] = weight[found[k + 1][arc]]
-    return score, found[0]
-
-
-def left_over(hashes: np.ndarray, row: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and rows of the n-grams of all places that are no hot states."""
-    one, two, three = states(hashes, row, model.hashes, model.arcs)
-    same = row[1:] == row[:-1]
-    far = row[2:] == row[:-2]
-    cold = [one < 0, two[1:][same] < 0, three[2:][far] < 0]
-    keys = [hashes, both(*pairs(hashes, row), PAIR), both(*triples(hashes, row), TRIPLE)]
-    rows = [row, row[1:][same], row[2:][far]]
-    return tuple(np.concatenate([c[k] for c, k in zip(part, cold)]) for part in (keys, rows))
-
-
-def scored(docs: DataFrame, model: Model, values: DataFrame, total: int, distinct: int) -> DataFrame:
-    """(``id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``) per row of ``docs``."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    spark = docs.sparkSession
-    # A row's number is written with it, so it is the same wherever the row is read again.
-    docs = stored(docs.select("id", "text").withColumn("place", F.monotonically_increasing_id()), "numbered")
-    id_type, kind = to_arrow_type(docs.schema["id"].dataType), docs.schema["id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(model)  # bounded by 1 / KEEP entries per order
 
-    def by_hot_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            for block in blocks(batch.column("text")):
-                rows = block.last - block.first
-                hashes, row = tokens(block)
-                score, word = traverse(hashes, row, model)
-                base = np.where(word >= 0, model.word[np.maximum(word, 0)] if model.size else 0.0, 0.0)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("place").slice(block.first, rows), batch.column("id").slice(block.first, rows).cast(id_type),
-                    pa.array(np.bincount(row, minlength=rows)), pa.array(np.bincount(row[word >= 0], minlength=rows)),
-                    pa.array(np.bincount(row, base, rows)), pa.array(np.bincount(row, score, rows)),
-                ], names=["place", "id", "n_tokens", "known", "base", "score"])
-
-    def of_slice(k):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = shared.value
-            for batch in batches:
-                for block in blocks(batch.column("text")):
-                    place = batch.column("place").slice(block.first, block.last - block.first).to_numpy()
-                    keys, row = left_over(*tokens(block), model)
-                    own = slice_of(keys) == k
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(place[row[own]])], names=["key", "place"])
-
-        own = F.pmod(F.shiftrightunsigned("key", 32), F.lit(SLICES)) == k
-        found = stored(
-            docs.select("place", "text").mapInArrow(run, "key long, place long").join(values.where(own), "key")
-            .groupBy("place").agg(F.sum("value").alias("value"), F.sum("base").alias("below"), F.count("base").alias("met")),
-            "values", numeric=True)
-        release(spark)
-        return found
-
-    seen = docs.mapInArrow(by_hot_states, f"place long, id {kind}, n_tokens long, known long, base double, score double")
-    rest = reduce(DataFrame.unionAll, [of_slice(k) for k in range(SLICES)]).groupBy("place").agg(
-        F.sum("value").alias("value"), F.sum("below").alias("below"), F.sum("met").alias("met"))
-    known = F.col("known") + F.coalesce("met", F.lit(0))
-    unseen = (F.col("n_tokens") - known) * math.log10(ADD / (total + ADD * (distinct + 1)))
-    return seen.join(rest, "place", "left").select(
-        "id", "n_tokens", known.cast("long").alias("n_known"),
-        (F.col("base") + F.coalesce("below", F.lit(0.0)) + unseen).alias("base_score"),
-        (F.col("score") + F.coalesce("value", F.lit(0.0)) + unseen).alias("score"))
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches, "block"):
+            docs_ = _rows(rows[0]["body"])
+            found = _block_grams(docs_)
+            count = _aligned(rows, "totals", np.int64) >> 1
+            fail = np.zeros(len(count))
+            fail[(count > 0) & (order_of(found.keys) < ORDERS)] = _aligned(rows, "fails", np.float64)
+            model = automaton(found, count, fail, floor)
+            word, n = found.at[0], docs_.num_rows
+            yield pa.RecordBatch.from_arrays([
+                docs_.column("id").combine_chunks().cast(id_type), pa.array(np.bincount(found.row, minlength=n)),
+                pa.array(np.bincount(found.row[count[word] > 0], minlength=n)),
+                pa.array(np.bincount(found.row, model.weight[word], n)), pa.array(traverse(found, model)),
+            ], names=["id", "n_tokens", "n_known", "base_score", "score"])
+
+    rows = by_block(("totals", totals), ("fails", fails)).mapInArrow(
+        walked, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return rows, total, distinct
 
 
 def op9_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents by a model of the training ones."""
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
     out = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))) % 10 == 0
-    model, values, total, distinct = train(docs.where(~out))
-    rows = scored(docs, model, values, total, distinct)
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    rows, total, _ = scored(docs.withColumn("trains", ~out))
     return rows.select(
         F.col("id").alias("doc_id"), out.alias("held_out"), "n_tokens", "n_known",
         F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -123,11 +123,11 @@ def test_base_scores(spark, folder, rows):
     assert got(spark, "op9_backoff_automaton", folder, *columns) == collections.Counter(brute.base_scores(rows))
 
 
-@pytest.mark.parametrize("share", [2e-6, 1e-3, 2.0])
-def test_trained_scores_do_not_depend_on_the_share_of_hot_states(spark, folder, rows, monkeypatch, share):
+@pytest.mark.parametrize("size", [300, 5000, 8 << 20])
+def test_trained_scores_do_not_depend_on_blocks_and_ranges(spark, folder, rows, monkeypatch, size):
     from subledger.llm import language_model
-    monkeypatch.setattr(language_model, "KEEP_WORD", share / 2)
-    monkeypatch.setattr(language_model, "KEEP", share)
+    monkeypatch.setattr(language_model, "BLOCK", size)
+    monkeypatch.setattr(language_model, "RANGE", size)
     found = sorted((-1 if r.doc_id is None else r.doc_id, r.score)
                    for r in QUERIES["op9_backoff_automaton"](spark, folder).collect())
     want = sorted((-1 if i is None else i, s) for i, s in brute.trained_scores(rows))

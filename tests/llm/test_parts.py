@@ -172,53 +172,48 @@ def test_header_predicates_are_taken_by_the_reader(spark, tmp_path):
     assert found == [{"record_type": "response", "payload_length": 1}] * 2
 
 
-def test_failure_arcs_leave_one_in_all(spark):
-    rng = random.Random(2)
-    rows = [(i, " ".join(rng.choice("abcdef") for _ in range(50))) for i in range(40)]
-    model, counts, total, distinct = language_model.train(spark.createDataFrame(rows, "id long, text string"))
+def whole_automaton(texts):
+    """N-grams and automaton of texts that are one block and all train."""
+    found = language_model.grams(*language_model.tokens(pa.array(texts)))
+    count = sum(np.bincount(at[at >= 0], minlength=len(found.keys)) for at in found.at)
+    starts = np.arange(len(found.keys))
+    told, (total, distinct) = language_model._total(found.keys, starts, count)
     floor = total + language_model.ADD * (distinct + 1)
-    below = 10 ** model.word
-    assert below.sum() + language_model.ADD / floor == pytest.approx(1)
-    # Probabilities of all words after each state of one and of two words, over words and the unseen one.
-    for state in range(model.size):
-        own = model.arcs[0] // model.size == state
-        kept = 10 ** model.weight[0][own]
-        words = model.arcs[0][own] % model.size
-        rest = 10 ** model.fail[0][state] * (1 - below[words].sum())
-        assert kept.sum() + rest == pytest.approx(1, abs=1e-6)
-
-
-def test_one_traversal_equals_the_sum_of_all_places(spark):
-    rng = random.Random(3)
-    rows = [(i, " ".join(rng.choice("abcd") for _ in range(30))) for i in range(30)]
-    model, *_ = language_model.train(spark.createDataFrame(rows, "id long, text string"))
-    block = next(text.blocks(pa.array([r[1] for r in rows[:5]])))
-    hashes, row = language_model.tokens(block)
-    score, _ = language_model.traverse(hashes, row, model)
-    index = {int(h): k for k, h in enumerate(model.hashes)}
-    arcs = [dict(zip(a.tolist(), range(len(a)))) for a in model.arcs]
-    total, state, last = np.zeros(5), (), None
-    for h, r in zip(hashes.tolist(), row.tolist()):
-        state = state if r == last else ()
-        last, word = r, index[h]
-        # state: numbers of the kept n-grams that end here, shortest first
-        follow, value = [word], None
-        for k, before in enumerate(state):
-            if before is not None:
-                follow.append(arcs[k].get(before * model.size + word))
-            else:
-                follow.append(None)
-        for k in range(len(state), 0, -1):
-            if state[k - 1] is not None:
-                if follow[k] is not None:
-                    value = (value or 0) + model.weight[k - 1][follow[k]]
-                    break
-                value = (value or 0) + model.fail[k - 1][state[k - 1]]
-        else:
-            value = (value or 0) + model.word[word]
-        total[r] += value
-        state = tuple(follow[:2])
-    assert np.allclose(total, np.bincount(row, score, 5))
+    p, shorter, context = language_model.arcs_of(found, told >> 1, floor)
+    own = context >= 0
+    arcs, below = (np.bincount(context[own], c[own], len(starts)) for c in (p, shorter))
+    fail, _ = language_model._failing(found.keys, starts, arcs, below)
+    return found, language_model.automaton(found, told >> 1, fail, floor), context, floor
+
+
+def test_failure_arcs_leave_one_in_all():
+    rng = random.Random(2)
+    found, model, context, floor = whole_automaton([" ".join(rng.choice("abcdef") for _ in range(50)) for _ in range(40)])
+    order = language_model.order_of(found.keys)
+    p = 10 ** model.weight
+    assert p[order == 1].sum() + language_model.ADD / floor == pytest.approx(1)
+    last = {(k, place): at[i] for k, at in enumerate(found.at[:2]) for i, place in enumerate(found.at[k + 1]) if place >= 0}
+    # Probabilities of all words after each state of one word, over words and the unseen one.
+    for state in np.flatnonzero(order == 1):
+        own = np.flatnonzero((context == state) & (order == 2))
+        rest = 10 ** model.fail[state] * (1 - sum(p[last[0, k]] for k in own))
+        assert p[own].sum() + rest == pytest.approx(1, abs=1e-6)
+
+
+def test_blocks_are_whole_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BLOCK", 100)
+    rows = [(i, "x" * (300 if i % 5 == 0 else 20), True) for i in range(50)]
+    packed = language_model._packed(spark.createDataFrame(rows, "id long, text string, trains boolean").coalesce(1)).collect()
+    assert len({r.block for r in packed}) == len(packed) > 10
+    found = [language_model._rows(r.body) for r in packed]
+    assert sorted(i for t in found for i in t.column("id").to_pylist()) == list(range(50))
+    assert all(t.num_rows == 1 or r.size <= 100 for t, r in zip(found, packed))
+
+
+def test_packed_values_come_back():
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
+    for values in (keys, np.arange(-5, 5), np.array([0.5, -3e300]), np.zeros(0, np.int64)):
+        assert (language_model.unpack(language_model.pack(values), len(values), values.dtype.type) == values).all()
 
 
 def test_loose_phrases(spark):
