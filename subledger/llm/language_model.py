@@ -18,13 +18,14 @@ A key comes once from each block, whatever its frequency, so no key is hot; a ta
 
 Null and empty texts are the end token alone. Every row is scored on its own and trains as often as it occurs; a null
 id is ``''`` for the split of the query. An empty table gives no rows; without training tokens every word has the
-probability of an unseen one. N-grams are known by 62-bit hashes and their length. A single enormous text is a block
+probability of an unseen one. N-grams are known by 61-bit hashes and their length. A single enormous text is a block
 of its own. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -43,8 +44,13 @@ DISCOUNT = 0.7
 ADD = 0.1
 ORDERS = 3
 # Bytes of text of a block, and of all texts for each range of keys.
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 RANGE = 4 << 20
+# Parts, by key, in which counts are exchanged one after another, a power of two: bounds what is shuffled at a time.
+SLICES = 2
+# Steps per unit in which sums of probabilities and weights of failure arcs travel: sums do not depend on their order.
+SUM_STEPS = 2.0 ** 32
+WEIGHT_STEPS = 2.0 ** 28
 # Tasks of a stage that works on blocks or ranges, beyond the session's own number.
 TASKS = 1 << 13
 # Fixed value: stands for the end of a text.
@@ -63,7 +69,7 @@ class Grams(NamedTuple):
     """The n-grams of a block."""
 
     row: np.ndarray   # text of each token
-    keys: np.ndarray  # of all distinct n-grams, sorted; their order is in the two lowest bits
+    keys: np.ndarray  # of all distinct n-grams, sorted; their order is in the low bits
     at: list          # per order: place in ``keys`` of the n-gram that ends at each token, or NONE
 
 
@@ -89,28 +95,62 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def order_of(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(3)).astype(np.int64)
+    return ((keys >> np.uint64(1)) & np.uint64(3)).astype(np.int64)
+
+
+def keys_of(hashes: np.ndarray, row: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all n-grams of one order, with an empty lowest bit, and the token at which each ends."""
+    count = max(len(hashes) - order + 1, 0)
+    total = np.zeros(count, np.uint64)
+    for k in range(order):
+        total = mixed(total + hashes[k:k + count])
+    first = np.flatnonzero(row[:count] == row[order - 1:])
+    return (total[first] & ~np.uint64(7)) | np.uint64(order << 1), first + order - 1
+
+
+def counts_of(hashes: np.ndarray, row: np.ndarray, trains: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of a part, and how often each occurs in texts that train."""
+    found = []
+    for order in range(1, ORDERS + 1):
+        keys, end = keys_of(hashes, row, order)
+        own = part_of(keys, parts) == part
+        found.append(keys[own] | trains[row[end[own]]].astype(np.uint64))
+    found = np.sort(np.concatenate(found))
+    keys = found & ~np.uint64(1)
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat((found & np.uint64(1)).astype(np.int64), starts) if len(keys) else starts
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The range, of so many equal ones, in which a key lies."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def sorting(keys: np.ndarray) -> np.ndarray:
+    """Order of the keys, equal ones by place: high bits with the place in the low ones, unless these bits tie."""
+    bits = np.uint64(max(len(keys) - 1, 1).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    found = keys[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(keys, kind="stable")
 
 
 def grams(hashes: np.ndarray, row: np.ndarray) -> Grams:
     """All n-grams up to ``ORDERS`` words; none crosses from one text into the next."""
-    found, ends = [], []
-    for order in range(1, ORDERS + 1):
-        count = max(len(hashes) - order + 1, 0)
-        total = np.zeros(count, np.uint64)
-        for k in range(order):
-            total = mixed(total + hashes[k:k + count])
-        end = np.flatnonzero(row[:count] == row[order - 1:]) + order - 1
-        found.append((total[end - order + 1] & ~np.uint64(3)) | np.uint64(order))
-        ends.append(end)
-    keys, which = np.unique(np.concatenate(found), return_inverse=True)
+    found, ends = zip(*(keys_of(hashes, row, order) for order in range(1, ORDERS + 1)))
+    found = np.concatenate(found)
+    order = sorting(found)
+    keys = found[order]
+    new = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
+    which = np.empty(len(keys), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
     at, first = [], 0
     for end in ends:
-        place = np.full(len(hashes), NONE)
+        place = np.full(len(hashes), NONE, np.int32)
         place[end] = which[first:first + len(end)]
         at.append(place)
         first += len(end)
-    return Grams(row, keys, at)
+    return Grams(row, keys[new], at)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -136,7 +176,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         def packed():
             sink = pa.BufferOutputStream()
             rows = pa.Table.from_batches(held)
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as out:
                 out.write_table(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([size]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "size", "body"])
@@ -165,15 +205,11 @@ def _rows(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(body).read_all().combine_chunks()
 
 
-def _block_grams(rows: pa.Table) -> Grams:
-    return grams(*tokens(rows.column("text")))
-
-
 def _parts(block: int, keys: np.ndarray, ranges: int, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sorted keys with their values, cut by ranges of keys."""
     if not len(keys):
         return
-    part = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    part = part_of(keys, ranges)
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
     columns: list[list] = [[] for _ in range(3)]
     for a, e in zip(first.tolist(), np.append(first[1:], len(keys)).tolist()):
@@ -215,7 +251,7 @@ def _answers(requests: DataFrame, ranges: int, names: list[str], kinds: tuple, a
             sizes = [r["n"] for r in rows]
             keys = np.concatenate([unpack(r["keys"], r["n"], np.uint64) for r in rows])
             values = [np.concatenate([unpack(r[c], r["n"], kind) for r in rows]) for c, kind in zip(("first", "second"), kinds)]
-            order = np.argsort(keys, kind="stable")
+            order = sorting(keys)
             keys = keys[order]
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             told, sums = answer(keys, starts, *(v[order] for v in values))
@@ -246,9 +282,10 @@ def _total(keys: np.ndarray, starts: np.ndarray, counts: np.ndarray):
 
 def _failing(keys: np.ndarray, starts: np.ndarray, arcs: np.ndarray, shorter: np.ndarray):
     """Weights of failure arcs: what the arcs leave, over what they would have had one order down."""
-    left = np.maximum(1 - np.add.reduceat(arcs, starts), LITTLE)
-    room = np.maximum(1 - np.add.reduceat(shorter, starts), LITTLE)
-    return np.repeat(np.log10(left / room), np.diff(np.append(starts, len(keys)))), ()
+    left = np.maximum(1 - np.add.reduceat(arcs, starts) / SUM_STEPS, LITTLE)
+    room = np.maximum(1 - np.add.reduceat(shorter, starts) / SUM_STEPS, LITTLE)
+    weight = np.rint(np.log10(left / room) * WEIGHT_STEPS).astype(np.int64)
+    return np.repeat(weight, np.diff(np.append(starts, len(keys)))), ()
 
 
 def arcs_of(found: Grams, count: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,10 +305,17 @@ def arcs_of(found: Grams, count: np.ndarray, floor: float) -> tuple[np.ndarray,
     return p, shorter, context
 
 
+def context_sums(found: Grams, count: np.ndarray, own: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each n-gram as a context, what the block's ``own`` arcs have, and what they would have one order down."""
+    p, shorter, context = arcs_of(found, count, floor)
+    own = own & (context >= 0)
+    return tuple(np.rint(np.bincount(context[own], c[own], len(count)) * SUM_STEPS).astype(np.int64) for c in (p, shorter))
+
+
 def automaton(found: Grams, count: np.ndarray, fail: np.ndarray, floor: float) -> Automaton:
-    """The part of the automaton that the block's texts can reach."""
+    """The part of the automaton that the block's texts can reach; ``fail`` in steps."""
     p, _, _ = arcs_of(found, count, floor)
-    return Automaton(count, np.log10(p, out=np.full(len(p), NO_ARC), where=p > 0), fail)
+    return Automaton(count, np.log10(p, out=np.full(len(p), NO_ARC), where=p > 0), fail / WEIGHT_STEPS)
 
 
 def traverse(found: Grams, model: Automaton) -> np.ndarray:
@@ -306,10 +350,10 @@ def traverse(found: Grams, model: Automaton) -> np.ndarray:
     return scores
 
 
-def _aligned(rows: list[dict], kind: str, of: type) -> np.ndarray:
+def _aligned(rows: list[dict], kind: str) -> np.ndarray:
     """The answers of one kind to a block, in the order of its keys."""
     parts = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["range"])
-    return np.concatenate([np.zeros(0, of), *(unpack(r["body"], r["n"], of) for r in parts)])
+    return np.concatenate([np.zeros(0, np.int64), *(unpack(r["body"], r["n"], np.int64) for r in parts)])
 
 
 def scored(docs: DataFrame) -> tuple[DataFrame, int, int]:
@@ -322,15 +366,18 @@ def scored(docs: DataFrame) -> tuple[DataFrame, int, int]:
     id_type, kind = to_arrow_type(docs.schema["id"].dataType), docs.schema["id"].dataType.simpleString()
     packed = _packed(docs)
     n_blocks, size = packed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = min(max(1, -(-size // RANGE)), 1 << 30)
+    ranges = min(SLICES * max(1, -(-size // (SLICES * RANGE))), 1 << 30)  # no range lies in two slices
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches, "block"):
-            docs_ = _rows(rows[0]["body"])
-            found = _block_grams(docs_)
-            trains = docs_.column("trains").to_numpy()[found.row]
-            count = sum(np.bincount(at[(at >= 0) & trains], minlength=len(found.keys)) for at in found.at)
-            yield from _parts(rows[0]["block"], found.keys, ranges, count.astype(np.int64))
+    def counted(part: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in _grouped(batches, "block"):
+                docs_ = _rows(rows[0]["body"])
+                keys, count = counts_of(*tokens(docs_.column("text")), docs_.column("trains").to_numpy(), part, SLICES)
+                yield from _parts(rows[0]["block"], keys, ranges, count)
+
+        found = _answers(packed.mapInArrow(run, PARTS), ranges, ["tokens", "words"], (np.int64,), _total)
+        release(spark)
+        return found
 
     def by_block(*answers: tuple[str, DataFrame]) -> DataFrame:
         """Each block's texts and answers, together."""
@@ -339,32 +386,29 @@ def scored(docs: DataFrame) -> tuple[DataFrame, int, int]:
             rows = rows.unionAll(answer.select("block", F.lit(label).alias("kind"), "range", "n", "body"))
         return rows.repartition(_tasks(spark, n_blocks), "block").sortWithinPartitions("block", "kind", "range")
 
-    totals = _answers(packed.mapInArrow(counted, PARTS), ranges, ["tokens", "words"], (np.int64,), _total)
-    release(spark)
+    totals = reduce(DataFrame.unionAll, [counted(part) for part in range(SLICES)])
     total, distinct = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     floor = float(total + ADD * (distinct + 1))
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, "block"):
-            found = _block_grams(_rows(rows[0]["body"]))
-            told = _aligned(rows, "totals", np.int64)
-            count, own = told >> 1, (told & 1) > 0
-            p, shorter, context = arcs_of(found, count, floor)
-            own &= context >= 0
-            arcs, below = (np.bincount(context[own], c[own], len(count)) for c in (p, shorter))
+            found = grams(*tokens(_rows(rows[0]["body"]).column("text")))
+            told = _aligned(rows, "totals")
+            count = told >> 1
             state = (count > 0) & (order_of(found.keys) < ORDERS)
-            yield from _parts(rows[0]["block"], found.keys[state], ranges, arcs[state], below[state])
+            sums = context_sums(found, count, (told & 1) > 0, floor)
+            yield from _parts(rows[0]["block"], found.keys[state], ranges, *(c[state] for c in sums))
 
-    fails = _answers(by_block(("totals", totals)).mapInArrow(summed, PARTS), ranges, [], (np.float64, np.float64), _failing)
+    fails = _answers(by_block(("totals", totals)).mapInArrow(summed, PARTS), ranges, [], (np.int64, np.int64), _failing)
     release(spark)
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, "block"):
             docs_ = _rows(rows[0]["body"])
-            found = _block_grams(docs_)
-            count = _aligned(rows, "totals", np.int64) >> 1
-            fail = np.zeros(len(count))
-            fail[(count > 0) & (order_of(found.keys) < ORDERS)] = _aligned(rows, "fails", np.float64)
+            found = grams(*tokens(docs_.column("text")))
+            count = _aligned(rows, "totals") >> 1
+            fail = np.zeros(len(count), np.int64)
+            fail[(count > 0) & (order_of(found.keys) < ORDERS)] = _aligned(rows, "fails")
             model = automaton(found, count, fail, floor)
             word, n = found.at[0], docs_.num_rows
             yield pa.RecordBatch.from_arrays([
