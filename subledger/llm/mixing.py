@@ -6,9 +6,10 @@ its cap. A source then gives its documents as often as its target holds whole re
 of them once more: those with the smallest keys, up to the key at which the part's words are reached. That key
 is found by narrowing key ranges over all documents, so no source is ever ordered in one task.
 
-Null and empty texts have size 0 and take no words; a null source is a source of its own, the last one; equal
-rows are taken equally often; an empty table gives no rows; sources without words have target 0. Input columns
-with the name of an output column are replaced.
+Null and empty texts have size 0 and take no words; a null source is a source of its own, the last one; an empty
+table gives no rows; sources without words have target 0. Equal rows stand side by side in the order of keys and are
+taken one by one, so a source that is one row many times meets its target, too; which of them are taken makes no
+difference to the rows of the result. Input columns with the name of an output column are replaced.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 11
 # Bits of the key that one round of narrowing fixes; the last round looks at the keys themselves.
-BITS = 10
+BITS = 16
 ROUNDS = 4
+# Lowest bits of the key that tell equal rows apart; more rows than they have values share them evenly.
+ROW_BITS = 20
 
 
 def ranked(rows: DataFrame, *order) -> DataFrame:
@@ -57,10 +60,16 @@ def water_filled(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 
 def measured(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The documents with ``size`` (words) and a seeded ``_key``; both depend on the row alone."""
+    """The documents with ``size`` (words) and a seeded ``_key``: of id and text, and last of the row's number.
+
+    Equal rows get other numbers when they are computed again, so the rows must be stored before they are used twice.
+    """
+    content = key63(seed, F.col("doc_id"), F.col("text"))
+    number = key63(seed, F.monotonically_increasing_id())
+    low = F.lit((1 << ROW_BITS) - 1)
     return docs.select(
         *keeping(docs, "size", "_key"), count_words(F.col("text")).alias("size"),
-        key63(seed, F.col("doc_id"), F.col("text")).alias("_key"),
+        content.bitwiseAND(F.bitwise_not(low.cast("long"))).bitwiseOR(number.bitwiseAND(low)).alias("_key"),
     )
 
 
@@ -130,11 +139,11 @@ def mixed(sized: DataFrame, plan: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
         seed: int = SEED) -> DataFrame:
     """The mix itself: every document as often as it is taken."""
-    sized = measured(docs, seed)
-    plan = recipe(stored(sized.select("source", "size", "_key"), "sized"), weights, max_epochs)
     columns = [F.col(f"row.`{c}`") for c in docs.columns]
     packed = docs.select(F.struct(*keeping(docs)).alias("row"), "doc_id", "text", "source")
-    rows = mixed(measured(packed, seed), plan).where("copies > 0")
+    sized = stored(measured(packed, seed).select("row", "source", "size", "_key"), "sized")
+    plan = recipe(sized.select("source", "size", "_key"), weights, max_epochs)
+    rows = mixed(sized, plan).where("copies > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*columns)
 
 

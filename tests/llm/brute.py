@@ -46,6 +46,21 @@ def benchmark(rows):
             ["b4", None], ["b5", ""], ["b6", "none of these words occur anywhere in the corpus at all today"]]
 
 
+def targets(sizes, weights=(5, 2, 1), epochs=3):
+    """Words that each source gives, from the words it has."""
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    full = set()
+    while True:
+        rest = sum(sizes.values()) - sum(epochs * sizes[s] for s in full)
+        heavy = sum(weight[s] for s in names if s not in full)
+        target = {s: epochs * sizes[s] if s in full else rest * weight[s] / heavy for s in names}
+        over = {s for s in names if target[s] > epochs * sizes[s] + 1e-9}
+        if not over:
+            return target
+        full |= over
+
+
 def vectors():
     """(vec_id, embedding, label) rows: close groups, ties, repeated rows, nulls, odd components and lengths."""
     rng = random.Random(9)

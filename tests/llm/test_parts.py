@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from subledger.llm import decontamination, html_text, language_model, ngram_join, quality, sharding, suffix_dedup, text, warc
+from subledger.llm.common import stored
+from subledger.llm import decontamination, html_text, language_model, mixing, ngram_join, quality, sharding, suffix_dedup, text, warc
 
 
 @given(st.lists(st.text("ab é\n\0", max_size=12), max_size=6))
@@ -174,15 +175,17 @@ def test_header_predicates_are_taken_by_the_reader(spark, tmp_path):
 
 def whole_automaton(texts):
     """N-grams and automaton of texts that are one block and all train."""
-    found = language_model.grams(*language_model.tokens(pa.array(texts)))
-    count = sum(np.bincount(at[at >= 0], minlength=len(found.keys)) for at in found.at)
+    hashes, row = language_model.tokens(pa.array(texts))
+    found = language_model.grams(hashes, row)
+    keys, count = language_model.counts_of(hashes, row, np.ones(len(texts), bool), 0, 1)
+    assert (keys == found.keys).all()
+    assert (count == sum(np.bincount(at[at >= 0], minlength=len(keys)) for at in found.at)).all()
     starts = np.arange(len(found.keys))
     told, (total, distinct) = language_model._total(found.keys, starts, count)
     floor = total + language_model.ADD * (distinct + 1)
-    p, shorter, context = language_model.arcs_of(found, told >> 1, floor)
-    own = context >= 0
-    arcs, below = (np.bincount(context[own], c[own], len(starts)) for c in (p, shorter))
-    fail, _ = language_model._failing(found.keys, starts, arcs, below)
+    context = language_model.arcs_of(found, told >> 1, floor)[2]
+    sums = language_model.context_sums(found, told >> 1, (told & 1) > 0, floor)
+    fail, _ = language_model._failing(found.keys, starts, *sums)
     return found, language_model.automaton(found, told >> 1, fail, floor), context, floor
 
 
@@ -210,12 +213,33 @@ def test_blocks_are_whole_rows(spark, monkeypatch):
     assert all(t.num_rows == 1 or r.size <= 100 for t, r in zip(found, packed))
 
 
+def test_keys_that_tie_in_their_high_bits_are_ordered():
+    keys = np.array([7, 5, 6, 5, 1 << 63, 4, 5], np.uint64)
+    assert (language_model.sorting(keys) == np.argsort(keys, kind="stable")).all()
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
+    assert (language_model.sorting(keys) == np.argsort(keys, kind="stable")).all()
+
+
 def test_packed_values_come_back():
     keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
     for values in (keys, np.arange(-5, 5), np.array([0.5, -3e300]), np.zeros(0, np.int64)):
         assert (language_model.unpack(language_model.pack(values), len(values), values.dtype.type) == values).all()
 
 
+def test_a_source_of_one_row_many_times_meets_its_target(spark):
+    rows = [(1, "a few words that are the same", "b")] * 4000 + [(i, "some other words " * (i % 5 + 1), "a") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    sized = stored(mixing.measured(docs), "test")
+    found = mixing.mixed(sized, mixing.recipe(sized)).groupBy("source").agg(
+        F.max("target").alias("target"), F.sum("taken").alias("taken"), F.max("copies").alias("most"), F.min("copies").alias("least"))
+    target = {}
+    for r in found.collect():
+        target[r.target] = r.taken
+        assert abs(r.taken - r.target) <= 8 and r.most - r.least <= 1
+    # The mix itself gives as many rows of it.
+    assert 7 * mixing.mix(docs).where("source = 'b'").count() == min(target.items())[1]
+
+
 def test_loose_phrases(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "a b x c d e f g h i j"), (3, "a b c d e")], "id long, text string")
     tests = spark.createDataFrame([("t", "a b c d e f g h i j")], "item_id string, text string")

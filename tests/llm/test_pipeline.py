@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from subledger.llm.common import stored, table
-from subledger.llm.mixing import measured, mixed, recipe
 from subledger.llm.quality import judged, text_statistics
 
 NAMES = [name for name, _ in corpus_pipeline.STAGES]
@@ -59,13 +58,23 @@ def test_hit_documents_go(passed, rows):
     assert collections.Counter(clean) == collections.Counter(after)
 
 
-def test_the_mix_repeats_documents(passed):
-    before, after = passed[NAMES[3]]
-    sized = measured(before.select("doc_id", "text", "lang", "source"))
-    want = collections.Counter()
-    for r in mixed(sized, recipe(sized)).collect():
-        want[(r.doc_id, r.text, r.lang, r.source)] += r.copies
-    assert +want == collections.Counter(plain(after))
+def test_the_mix_meets_its_targets(passed):
+    before, after = (plain(x) for x in passed[NAMES[3]])
+    sizes = {r: len(brute.SPACE_WORDS.findall((r[1] or "").encode())) for r in before}
+    held, taken = collections.Counter(), collections.Counter()
+    for r in before:
+        held[r[3]] += sizes[r]
+    for r in after:
+        taken[r[3]] += sizes[r]
+    target = brute.targets(held)
+    for source in held:
+        assert abs(taken[source] - target[source]) <= max(n for r, n in sizes.items() if r[3] == source) / 2 + 1e-6
+    # Every document of a source stands as often as the target holds it whole, or once more.
+    rows, copies = collections.Counter(before), collections.Counter(after)
+    assert set(copies) <= set(rows)
+    for r, n in rows.items():
+        whole = int(target[r[3]] / held[r[3]] + 1e-9) if held[r[3]] else 0
+        assert whole * n <= copies[r] <= (whole + 1) * n
 
 
 def test_shards_hold_all_rows(passed):
