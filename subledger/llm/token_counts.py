@@ -34,8 +34,14 @@ REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 48
 ROWS_AT_ONCE = 512
 
+# Unassigned code points that this Python's pattern library takes for letters, unlike the vocabulary's,
+# and letters to which the vocabulary's Unicode version gives a lower case that this Python does not know.
+NO_LETTERS = (r"\U00032808\U0003285C\U00032988\U0003D808\U0003D85C\U0003D988"
+              r"\U0003E808\U0003E85C\U0003E988\U0003F808\U0003F85C\U0003F988")
+NEW_LOWER = {"\uA7CB": "\u0264", "\uA7DC": "\u019B"}
 # The vocabulary's own word pattern, for lower-case text, and its form for plain ASCII.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PATTERN = (r"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--[" + NO_LETTERS + r"]]+|[\p{N}]"
+           r"|[[^\s\p{L}\p{N}]||[" + NO_LETTERS + r"]]+")
 ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+"
 
 
@@ -117,6 +123,8 @@ class Counter:
             return sum(map(self.known.__getitem__, self.find_ascii(text.lower())))
         # Lower case goes letter by letter: no final form of sigma.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        for upper, lower in NEW_LOWER.items():
+            text = text.replace(upper, lower)
         return sum(map(self.known.__getitem__, self.find(text)))
 
 

@@ -324,3 +324,16 @@ def test_one_benchmark_item_repeated_many_times(spark):
     tests = spark.createDataFrame([("i", "alpha beta gamma")] * 10_000 + [("j", "other words")], "item_id string, text string")
     found = {r.id: (r.n_hit, list(r["items"])) for r in contamination(docs, tests).collect()}
     assert found == {1: (3, ["i"]), 2: (2, ["j"])}
+
+
+def test_letters_of_the_vocabularys_unicode_version():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from subledger.llm import token_counts
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    count, library = token_counts.Counter(path).count, Tokenizer.from_file(path)
+    odd = ["Ɤ", "Ƛ"] + [chr(0x30000 + c) for c in (0x2808, 0x285C, 0x2988, 0xD808, 0xE85C, 0xF988)]
+    for letter in [*odd, "é", "Σ", "漢", "͸"]:
+        text_ = f"a{letter}b {letter}1{letter} {letter}{letter}!"
+        assert count(text_) == len(library.encode(text_, add_special_tokens=False).ids)
