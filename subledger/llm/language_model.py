@@ -44,7 +44,7 @@ DISCOUNT = 0.7
 ADD = 0.1
 ORDERS = 3
 # Bytes of text of a block, and of all texts for each range of keys.
-BLOCK = 6 << 20
+BLOCK = 8 << 20
 RANGE = 4 << 20
 # Parts, by key, in which counts are exchanged one after another, a power of two: bounds what is shuffled at a time.
 SLICES = 2
@@ -176,7 +176,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         def packed():
             sink = pa.BufferOutputStream()
             rows = pa.Table.from_batches(held)
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as out:
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
                 out.write_table(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([size]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "size", "body"])
@@ -325,27 +325,21 @@ def traverse(found: Grams, model: Automaton) -> np.ndarray:
     rows = int(found.row[-1]) + 1
     bounds = np.searchsorted(found.row, np.arange(rows + 1)).tolist()
     word, two, three = (np.where(at >= 0, model.weight[at], NO_ARC) for at in found.at)
-    # The failure arcs of the states that end one token before.
-    fail_one, fail_two = (np.append(0.0, np.where(at >= 0, model.fail[at], 0.0)[:-1]) for at in found.at[:2])
+    # The failure arcs of the states that end one token before; a text begins at the words.
+    from_one, from_two = (np.append(0.0, np.where(at >= 0, model.fail[at], 0.0)[:-1]) for at in found.at[:2])
+    from_one[bounds[:-1]] = 0.0
+    lowest = from_one + word
     scores = np.zeros(rows)
     for text, (a, e) in enumerate(zip(bounds, bounds[1:])):
-        state, score = 0, 0.0  # words in the state
-        for one_arc, two_arc, three_arc, from_one, from_two in zip(
-                *(c[a:e].tolist() for c in (word, two, three, fail_one, fail_two))):
-            if state == 2:
+        longest, score = False, 0.0  # whether the state is a bigram
+        for three_arc, two_arc, fail, word_arc in zip(*(c[a:e].tolist() for c in (three, two, from_two, lowest))):
+            if longest:
                 if three_arc <= 0:
                     score += three_arc
                     continue
-                score += from_two
-                state = 1
-            if state == 1:
-                if two_arc <= 0:
-                    score += two_arc
-                    state = 2
-                    continue
-                score += from_one
-            score += one_arc
-            state = 1
+                score += fail
+            longest = two_arc <= 0
+            score += two_arc if longest else word_arc
         scores[text] = score
     return scores
 
