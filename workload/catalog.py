@@ -139,6 +139,10 @@ LIFE = [c for c in fixed.LIFECYCLE_COLUMNS if c != "cpc_list"]
 REVENUE = ("renewal_revenue", "total_refunded", "total_revenue", "total_revenue_with_upgrade")
 
 
+# A list's codes without the null ones; a list of null codes only is an empty text, as in ``list_text``, and not a null.
+_LISTED_CODES = "CASE WHEN cpc_list IS NOT NULL THEN COALESCE(array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ','), '') END"
+
+
 def _life_sql(view: str) -> str:
     cols = ", ".join(f"{r(c)} AS {c}" if c in REVENUE else c for c in LIFE)
     return f"SELECT array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ',') AS cpc_list, {cols} FROM {view}"
@@ -165,8 +169,7 @@ add("renewal_agg", lambda d: money(pl.renewal_agg(d.tx()), "total_renewal_revenu
 add("refund_agg", lambda d: money(pl.refund_agg(d.tx()), "total_refunded"),
     sql("tx subs_rfnd", f"SELECT subscription_id, cnt AS refund_count, {r('amount')} AS total_refunded, hi AS last_refund_date FROM subs_rfnd"))
 add("cpc_list", lambda d: pl.cpc_list(d.tx()),
-    sql("tx subs_codes", "SELECT subscription_id, array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ',') AS cpc_list, "
-        f"{n('cpc_count')} AS cpc_count FROM subs_codes"))
+    sql("tx subs_codes", f"SELECT subscription_id, {_LISTED_CODES} AS cpc_list, {n('cpc_count')} AS cpc_count FROM subs_codes"))
 add("list_to_csv", lambda d: pl.cpc_list(d.tx()).select("subscription_id", list_text(F.col("cpc_list")).alias("cpc_text")),
     sql("tx subs_codes", "SELECT subscription_id, array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ',') AS cpc_text FROM subs_codes"))
 add("subscription_view", lambda d: money(d.subs(), *REVENUE), sql("subs", _life_sql("subs")))
