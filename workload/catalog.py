@@ -171,7 +171,7 @@ add("refund_agg", lambda d: money(pl.refund_agg(d.tx()), "total_refunded"),
 add("cpc_list", lambda d: pl.cpc_list(d.tx()),
     sql("tx subs_codes", f"SELECT subscription_id, {_LISTED_CODES} AS cpc_list, {n('cpc_count')} AS cpc_count FROM subs_codes"))
 add("list_to_csv", lambda d: pl.cpc_list(d.tx()).select("subscription_id", list_text(F.col("cpc_list")).alias("cpc_text")),
-    sql("tx subs_codes", "SELECT subscription_id, array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ',') AS cpc_text FROM subs_codes"))
+    sql("tx subs_codes", f"SELECT subscription_id, {_LISTED_CODES} AS cpc_text FROM subs_codes"))
 add("subscription_view", lambda d: money(d.subs(), *REVENUE), sql("subs", _life_sql("subs")))
 add("subscription_view_channel_upgrades",
     lambda d: money(pl.subscription_view(d.tx(), AS_OF, "channel"), *REVENUE), sql("subsc", _life_sql("subsc")))
