@@ -39,3 +39,10 @@ UNCODED = [_event(83, "signup", 5), _event(84, "signup", 6, user=9), _event(88,
 @pytest.mark.parametrize("name, column", [("cpc_list", "cpc_list"), ("list_to_csv", "cpc_text")])
 def test_list_of_null_codes_is_an_empty_text(agrees, name, column):
     assert "" in [row[column] for row in agrees(name, *UNCODED)]
+
+
+def test_strict_scan_keeps_the_last_row_of_a_subscription_and_second(agrees):
+    # Events 4, 8 and 16 share subscription and second and stand in the table in another order; event 9 condemns its file.
+    got = agrees("scan_csv_strict", _event(16, "signup", 3, 5.9, value=4.25), _event(4, "signup", 1, 5.1), _event(8, "signup", 2, 5.2),
+                 _event(20, "signup", 1, 6), _event(9, "signup", 1), _event(5, "signup", 1))
+    assert [(row["cpc"], row["loaded"], row["rev"]) for row in got] == [(1, 1, 1.5), (3, 1, 4.25)]

@@ -622,16 +622,19 @@ _STRICT_CELLS = {**fx.CSV_ACT, "cpc": f"CASE WHEN event_id % 8 = 1 THEN 'abc' EL
 
 
 def _write_strict(d: Data, path: str) -> None:
-    """One file per provider; a bad cell condemns the whole file of its provider."""
-    rows = fx.view(d.table("events").where("event_type = 'signup'"), _STRICT_CELLS).withColumn("file", F.col("tef_prov"))
-    rows.repartition("file").write.partitionBy("file").option("header", True).option("escape", '"').csv(path)
+    """One file per provider, in order of the events; a bad cell condemns the whole file of its provider."""
+    cells = {**_STRICT_CELLS, "file": fx.CSV_ACT["tef_prov"], "event_id": "event_id"}
+    rows = fx.view(d.table("events").where("event_type = 'signup'"), cells)
+    rows.repartition("file").sortWithinPartitions("file", "event_id").drop("event_id").write.partitionBy("file").option("header", True).option("escape", '"').csv(path)
 
 
 add("scan_csv_strict",
     lambda d: sc.load_historical(d.spark, _ACT, d.written("strict", lambda p: _write_strict(d, p)))
     .groupBy("tef_prov", "cpc").agg(F.count(F.lit(1)).alias("loaded"), round_half_up(F.sum("rev"), 2).alias("rev")),
-    sql("", f"SELECT event_id % 4 AS tef_prov, {fx._CODE} AS cpc, COUNT(*) AS loaded, {r('SUM(value)')} AS rev FROM events "
-        "WHERE event_type = 'signup' AND event_id % 4 <> 1 GROUP BY 1, 2"))
+    # The load keeps the last row of a subscription and second (the files hold whole seconds).
+    sql("", f"SELECT tef_prov, cpc, COUNT(*) AS loaded, {r('SUM(value)')} AS rev FROM (SELECT event_id % 4 AS tef_prov, {fx._CODE} AS cpc, value, "
+        "ROW_NUMBER() OVER (PARTITION BY user_id * 10 + event_id % 4, date_trunc('second', ts) ORDER BY event_id DESC) AS place FROM events "
+        "WHERE event_type = 'signup' AND event_id % 4 <> 1) WHERE place = 1 GROUP BY 1, 2"))
 
 add("dedupe_last",
     lambda d: dedupe_fact(_numbered(d, "dct"), FACTS["dct"]).select("subscription_id", "trans_date", "trans_type_id", "cpc", "channel_dct"),
