@@ -143,9 +143,10 @@ REVENUE = ("renewal_revenue", "total_refunded", "total_revenue", "total_revenue_
 _LISTED_CODES = "CASE WHEN cpc_list IS NOT NULL THEN COALESCE(array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ','), '') END"
 
 
-def _life_sql(view: str) -> str:
+def _life_sql(view: str, codes: str = "array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ',')") -> str:
+    """The lifecycle table; views whose codes may be null give ``_LISTED_CODES``."""
     cols = ", ".join(f"{r(c)} AS {c}" if c in REVENUE else c for c in LIFE)
-    return f"SELECT array_to_string(list_transform(cpc_list, lambda x: CAST(x AS VARCHAR)), ',') AS cpc_list, {cols} FROM {view}"
+    return f"SELECT {codes} AS cpc_list, {cols} FROM {view}"
 
 
 add("all_transactions", lambda d: pl.all_transactions(d.tx()),
@@ -172,7 +173,7 @@ add("cpc_list", lambda d: pl.cpc_list(d.tx()),
     sql("tx subs_codes", f"SELECT subscription_id, {_LISTED_CODES} AS cpc_list, {n('cpc_count')} AS cpc_count FROM subs_codes"))
 add("list_to_csv", lambda d: pl.cpc_list(d.tx()).select("subscription_id", list_text(F.col("cpc_list")).alias("cpc_text")),
     sql("tx subs_codes", f"SELECT subscription_id, {_LISTED_CODES} AS cpc_text FROM subs_codes"))
-add("subscription_view", lambda d: money(d.subs(), *REVENUE), sql("subs", _life_sql("subs")))
+add("subscription_view", lambda d: money(d.subs(), *REVENUE), sql("subs", _life_sql("subs", _LISTED_CODES)))
 add("subscription_view_channel_upgrades",
     lambda d: money(pl.subscription_view(d.tx(), AS_OF, "channel"), *REVENUE), sql("subsc", _life_sql("subsc")))
 add("subscription_view_long", lambda d: money(d.subs_long(), *REVENUE), sql("subsl", _life_sql("subsl")))
