@@ -175,7 +175,7 @@ add("list_to_csv", lambda d: pl.cpc_list(d.tx()).select("subscription_id", list_
     sql("tx subs_codes", f"SELECT subscription_id, {_LISTED_CODES} AS cpc_text FROM subs_codes"))
 add("subscription_view", lambda d: money(d.subs(), *REVENUE), sql("subs", _life_sql("subs", _LISTED_CODES)))
 add("subscription_view_channel_upgrades",
-    lambda d: money(pl.subscription_view(d.tx(), AS_OF, "channel"), *REVENUE), sql("subsc", _life_sql("subsc")))
+    lambda d: money(pl.subscription_view(d.tx(), AS_OF, "channel"), *REVENUE), sql("subsc", _life_sql("subsc", _LISTED_CODES)))
 add("subscription_view_long", lambda d: money(d.subs_long(), *REVENUE), sql("subsl", _life_sql("subsl")))
 
 # ---- statistics of the lifecycle table -------------------------------------------------------------
