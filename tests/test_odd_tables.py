@@ -38,7 +38,7 @@ UNCODED = [_event(83, "signup", 5), _event(84, "signup", 6, user=9), _event(88,
 
 @pytest.mark.parametrize("name, column", [
     ("cpc_list", "cpc_list"), ("list_to_csv", "cpc_text"), ("subscription_view", "cpc_list"),
-    ("subscription_view_channel_upgrades", "cpc_list"),
+    ("subscription_view_channel_upgrades", "cpc_list"), ("user_subscriptions", "cpc_list"),
 ])
 def test_list_of_null_codes_is_an_empty_text(agrees, name, column):
     assert "" in [row[column] for row in agrees(name, *UNCODED)]

@@ -487,7 +487,7 @@ add("user_subscription_timeline", lambda d: pk.user_subscription_timeline(d.subs
     sql("subs", "SELECT subscription_id, tmuserid, msisdn, first_cpc, activation_date, last_activity_date, end_date, subscription_status, lifetime_days, "
         f"renewal_count, {r('total_revenue')} AS total_revenue FROM subs WHERE tmuserid IS NOT NULL"))
 add("user_subscriptions", lambda d: money(pk.user_subscriptions(d.subs(), "msisdn", "M8"), *REVENUE),
-    sql("subs", _life_sql("subs") + " WHERE msisdn = 'M8'"))
+    sql("subs", _life_sql("subs", _LISTED_CODES) + " WHERE msisdn = 'M8'"))
 
 _LINES = """SELECT tx_type AS transaction_type, CAST(CASE tx_type WHEN 'CNR' THEN 99 WHEN 'RFND' THEN 100 ELSE trans_type_id END AS BIGINT) AS trans_type_id,
     subscription_id, trans_date, CASE WHEN tx_type NOT IN ('CNR', 'RFND') THEN act_date END AS act_date,
