@@ -23,10 +23,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: str
     )
 
 
-def in_days(moment: Column, start: str, end: str) -> Column:
-    """From the start of the first day up to, not including, the day after the last."""
-    after = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
-    return (moment >= F.lit(start).cast("timestamp_ntz")) & (moment < after)
+def in_days(moment: Column, start: str | None, end: str | None) -> Column:
+    """From the start of the first day up to, not including, the day after the last; a side without a day is open."""
+    fits = F.lit(True)
+    if start is not None:
+        fits = fits & (moment >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        fits = fits & (moment < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
+    return fits
 
 
 def extract_fact(source: DataFrame, channels: DataFrame, kind: str, start: str, end: str) -> DataFrame:
@@ -58,7 +62,8 @@ def extract_fact(source: DataFrame, channels: DataFrame, kind: str, start: str,
     return rows.select(*[columns.get(name, F.col(name)).alias(name) for name in FACTS[kind].columns])
 
 
-def extract_cancellations(source: DataFrame, start: str, end: str) -> DataFrame:
+def extract_cancellations(source: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Cancellations of the days, or all."""
     return source.where(in_days(F.col("timestamp"), start, end)).select(
         F.col("timestamp").alias("cancel_date"), F.col("sbn_id").cast("decimal(38,0)").alias("sbn_id"),
         F.col("msisdn").alias("tmuserid"), "cpc", "mode",

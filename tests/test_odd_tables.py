@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import duckdb
 import pytest
 
+from subledger.sources import extract
 from workload.catalog import ORACLES, QUERIES
 from workload.fixtures import Data
 
@@ -49,3 +50,14 @@ def test_strict_scan_keeps_the_last_row_of_a_subscription_and_second(agrees):
     got = agrees("scan_csv_strict", _event(16, "signup", 3, 5.9, value=4.25), _event(4, "signup", 1, 5.1), _event(8, "signup", 2, 5.2),
                  _event(20, "signup", 1, 6), _event(9, "signup", 1), _event(5, "signup", 1))
     assert [(row["cpc"], row["loaded"], row["rev"]) for row in got] == [(1, 1, 1.5), (3, 1, 4.25)]
+
+
+# The first and the last days of the month, and beyond it.
+SPREAD = [0, 3 * 86400, 20 * 86400, 28 * 86400, 60 * 86400]
+
+
+def test_cancellations_are_extracted_whole(spark, agrees):
+    assert len(agrees("extract_cnr", *[_event(2 * k, "click", k, second) for k, second in enumerate(SPREAD)])) == len(SPREAD)
+    source = spark.createDataFrame([(datetime(2024, 1, day), "7", "u", 1, "m") for day in (1, 2, 3, 4)],
+                                   "timestamp timestamp_ntz, sbn_id string, msisdn string, cpc bigint, mode string")
+    assert [row.cancel_date.day for row in extract.extract_cancellations(source, "2024-01-02", "2024-01-03").collect()] == [2, 3]
