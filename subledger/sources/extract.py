@@ -70,8 +70,8 @@ def extract_cancellations(source: DataFrame, start: str | None = None, end: str
     )
 
 
-def extract_refunds(source: DataFrame, start: str, end: str) -> DataFrame:
-    """Refunds summed per user, code, day, subscription and automatic flag; the flag is written 't' or 'f'."""
+def extract_refunds(source: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Refunds of the days, or all, summed per user, code, day, subscription and automatic flag; the flag is written 't' or 'f'."""
     automatic = F.col("info").ilike("%Automatic Refund%")
     rows = source.where(in_days(F.col("timestamp"), start, end)).select(
         F.col("msisdn").alias("tmuserid"), "cpc", F.to_date("timestamp").alias("refnd_date"), "amount",

@@ -61,3 +61,7 @@ def test_cancellations_are_extracted_whole(spark, agrees):
     source = spark.createDataFrame([(datetime(2024, 1, day), "7", "u", 1, "m") for day in (1, 2, 3, 4)],
                                    "timestamp timestamp_ntz, sbn_id string, msisdn string, cpc bigint, mode string")
     assert [row.cancel_date.day for row in extract.extract_cancellations(source, "2024-01-02", "2024-01-03").collect()] == [2, 3]
+
+
+def test_refunds_are_extracted_whole(agrees):
+    assert len(agrees("extract_refunds", *[_event(k, "error", k, second) for k, second in enumerate(SPREAD)])) == len(SPREAD)

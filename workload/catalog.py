@@ -596,12 +596,11 @@ add("extract_range", lambda d: se.extract_fact(d.source_fact(), d.channels(), "a
 add("extract_channel_join",
     lambda d: se.extract_fact(d.source_fact(), d.channels(), "reno", FROM, TO).groupBy("channel_act").agg(F.count(F.lit(1)).alias("renewals")),
     sql("srcf chn", "SELECT channel_desc AS channel_act, COUNT(*) AS renewals FROM srcf LEFT JOIN chn USING (channel_id) WHERE trans_type_id = 2 GROUP BY 1"))
-_DURING = "timestamp >= TIMESTAMP '2024-01-05' AND timestamp < TIMESTAMP '2024-01-21'"
 add("extract_cnr", lambda d: se.extract_cancellations(d.source_cancellations()).withColumn("sbn_id", F.col("sbn_id").cast("bigint")),
     sql("srcc", "SELECT timestamp AS cancel_date, CAST(sbn_id AS BIGINT) AS sbn_id, msisdn AS tmuserid, cpc, mode FROM srcc"))
-add("extract_refunds", lambda d: money(se.extract_refunds(d.source_refunds(), "2024-01-05", "2024-01-20"), "rfnd_amount"),
+add("extract_refunds", lambda d: money(se.extract_refunds(d.source_refunds()), "rfnd_amount"),
     sql("srcr", f"SELECT msisdn AS tmuserid, cpc, CAST(timestamp AS DATE) AS refnd_date, {r('SUM(amount)')} AS rfnd_amount, COUNT(*) AS rfnd_cnt, "
-        f"{_part('sbnId', ',', 'info')} AS sbnid, CASE WHEN info ILIKE '%automatic refund%' THEN 't' ELSE 'f' END AS instant_rfnd FROM srcr WHERE {_DURING} GROUP BY 1, 2, 3, 6, 7"))
+        f"{_part('sbnId', ',', 'info')} AS sbnid, CASE WHEN info ILIKE '%automatic refund%' THEN 't' ELSE 'f' END AS instant_rfnd FROM srcr GROUP BY 1, 2, 3, 6, 7"))
 
 # ---- ingest and storage ------------------------------------------------------------------------------
 
