@@ -35,8 +35,9 @@ ANCHOR = 16
 # Windows of one context; longer runs are cut, which is free as every window lies in one context only.
 RUN = 64
 SHARD_BYTES = 2 << 20
-# Contexts of one anchor that a shard takes before the anchor is cut over several shards.
-LIMIT = 2048
+# Contexts of one anchor that a shard takes before the anchor is cut over several shards: at up to RUN + WINDOW - 1 bytes each,
+# they fit into one shard.
+LIMIT = 16384
 # Leading bytes that the first sort looks at, nine bits each so that an end comes before any byte.
 FIRST = 7
 
