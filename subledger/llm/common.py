@@ -22,17 +22,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(rows: DataFrame, label: str, files: int | None = None, numeric: bool = False) -> DataFrame:
+def stored(rows: DataFrame, label: str, files: int | None = None, numeric: bool = False, codec: str | None = None) -> DataFrame:
     """The rows, written to the shared folder and read again: their lineage ends there.
 
     What a lost executor held is read again from these files, never drawn or numbered anew. ``files`` bounds the
     number of files of a table that has been aggregated to little; ``numeric`` leaves out the compression, which
-    gains nothing on hashes and floating point numbers and holds memory outside the heap for every column read.
+    gains nothing on hashes and floating point numbers and holds memory outside the heap for every column read;
+    ``codec`` names another compression than the session's.
     """
     path = scratch_path(rows.sparkSession, label)
     if files:
         rows = rows.coalesce(files)
-    rows.write.parquet(path, compression="uncompressed" if numeric or files else None)
+    rows.write.parquet(path, compression="uncompressed" if numeric or files else codec)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -6,9 +6,9 @@ Every byte is found that a 50-byte string covers which also starts in a document
    same anchor wherever they stand. Only anchors that occur in two documents or more can hold a repeat; all others
    are left out, which loses nothing. Windows in a row with one anchor make up a *context*.
 2. *Shards.* Contexts are dealt out by anchor, equal ones once per block of texts, with the smallest and largest id
-   they have. Each shard sorts all their suffixes by Larsson-Sadakane refinement (groups that are not yet single are
-   split by the rank that lies twice as far on), and Kasai's walk gives the prefix that each window shares with its
-   predecessor; runs of 50 bytes or more are one class, owned by its smallest id.
+   they have. Each shard sorts all their suffixes, anchor by anchor, by Larsson-Sadakane refinement (groups that are not
+   yet single are split by the rank that lies twice as far on), and Kasai's walk gives the prefix that each window shares
+   with its predecessor; runs of 50 bytes or more are one class, owned by its smallest id.
 3. *Merging.* An anchor with very many contexts is cut over several shards. Their classes, as sorted runs of window
    digests, are merged by digest; binary search finds each class's place in the merged run and so its owner.
 4. *Spans.* Owners go back to all places of a context, and a document loses the windows owned by a smaller id.
@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.llm.common import FEW, release, stored, table
-from subledger.llm.text import Block, blocks, mixed, prefix_sums, span_hash, utf8
+from subledger.llm.text import Block, blocks, equal_span_hash, mixed, prefix_sums, span_hash
 
 WINDOW = 50
 ANCHOR = 16
@@ -38,52 +39,70 @@ SHARD_BYTES = 2 << 20
 # Contexts of one anchor that a shard takes before the anchor is cut over several shards: at up to RUN + WINDOW - 1 bytes each,
 # they fit into one shard.
 LIMIT = 16384
-# Leading bytes that the first sort looks at, nine bits each so that an end comes before any byte.
-FIRST = 7
+# Windows whose anchors are looked for at a time, so that the arrays stay in a core's cache.
+STRETCH = 16384
 
 
 def anchor_runs(block: Block, window: int = WINDOW, anchor: int = ANCHOR):
     """Anchor hash, row, first byte and number of windows of each context of a block, and its prefix sums."""
     data, bounds = block.data, block.bounds
     sums = prefix_sums(data)
-    if len(data) < window:
+    whole = len(data) - window + 1
+    if whole <= 0:
         none = np.zeros(0, np.int64)
         return none.view(np.uint64), none, none, none, sums
-    first = np.arange(len(data) - anchor + 1)
-    low = span_hash(sums, first, first + anchor)
-    reach, size = window - anchor + 1, 1
-    whole = len(low) - reach + 1
-    while size * 2 <= reach:  # smallest of the next 2, 4, 8, ...
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    low = np.minimum(low[:whole], low[reach - size:reach - size + whole])
-    at = np.arange(whole)
-    row = np.searchsorted(bounds[1:], at, "right")
-    inside = at + window <= bounds[1:][np.minimum(row, len(bounds) - 2)]
-    low, at, row = low[inside], at[inside], row[inside]
-    new = np.ones(len(low), bool)
-    new[1:] = (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)
+    reach = window - anchor + 1
+    low = np.empty(whole, np.uint64)
+    for at in range(0, whole, STRETCH):
+        some = min(STRETCH, whole - at)
+        part, size = equal_span_hash(sums, at, at + some + reach - 1, anchor), 1
+        while size * 2 <= reach:  # smallest of the next 2, 4, 8, ...
+            part = np.minimum(part[:-size], part[size:])
+            size *= 2
+        np.minimum(part[:some], part[reach - size:reach - size + some], out=low[at:at + some])
+    # Windows that begin in the last bytes of a text would go beyond it: they make up runs of their own, left out below.
+    beyond = np.maximum(bounds[:-1], bounds[1:] - window + 1)
+    new = np.ones(whole, bool)
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    for edge in (bounds, beyond):
+        new[edge[edge < whole]] = True
     start = np.flatnonzero(new)
-    count = np.diff(np.append(start, len(low)))
+    count = np.diff(np.append(start, whole))
+    row = np.searchsorted(bounds[1:], start, "right")
+    inside = start < beyond[row]
+    start, count, row = start[inside], count[inside], row[inside]
     pieces = -(-count // RUN)
     if (pieces > 1).any():
         which = np.repeat(np.arange(len(start)), pieces)
         step = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start, count = start[which] + step * RUN, np.minimum(count[which] - step * RUN, RUN)
-    return low[start], row[start], at[start], count, sums
+        start, count, row = start[which] + step * RUN, np.minimum(count[which] - step * RUN, RUN), row[which]
+    return low[start], row, start, count, sums
 
 
-def suffix_array(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All suffixes of all contexts in order, and each one's place; equal suffixes stand in order of position."""
+def suffix_array(data: np.ndarray, bounds: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All suffixes of all contexts in order, and each one's place; equal suffixes stand in order of position.
+
+    With a ``group`` of each context (numbers from 0, ascending), the suffixes of a group stand together, group by group.
+    """
     n = len(data)
     ends = np.repeat(bounds[1:], np.diff(bounds))
     at = np.arange(n)
-    key = np.zeros(n, np.uint64)
-    for k in range(FIRST):
-        part = np.zeros(n, np.uint64)
-        part[:max(n - k, 0)] = data[k:].astype(np.uint64) + np.uint64(1)
-        part[at + k >= ends] = 0
-        key = (key << np.uint64(9)) | part
+    # The first sort looks at as many leading bytes as fit beside the group: each as its place among the bytes in use, from 1,
+    # so that an end comes before any byte.
+    used = np.bincount(data, minlength=256) > 0
+    bits = int(used.sum()).bit_length() or 1
+    apart = 0 if group is None or not len(group) else int(group[-1]).bit_length()
+    depth = 1
+    key = np.cumsum(used).astype(np.uint64)[data]
+    while more := min(depth, (64 - apart) // bits - depth):
+        longer = key << np.uint64(more * bits)
+        longer[:-depth] |= key[depth:] >> np.uint64((depth - more) * bits)
+        key, depth = longer, depth + more
+    for left in range(1, depth):  # what stands behind the end of a context
+        short = bounds[1:][np.diff(bounds) >= left] - left
+        key[short] &= ~np.uint64((1 << (depth - left) * bits) - 1)
+    if apart:
+        key |= np.repeat(group.astype(np.uint64) << np.uint64(64 - apart), np.diff(bounds))
     order = np.argsort(key)
     rank = np.empty(n, np.int64)
 
@@ -97,14 +116,11 @@ def suffix_array(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
         return places[(np.bincount(group) > 1)[group]]
 
     open_ = number(at, key[order])
-    depth, longest = FIRST, int(np.diff(bounds).max(initial=0))
     while len(open_):
         suffix = order[open_]
-        if depth < longest:
-            beyond = suffix + depth
-            second = np.where(beyond < ends[suffix], rank[np.minimum(beyond, n - 1)] + 1, 0)
-        else:
-            second = suffix  # equal to the end: by position
+        beyond = suffix + depth
+        # Those that have ended are equal, and come first, by position.
+        second = np.where(beyond < ends[suffix], n + rank[np.minimum(beyond, n - 1)], suffix)
         keys = (rank[suffix].astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
         sorted_ = np.argsort(keys)
         order[open_] = suffix[sorted_]
@@ -114,15 +130,17 @@ def suffix_array(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def kasai(data: np.ndarray, bounds: np.ndarray, order: np.ndarray, rank: np.ndarray, counts: np.ndarray,
-          window: int = WINDOW) -> np.ndarray:
+          window: int = WINDOW, first: np.ndarray | None = None) -> np.ndarray:
     """Prefix (up to ``window``) that each window shares with the suffix before it in order.
 
     The walk along one context starts where its last step ended, less one byte; all contexts walk side by side.
+    ``first`` is the place of the first suffix of each context's group, which shares nothing with the one before it.
     """
     ends = np.repeat(bounds[1:], np.diff(bounds))
     out = np.zeros(len(data), np.int64)
     by_count = np.argsort(-counts, kind="stable")
     starts, sizes = bounds[:-1][by_count], counts[by_count]
+    first = np.zeros(len(starts), np.int64) if first is None else first[by_count]
     length = np.zeros(len(starts), np.int64)
     for step in range(int(counts.max(initial=0))):
         some = int(np.searchsorted(-sizes, -step, "left"))
@@ -130,8 +148,9 @@ def kasai(data: np.ndarray, bounds: np.ndarray, order: np.ndarray, rank: np.ndar
         place = rank[i]
         p = order[np.maximum(place - 1, 0)]
         known = np.maximum(length[:some] - 1, 0)
-        known[place == 0] = 0
-        going = np.flatnonzero((place > 0) & (known < window))
+        alone = place == first[:some]
+        known[alone] = 0
+        going = np.flatnonzero(~alone & (known < window))
         while len(going):
             x, y = i[going] + known[going], p[going] + known[going]
             fits = (x < ends[i[going]]) & (y < ends[p[going]])
@@ -143,11 +162,14 @@ def kasai(data: np.ndarray, bounds: np.ndarray, order: np.ndarray, rank: np.ndar
     return out
 
 
-def window_classes(data: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, context and class of every window; equal windows have one class."""
+def window_classes(data: np.ndarray, bounds: np.ndarray, window: int = WINDOW,
+                   group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, context and class of every window; equal windows of a group (see :func:`suffix_array`) have one class."""
     counts = np.diff(bounds) - window + 1
-    order, rank = suffix_array(data, bounds)
-    shared = kasai(data, bounds, order, rank, counts, window)
+    order, rank = suffix_array(data, bounds, group)
+    # The suffixes of a group take the places that its contexts take in the data.
+    first = None if group is None else bounds[np.searchsorted(group, group)]
+    shared = kasai(data, bounds, order, rank, counts, window, first)
     of = np.repeat(np.arange(len(counts)), counts)
     at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + bounds[:-1][of]
     by_rank = np.argsort(rank[at])
@@ -176,14 +198,18 @@ def _marks(docs: DataFrame) -> DataFrame:
             if not hashes:
                 continue
             value, row = np.concatenate(hashes), np.concatenate(rows)
-            order = np.lexsort((row, value))
+            order = np.argsort(value)
             value, row = value[order], row[order]
-            new = np.ones(len(value), bool)
-            new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-            value, row = value[new], row[new]
             if not len(value):
                 continue
-            starts = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+            first = np.append(True, value[1:] != value[:-1])
+            # Where several rows have an anchor, in order of the row; each row once.
+            alike = np.cumsum(first) - 1
+            some = np.flatnonzero(~first | ~np.append(first[1:], True))
+            row[some] = row[some][np.argsort(alike[some] * batch.num_rows + row[some])]
+            new = first | np.append(True, row[1:] != row[:-1])
+            value, row = value[new], row[new]
+            starts = np.flatnonzero(first[new])
             id_ = ids[row]
             twice = np.minimum.reduceat(id_, starts) < np.maximum.reduceat(id_, starts)
             state = np.where(np.repeat(twice, np.diff(np.append(starts, len(value)))), SETTLED, SEEN_ALONE)
@@ -202,7 +228,7 @@ def _marks(docs: DataFrame) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of :func:`_marks`, sorted by ``h`` and ``id`` -> (``key``, ``h``) of shared anchors.
+    """Rows of :func:`_marks`, sorted by ``h`` -> (``key``, ``h``) of shared anchors.
 
     Only the rows of an anchor that one id has so far are held over to the next batch.
     """
@@ -239,7 +265,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """Places of the contexts whose anchors the document shares (``hs``); the bytes once per block of texts."""
+    """Places of the contexts whose anchors the document shares (``hs``); the bytes once per block of texts.
+
+    ``h`` is the lower half of the anchor's hash: it only deals contexts out, and where two anchors have the same, bytes decide.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
@@ -248,10 +277,11 @@ def _contexts(docs: DataFrame) -> DataFrame:
             ends = ends - ends[0]
             shared = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(ends)).astype(np.uint64)
-            pairs = np.sort(mixed(shared + owner * np.uint64(0x9E3779B97F4A7C15)))
+            shared = mixed(shared + owner * np.uint64(0x9E3779B97F4A7C15))
             for block in blocks(batch.column("text")):
                 value, row, at, count, sums = anchor_runs(block)
                 row = row + block.first
+                pairs = np.sort(shared[ends[block.first]:ends[block.last]])
                 asked = mixed(value + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 place = np.minimum(np.searchsorted(pairs, asked), max(len(pairs) - 1, 0))
                 hit = pairs[place] == asked if len(pairs) else np.zeros(len(asked), bool)
@@ -268,14 +298,14 @@ def _contexts(docs: DataFrame) -> DataFrame:
                 chosen = np.zeros(len(value), bool)
                 chosen[first] = True
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.where(chosen, value.view(np.int64), 0)), pa.array(content),
+                    pa.array(np.where(chosen, value.astype(np.uint32).view(np.int32), np.int32(0))), pa.array(content),
                     pa.array([text[a:e] if c else None for a, e, c in zip(at.tolist(), end.tolist(), chosen.tolist())], pa.binary()),
                     pa.array(np.where(chosen, low[which], 0)), pa.array(np.where(chosen, high[which], 0)),
                     pa.array(keys[row]), pa.array(ids[row]), pa.array((at - block.bounds[row - block.first]).astype(np.int32)),
                 ], names=["h", "c", "bytes", "low", "high", "key", "id", "pos"])
 
     return docs.select("text", "id", "key", "hs").mapInArrow(
-        run, "h long, c long, bytes binary, low long, high long, key long, id long, pos int")
+        run, "h int, c long, bytes binary, low long, high long, key long, id long, pos int")
 
 
 FOUND = "c long, first int, last int, owner long, high long, shard long, class int, d1 long, d2 long"
@@ -315,7 +345,8 @@ def _shard_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def solved(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h, salt, c, parts, low, high = (batch.column(n).to_numpy() for n in names)
         data, bounds = binary(batch.column("bytes"))
-        at, of, classes = window_classes(data, bounds)
+        group = np.cumsum(np.append(False, h[1:] != h[:-1]))[:len(h)]
+        at, of, classes = window_classes(data, bounds, WINDOW, group)
         owner = np.full(classes.max(initial=-1) + 1, np.iinfo(np.int64).max)
         np.minimum.at(owner, classes, low[of])
         place = (at - bounds[of]).astype(np.int32)
@@ -331,7 +362,7 @@ def _shard_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if split.any():
             # Windows of one class have one anchor, so a class lies in one cut anchor or in none.
             # The shard is named by its first context, which is in no other one.
-            shard = mixed(mixed(h[:1].view(np.uint64)) + c[:1].view(np.uint64)).view(np.int64)
+            shard = mixed(mixed(h[:1].astype(np.int64).view(np.uint64)) + c[:1].view(np.uint64)).view(np.int64)
             cls, some = np.unique(classes[split], return_index=True)
             w = np.flatnonzero(split)[some]
             sums = prefix_sums(data)
@@ -425,11 +456,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # Settled rows wait for nobody: they go by document, the others by anchor.
     place = F.when(F.col("state") == SETTLED, F.col("key")).otherwise(F.col("h"))
     shared = (
-        _marks(docs).repartition(place).sortWithinPartitions("h", "id").mapInArrow(_shared, "key long, h long")
+        _marks(docs).repartition(place).sortWithinPartitions("h").mapInArrow(_shared, "key long, h long")
     )
     lists = stored(shared.groupBy("key").agg(F.collect_list("h").alias("hs")), "lists", numeric=True)
     release(spark)
-    places = stored(_contexts(docs.join(lists, "key")), "contexts")
+    places = stored(_contexts(docs.join(lists, "key")), "contexts", codec="zstd")
     release(spark)
     contexts = places.where("bytes IS NOT NULL").select("h", "c", "bytes", "low", "high")
     # Stored, so that its size is known when the join is planned.
@@ -472,28 +503,29 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = utf8(batch.column("text"))
-            lists = batch.column("spans")
-            out, held = [], 0
-            for row, one in enumerate(batch.column("id").to_pylist()):
-                text = data[bounds[row]:bounds[row + 1]]
-                spans, kept = [], text
-                if lists[row].is_valid:
-                    pairs = lists[row].values
-                    edge = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(edge, pairs.field("start").to_numpy(), 1)
-                    np.add.at(edge, pairs.field("end").to_numpy(), -1)
-                    gone = np.cumsum(edge[:-1]) > 0
-                    turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                    spans = [{"start": s, "end": e} for s, e in turns.reshape(-1, 2).tolist()]
-                    kept = text[~gone]
-                out.append({"id": one, "n_bytes": len(text), "spans": spans, "kept": kept.tobytes()})
-                held += len(text)
-                if held > 4 << 20:
-                    yield pa.RecordBatch.from_pylist(out, schema=RESULT_SHAPE)
-                    out, held = [], 0
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=RESULT_SHAPE)
+            ids, lists = batch.column("id"), pc.fill_null(batch.column("spans"), [])
+            for block in blocks(batch.column("text")):
+                data, bounds, rows = block.data, block.bounds, block.last - block.first
+                some = lists.slice(block.first, rows)
+                pairs = some.flatten()
+                base = np.repeat(bounds[:-1], some.value_lengths().to_numpy())
+                edge = np.bincount(base + pairs.field("start").to_numpy(), minlength=len(data) + 1)
+                edge -= np.bincount(base + pairs.field("end").to_numpy(), minlength=len(data) + 1)
+                gone = np.cumsum(edge[:-1]) > 0
+                # Each text begins and ends its own runs.
+                before, after = np.append(False, gone)[:len(data)], np.append(gone, False)[1:]
+                inner = bounds[(bounds > 0) & (bounds < len(data))]
+                before[inner] = after[inner - 1] = False
+                start, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+                row = np.searchsorted(bounds[1:], start, "right")
+                spans = pa.StructArray.from_arrays(
+                    [pa.array((x - bounds[row]).astype(np.int32)) for x in (start, end)], fields=list(RESULT_SHAPE.field("spans").type.value_type))
+                kept = np.append(0, np.cumsum(~gone))[bounds]
+                yield pa.RecordBatch.from_arrays([
+                    ids.slice(block.first, rows), pa.array(np.diff(bounds)),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)), spans),
+                    pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(kept), pa.py_buffer(data[~gone])]).cast(pa.binary()),
+                ], schema=RESULT_SHAPE)
 
     return docs.join(lost, "key", "left").select("id", "text", "spans").mapInArrow(cut, RESULT)
 

@@ -103,6 +103,21 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mixed(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def equal_span_hash(sums: np.ndarray, first: int, last: int, size: int) -> np.ndarray:
+    """:func:`span_hash` of the ``size`` bytes that begin at each place from ``first`` up to ``last``."""
+    _, down = _powers(len(sums))
+    x = sums[first + size:last + size] - sums[first:last]
+    x *= down[first:last]
+    x += np.uint64(size * 0xD6E8FEB86659FD93 % (1 << 64))
+    half = x >> np.uint64(30)
+    for factor, shift in ((0xBF58476D1CE4E5B9, 27), (0x94D049BB133111EB, 31)):
+        x ^= half
+        x *= np.uint64(factor)
+        np.right_shift(x, np.uint64(shift), out=half)
+    x ^= half
+    return x
+
+
 def words(block: Block, of_word: np.ndarray = NOT_SPACE, lower: bool = False) -> Words:
     """The block's words in order; no word crosses from one text into the next."""
     data, bounds = block.data, block.bounds
